@@ -84,7 +84,7 @@ def alerts(metrics: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
     A rule whose metric is missing or NULL is in breach: nothing shows that it holds.
     """
     declared = metrics.sparkSession.createDataFrame(
-        [(r.column, r.metric, r.low, r.high) for r in rules],
+        [(r.column, r.metric, *(None if b is None else float(b) for b in (r.low, r.high))) for r in rules],
         "`column` STRING, metric STRING, low DOUBLE, high DOUBLE",
     )
     value, low, high = F.col("value"), F.col("low"), F.col("high")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,13 +32,16 @@ def read_lines(
     return lines
 
 
-def line_sales(lines: DataFrame, n_stores: int = 5, n_items: int = 10) -> DataFrame:
-    """One row per order line with the columns of the sales table; not yet daily totals."""
+def line_sales(
+    lines: DataFrame, n_stores: int = 5, n_items: int = 10, keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per order line with the columns of the sales table, and those to ``keep``; not yet daily totals."""
     return lines.select(
         F.col("l_shipdate").cast("date").alias("date"),
         (F.col("l_suppkey") % n_stores + 1).cast("int").alias("store"),
         (F.col("l_partkey") % n_items + 1).cast("int").alias("item"),
         F.col("l_quantity").alias("sales"),
+        *keep,
     )
 
 
