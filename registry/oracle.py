@@ -15,11 +15,11 @@ HOLDOUT_END = "DATE '2001-11-01'"
 Z = repr(NormalDist().inv_cdf(0.975))
 
 
-def sales(name: str = "sales", where: str = "true") -> str:
+def sales(name: str = "sales", where: str = "true", n_stores: int = 5, n_items: int = 10) -> str:
     return f"""{name} AS (
         SELECT * FROM (
-            SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % 5 + 1 AS INTEGER) AS store,
-                   CAST(l_partkey % 10 + 1 AS INTEGER) AS item, CAST(sum(l_quantity) AS BIGINT) AS sales
+            SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % {n_stores} + 1 AS INTEGER) AS store,
+                   CAST(l_partkey % {n_items} + 1 AS INTEGER) AS item, CAST(sum(l_quantity) AS BIGINT) AS sales
             FROM lineitem GROUP BY 1, 2, 3
         ) WHERE {where})"""
 
@@ -247,6 +247,9 @@ ORACLE: dict[str, str] = {
     "train_sales": f"WITH {sales()} SELECT * FROM sales WHERE date < {CUT}",
     "holdout_sales": f"WITH {sales()} SELECT * FROM sales WHERE date >= {CUT}",
     "series_forecast": f"WITH {SERIES} SELECT store, item, ds, {bounds()} FROM s_fc",
+    "series_forecast_500": f"""WITH {sales('train', f'date < {CUT}', 10, 50)}, {OBS},
+        {model('obs', 'store, item', 's_', ahead('last_ds', 30))} SELECT store, item, ds, {bounds()} FROM s_fc""",
+    "bucketed_series_forecast": f"WITH {SERIES} SELECT store, item, ds, {bounds()} FROM s_fc",
     "forecast_components": f"""WITH {SERIES} SELECT store, item, ds, {r('trend', 'trend')}, {r('weekly', 'weekly')},
         {r('yearly', 'yearly')}, {r('yhat', 'yhat')} FROM s_fc""",
     "single_series_forecast": f"WITH {ONE_SERIES} SELECT store, item, ds, {bounds()} FROM s_fc",

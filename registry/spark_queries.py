@@ -62,6 +62,11 @@ def holdout(spark: SparkSession, folder: str) -> DataFrame:
     return daily_sales(spark, folder, start=CUT, end=HOLDOUT_END)
 
 
+def saved_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Training and hold-out sales out of one daily table, for plans that read them several times."""
+    return time_split(tables.materialise(daily_sales(spark, folder, end=HOLDOUT_END), "sales"), CUT)
+
+
 # Exploration and split
 
 
@@ -128,6 +133,21 @@ def series_forecast(spark, folder):
     return forecast(train(spark, folder))
 
 
+@query
+def series_forecast_500(spark, folder):
+    return forecast(daily_sales(spark, folder, end=CUT, n_stores=10, n_items=50))
+
+
+@query
+def bucketed_series_forecast(spark, folder):
+    name = "seriesmill_bucketed_sales"
+    tables.save(
+        train(spark, folder), name, path=shared_folder(spark, name), mode="overwrite",
+        bucket_by=(16, ["store", "item"]),
+    )
+    return forecast(tables.read_table(spark, name))
+
+
 @query
 def forecast_components(spark, folder):
     return components(train(spark, folder))
@@ -171,14 +191,14 @@ def item_forecast(spark, folder):
 
 @query
 def allocated_forecast(spark, folder):
-    return top_down_forecast(train(spark, folder))
+    return top_down_forecast(saved_split(spark, folder)[0])
 
 
 # Comparison
 
 
 def overview(spark: SparkSession, folder: str) -> DataFrame:
-    return strategy_overview(train(spark, folder), holdout(spark, folder))
+    return strategy_overview(*saved_split(spark, folder))
 
 
 @query
@@ -224,7 +244,8 @@ def miss_by_item(spark, folder):
 
 @query
 def unscored_sales(spark, folder):
-    return evaluate.unscored(holdout(spark, folder), forecast(train(spark, folder)))
+    known, later = saved_split(spark, folder)
+    return evaluate.unscored(later, forecast(known))
 
 
 # Walk-forward
@@ -235,8 +256,8 @@ def walked(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def walked_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    targets = daily_sales(spark, folder, start="2001-10-01", end="2001-10-08")
-    return evaluate.with_actuals(walked(spark, folder), targets)
+    sales = tables.materialise(daily_sales(spark, folder, end="2001-10-08"), "sales")
+    return evaluate.with_actuals(walk_forward.walk_forward(sales, CUTOFFS), sales)
 
 
 @query

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from statistics import NormalDist
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -73,6 +73,15 @@ def observations(sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     )
 
 
+def task_count(spark: SparkSession) -> int:
+    """Partitions for rows that are few but costly.
+
+    Given as a number, it keeps adaptive execution from merging partitions that only look small:
+    it weighs the rows as shuffled, not the work that follows.
+    """
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def up_to_cutoffs(
     obs: DataFrame,
     keys: Sequence[str],
@@ -86,10 +95,9 @@ def up_to_cutoffs(
     """
     dates = sorted({as_date(c) for c in cutoffs})
     days = F.array(*[F.lit(c) for c in dates])
-    spread = (*keys,) if n_partitions is None else (n_partitions, *keys)
     return (
         obs.where(F.col("ds") <= F.lit(dates[-1]))
-        .repartition(*spread)
+        .repartition(n_partitions or task_count(obs.sparkSession), *keys)
         .withColumn("training_date", F.explode(F.filter(days, lambda c: c >= F.col("ds"))))
     )
 

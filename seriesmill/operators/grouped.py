@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
-from seriesmill.operators.forecast import KEYS, ForecastSpec, observations, up_to_cutoffs
+from seriesmill.operators.forecast import KEYS, ForecastSpec, observations, task_count, up_to_cutoffs
 
 # (history with ds and y by day, days to predict, settings) -> ds, yhat, yhat_lower, yhat_upper
 FitPredict = Callable[[pd.DataFrame, pd.DatetimeIndex, ForecastSpec], pd.DataFrame]
@@ -36,14 +36,8 @@ def grouped_forecast(
 
     ``literals`` are settings by name that ride along as constant grouping columns and replace
     those of ``spec`` inside the task; they are not part of the result.
-
-    The explicit partition number matters: the rows are few but the work per group is not, and
-    adaptive execution would otherwise merge the small partitions into one task.
     """
-    spark = sales.sparkSession
-    if n_partitions is None:
-        configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        n_partitions = max(configured, spark.sparkContext.defaultParallelism)
+    n_partitions = n_partitions or task_count(sales.sparkSession)
     if spec.origin == "cutoff" and cutoffs is None:
         raise ValueError("origin='cutoff' needs cutoffs")
     obs = observations(sales, keys).withColumn("y", F.col("y").cast("double"))

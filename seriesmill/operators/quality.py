@@ -13,9 +13,12 @@ from seriesmill.sources.contract import Contract
 
 
 def enforce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
-    """Rows that keep every row rule, in the declared types, and the others with the first broken ``_rule``."""
+    """Rows that keep every row rule, in the declared types, and the others with the first broken ``_rule``.
+
+    Columns outside the contract pass through.
+    """
     checked = df.withColumn("_rule", contract.first_broken_rule())
-    good = checked.where(F.col("_rule").isNull()).select(*contract.typed())
+    good = checked.where(F.col("_rule").isNull()).withColumns(contract.typed()).drop("_rule")
     bad = checked.where(F.col("_rule").isNotNull())
     return good, bad
 
@@ -95,33 +98,29 @@ def alerts(metrics: DataFrame, rules: Sequence[AlertRule]) -> DataFrame:
 
 
 def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Number of rows against each rule of the contract: rule, column, n_bad, including zeros."""
+    """Number of rows against each rule of the contract: rule, column, n_bad, including zeros.
+
+    One scan serves all rules. With a unique key the counts are first taken per key, which the
+    search for duplicates needs anyway; one key is a single row after the partial sums.
+    """
 
     def finding(rule: str, column: str, n: Column) -> Column:
         return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), n.cast("bigint").alias("n_bad"))
 
     missing = [c.name for c in contract.columns if c.name not in df.columns]
     rules = [r for r in contract.row_rules() if r[1] not in missing]
-    counts = df.agg(
-        F.count("*").alias("rows"), *[F.count_if(broken).alias(f"bad{i}") for i, (_, _, broken) in enumerate(rules)]
-    )
-    found = counts.select(
-        F.inline(
-            F.array(
-                *[finding("missing", name, F.col("rows")) for name in missing],
-                *[finding(rule, name, F.col(f"bad{i}")) for i, (rule, name, _) in enumerate(rules)],
-            )
-        )
-    )
-    key = contract.unique_key
-    if key and not set(key) & set(missing):
-        extra = df.groupBy(*key).agg((F.count("*") - 1).alias("extra"))
-        found = found.unionByName(
-            extra.agg(F.coalesce(F.sum("extra"), F.lit(0)).alias("extra")).select(
-                F.inline(F.array(finding("unique", ",".join(key), F.col("extra"))))
-            )
-        )
-    return found
+    key = [] if set(contract.unique_key) & set(missing) else list(contract.unique_key)
+    counts = [F.count("*").alias("rows"), *[F.count_if(broken).alias(f"bad{i}") for i, (_, _, broken) in enumerate(rules)]]
+    findings = [finding("missing", name, F.col("rows")) for name in missing]
+    findings += [finding(rule, name, F.col(f"bad{i}")) for i, (rule, name, _) in enumerate(rules)]
+    if key:
+        sums = [F.sum("rows").alias("rows"), F.sum(F.col("rows") - 1).alias("extra")]
+        sums += [F.sum(f"bad{i}").alias(f"bad{i}") for i in range(len(rules))]
+        total = df.groupBy(*key).agg(*counts).agg(*sums).na.fill(0)
+        findings.append(finding("unique", ",".join(key), F.col("extra")))
+    else:
+        total = df.agg(*counts)
+    return total.select(F.inline(F.array(*findings)))
 
 
 def sample_series(df: DataFrame, keys: Sequence[str], n: int, part: int = 0) -> DataFrame:

@@ -21,13 +21,9 @@ def clean_sales(
     outside the contract.
     """
     good, bad = enforce(raw, contract)
-    if not contract.unique_key:
-        return good, bad
-    names = [c.name for c in contract.columns]
-    extra = [c for c in latest_by if c not in names]
-    if extra:
-        good = raw.where(contract.first_broken_rule().isNull()).select(*contract.typed(), *extra)
-    return dedup(good, contract.unique_key, latest_by).select(*names), bad
+    if contract.unique_key:
+        good = dedup(good, contract.unique_key, latest_by)
+    return good.select(*[c.name for c in contract.columns]), bad
 
 
 AGGREGATES = {

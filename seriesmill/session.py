@@ -16,7 +16,7 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     machine, so a missing setting is an error.
     """
     context = spark.sparkContext
-    base = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")

@@ -49,8 +49,8 @@ class Contract:
         """Name of the first broken rule as ``rule:column``, NULL for a good row."""
         return F.coalesce(*[F.when(broken, F.lit(f"{rule}:{name}")) for rule, name, broken in self.row_rules()])
 
-    def typed(self) -> list[Column]:
-        return [F.col(c.name).try_cast(c.type).alias(c.name) for c in self.columns]
+    def typed(self) -> dict[str, Column]:
+        return {c.name: F.col(c.name).try_cast(c.type) for c in self.columns}
 
 
 SALES_CONTRACT = Contract(

@@ -12,6 +12,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.session import shared_folder
+
 VERSION = "arrival_version"
 
 
@@ -33,12 +35,21 @@ def save(
     path: str | None = None,
     mode: str = "error",
     partition_by: Sequence[str] = (),
+    bucket_by: tuple[int, Sequence[str]] | None = None,
 ) -> None:
     """Write a whole table; ``mode`` says what happens if it exists, and an existing one is an error by default.
 
-    A catalog table is external if it is given a ``path``.
+    A catalog table is external if it is given a ``path``. ``bucket_by`` (number, columns) stores a
+    catalog table by the hash of its series: jobs that group by those columns then need no shuffle,
+    which pays for a sales table that is read for every retraining. The rows are spread by bucket
+    first, so that each bucket becomes one file.
     """
+    if bucket_by is not None:
+        number, columns = bucket_by
+        df = df.repartition(number, *columns)
     writer = df.write.mode(mode).format("parquet")
+    if bucket_by is not None:
+        writer = writer.bucketBy(number, *columns).sortBy(*columns)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if path is not None:
@@ -46,6 +57,18 @@ def save(
     writer.save(target) if _is_path(target) else writer.saveAsTable(target)
 
 
+def materialise(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
+
+    For an intermediate that several branches of a plan need: each would otherwise repeat its scans,
+    since filters that Spark infers differ from branch to branch and keep it from reusing a shuffle.
+    The written table outlives lost executors.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    save(df, path)
+    return read_table(df.sparkSession, path)
+
+
 @contextmanager
 def _only_named_partitions(spark: SparkSession) -> Iterator[None]:
     setting = "spark.sql.sources.partitionOverwriteMode"
