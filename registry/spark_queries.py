@@ -487,6 +487,12 @@ def grouped_map_forecast(spark, folder):
     return grouped_forecast(train(spark, folder), ["store", "item"], ForecastSpec(), piecewise_seasonal_model)
 
 
+@query
+def grouped_map_forecast_500(spark, folder):
+    sales = daily_sales(spark, folder, end=CUT, n_stores=10, n_items=50)
+    return grouped_forecast(sales, ["store", "item"], ForecastSpec(), piecewise_seasonal_model)
+
+
 @query
 def grouped_map_weekday_mean(spark, folder):
     return grouped_forecast(train(spark, folder), ["store", "item"], ForecastSpec(), weekday_mean_model)

@@ -130,7 +130,11 @@ def fit(
     if cutoffs is not None:
         obs = up_to_cutoffs(obs, keys, cutoffs)
         group = ["training_date", *keys]
-    series = f"(PARTITION BY {', '.join(_quoted(group))})"
+    # The whole series, in day order: floating-point sums then come out the same on every run.
+    series = (
+        f"(PARTITION BY {', '.join(_quoted(group))} ORDER BY ds"
+        " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
+    )
     head = [*_quoted(group), "ds", "y"]
     obs = obs.withColumn("y", F.col("y").cast("double"))
 
