@@ -91,6 +91,8 @@ OVERVIEW = f"""{SERIES}, {ALLOCATED}, {HOLDOUT}, overview AS (
                f.yhat - g.yhat AS pred_diff, t.sales - f.yhat AS miss, t.sales - g.yhat AS agg_miss
         FROM holdout t JOIN s_fc f ON t.date = f.ds AND t.store = f.store AND t.item = f.item
         JOIN alloc g ON t.date = g.ds AND t.store = g.store AND t.item = g.item)"""
+OVERVIEW_ROWS = f"""SELECT date, store, item, y, {bounds()}, {r('yhat_agg', 'yhat_agg')},
+        {r('pred_diff', 'pred_diff')}, {r('miss', 'miss')}, {r('agg_miss', 'agg_miss')} FROM overview"""
 STACKED = f"""{OVERVIEW}, stacked AS (
         SELECT store, item, y, yhat, 'store_item' AS model FROM overview UNION ALL
         SELECT store, item, y, yhat_agg, 'allocated' FROM overview),
@@ -246,6 +248,7 @@ ORACLE: dict[str, str] = {
     "series_list": f"WITH {sales()} SELECT DISTINCT store, item FROM sales",
     "train_sales": f"WITH {sales()} SELECT * FROM sales WHERE date < {CUT}",
     "holdout_sales": f"WITH {sales()} SELECT * FROM sales WHERE date >= {CUT}",
+    "sales_preview": f"WITH {sales()} SELECT * FROM sales ORDER BY date, store, item LIMIT 10",
     "series_forecast": f"WITH {SERIES} SELECT store, item, ds, {bounds()} FROM s_fc",
     "series_forecast_500": f"""WITH {sales('train', f'date < {CUT}', 10, 50)}, {OBS},
         {model('obs', 'store, item', 's_', ahead('last_ds', 30))} SELECT store, item, ds, {bounds()} FROM s_fc""",
@@ -266,8 +269,8 @@ ORACLE: dict[str, str] = {
     "store_item_share": f"WITH {TRAIN}, {SHARE} SELECT item, store, {r('ratio', 'ratio')}, store_item_sales, item_sales FROM share",
     "item_forecast": f"WITH {TRAIN}, {ITEMS} SELECT item, ds, {bounds()} FROM i_fc",
     "allocated_forecast": f"WITH {TRAIN}, {ALLOCATED} SELECT store, item, ds, {r('yhat', 'yhat')} FROM alloc",
-    "prediction_overview": f"""WITH {OVERVIEW} SELECT date, store, item, y, {bounds()}, {r('yhat_agg', 'yhat_agg')},
-        {r('pred_diff', 'pred_diff')}, {r('miss', 'miss')}, {r('agg_miss', 'agg_miss')} FROM overview""",
+    "prediction_overview": f"WITH {OVERVIEW} {OVERVIEW_ROWS}",
+    "overview_of_one_item": f"WITH {OVERVIEW} {OVERVIEW_ROWS} WHERE item = 1",
     "series_metrics": f"WITH {STACKED} SELECT {METRICS} FROM metrics WHERE model = 'store_item'",
     "allocation_metrics": f"WITH {STACKED} SELECT {METRICS} FROM metrics WHERE model = 'allocated'",
     "strategy_comparison": f"WITH {STACKED} SELECT {METRICS} FROM metrics",

@@ -125,6 +125,11 @@ def holdout_sales(spark, folder):
     return time_split(daily_sales(spark, folder), CUT)[1]
 
 
+@query
+def sales_preview(spark, folder):
+    return daily_sales(spark, folder).orderBy("date", "store", "item").limit(10)
+
+
 # Forecast per series
 
 
@@ -206,6 +211,14 @@ def prediction_overview(spark, folder):
     return overview(spark, folder)
 
 
+@query
+def overview_of_one_item(spark, folder):
+    overview(spark, folder).createOrReplaceTempView("seriesmill_overview")
+    return spark.sql(
+        "SELECT * FROM seriesmill_overview WHERE item = :item ORDER BY date, store", args={"item": 1}
+    )
+
+
 @query
 def series_metrics(spark, folder):
     return evaluate.error_metrics(overview(spark, folder), model=evaluate.PER_SERIES)
@@ -291,7 +304,7 @@ def coverage_overall(spark, folder):
 def grown_table(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "grown")
     versions = walk_forward.version_arrivals(daily_sales(spark, folder, end="2001-10-07"), CUT)
-    tables.save_partition(versions, path, tables.VERSION)
+    tables.save(versions, path, partition_by=[tables.VERSION])
     redelivered = versions.where(F.col(tables.VERSION) == 3)
     tables.save_partition(redelivered, path, tables.VERSION)
     return tables.read_table(spark, path)

@@ -107,7 +107,7 @@ def _trend_sql(ds: str) -> str:
 
 
 def _array_sql(prefix: str, members: range) -> str:
-    return "array(" + ", ".join(f"{prefix}{m}" for m in members) + ")"
+    return "array(" + ", ".join(f"coalesce({prefix}{m}, 1.0D)" for m in members) + ")"
 
 
 def _quoted(names: Sequence[str]) -> list[str]:
@@ -130,51 +130,67 @@ def fit(
     if cutoffs is not None:
         obs = up_to_cutoffs(obs, keys, cutoffs)
         group = ["training_date", *keys]
-    # The whole series, in day order: floating-point sums then come out the same on every run.
-    series = (
-        f"(PARTITION BY {', '.join(_quoted(group))} ORDER BY ds"
-        " ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"
-    )
-    head = [*_quoted(group), "ds", "y"]
-    obs = obs.withColumn("y", F.col("y").cast("double"))
-
-    # The steps below share one window, hence one shuffle and one sort. Plain SQL expressions keep
-    # the number of calls into the JVM small; there are some forty of them.
-    several_days = f"max(t) OVER {series} > min(t) OVER {series}"
-    trended = obs.selectExpr(*head, f"CAST(datediff(ds, DATE '{DAY_ZERO}') AS DOUBLE) AS t").selectExpr(
-        *head,
-        f"CASE WHEN {several_days} THEN regr_slope(y, t) OVER {series} ELSE 0.0D END AS slope",
-        f"CASE WHEN {several_days} THEN regr_intercept(y, t) OVER {series} ELSE avg(y) OVER {series} END AS intercept",
+    groups = ", ".join(_quoted(group))
+    # Windows run in a fixed row order: floating-point sums then come out the same on every run.
+    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    series = f"(PARTITION BY {groups} ORDER BY ds {whole})"
+    same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {whole})"
+    same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {whole})"
+    head = _quoted(group)
+
+    # Plain SQL expressions keep the number of calls into the JVM small; there are some forty of them.
+    moments = {"mean_t": "avg(t)", "mean_y": "avg(y)", "var_t": "var_pop(t)", "covar": "covar_pop(y, t)"}
+    rows = (
+        obs.selectExpr(*head, "ds", "CAST(y AS DOUBLE) AS y", f"CAST(datediff(ds, DATE '{DAY_ZERO}') AS DOUBLE) AS t")
+        .selectExpr(*head, "ds", "y", *[f"{e} OVER {series} AS {name}" for name, e in moments.items()])
+        # A series of a single day has no direction: its line is its mean.
+        .selectExpr(*head, "ds", "y", "mean_t", "mean_y", "CASE WHEN var_t > 0 THEN covar / var_t ELSE 0.0D END AS slope")
+        .selectExpr(*head, "ds", "y", "slope", "mean_y - slope * mean_t AS intercept")
+        .selectExpr(*head, "ds", "y", "slope", "intercept", f"{_trend_sql('ds')} AS trend")
     )
 
-    # A weekday or month without observations has no index of its own and counts as neutral.
-    def index(ratio: str, by: str, member: int, used: bool) -> str:
-        return f"coalesce(avg(CASE WHEN {by} = {member} THEN {ratio} END) OVER {series}, 1.0D)" if used else "1.0D"
-
-    weekly = [f"greatest({index('y / trend', 'weekday', d, spec.weekly)}, {FLOOR}D) AS w{d}" for d in WEEKDAYS]
-    yearly = [f"{index('y / level', 'month', m, spec.yearly)} AS m{m}" for m in MONTHS]
-    w, m = [f"w{d}" for d in WEEKDAYS], [f"m{k}" for k in MONTHS]
-    line = ["slope", "intercept"]
-    rows = (
-        trended.selectExpr(*head, *line, f"{_trend_sql('ds')} AS trend", "dayofweek(ds) AS weekday", "month(ds) AS month")
-        .selectExpr(*head, *line, "trend", "weekday", "month", *weekly)
-        .selectExpr(*head, *line, "month", *w, f"trend * element_at({_array_sql('w', WEEKDAYS)}, weekday) AS level")
-        .selectExpr(*head, *line, "month", "level", *w, *yearly)
+    # Given the trend, a factor is the same for all days of one month and weekday. The moments of these
+    # cells, 84 at most per series, therefore hold all that the indices and the residuals need.
+    cells = rows.groupBy(*group, F.month("ds").alias("month"), F.dayofweek("ds").alias("weekday")).agg(
+        *[
+            F.expr(e)
+            for e in (
+                "count(*) AS n", "min(ds) AS first_ds", "max(ds) AS last_ds",
+                "max(slope) AS slope", "max(intercept) AS intercept",
+                "avg(y / trend) AS ratio", "avg(y) AS mean_y", "avg(trend) AS mean_trend",
+                "var_pop(y) AS var_y", "var_pop(trend) AS var_trend", "covar_pop(y, trend) AS covar",
+            )
+        ],
+        *([F.collect_list("ds").alias("history")] if spec.include_history else []),
     )
-    days_seen = ["collect_list(ds) AS history"] if spec.include_history else []
-    parts = [
-        "count(*) AS n", "min(ds) AS first_ds", "max(ds) AS last_ds", "max(intercept) AS intercept", "max(slope) AS slope",
-        f"stddev_samp(y - level * element_at({_array_sql('m', MONTHS)}, month)) AS sd",
-        *[f"max({p}) AS {p}" for p in w + m],
-        *days_seen,
+    weekly = f"greatest(sum(n * ratio) OVER {same_weekday} / sum(n) OVER {same_weekday}, {FLOOR}D)"
+    yearly = f"sum(n * ratio / w) OVER {same_month} / sum(n) OVER {same_month}"
+    cells = (
+        cells.selectExpr("*", f"{weekly if spec.weekly else '1.0D'} AS w")
+        .selectExpr("*", f"{yearly if spec.yearly else '1.0D'} AS m")
+        .selectExpr(
+            "*",
+            "mean_y - w * m * mean_trend AS residual",
+            "greatest(var_y - 2 * w * m * covar + w * m * w * m * var_trend, 0.0D) AS var_residual",
+        )
+    )
+    sums = [
+        "sum(n) AS n", "min(first_ds) AS first_ds", "max(last_ds) AS last_ds",
+        "max(intercept) AS intercept", "max(slope) AS slope",
+        "sum(n * var_residual) AS within", "sum(n * residual * residual) AS square", "sum(n * residual) AS total",
+        *[f"max(CASE WHEN weekday = {d} THEN w END) AS w{d}" for d in WEEKDAYS],
+        *[f"max(CASE WHEN month = {k} THEN m END) AS m{k}" for k in MONTHS],
+        *(["array_sort(flatten(collect_list(history))) AS history"] if spec.include_history else []),
     ]
+    # A weekday or month without observations has no index of its own and counts as neutral.
     return (
-        rows.groupBy(*group)
-        .agg(*[F.expr(p) for p in parts])
+        cells.groupBy(*group)
+        .agg(*[F.expr(e) for e in sums])
         .selectExpr(
-            *_quoted(group), "n", "first_ds", "last_ds", "intercept", "slope", "sd",
-            f"{_array_sql('w', WEEKDAYS)} AS weekly",
-            f"{_array_sql('m', MONTHS)} AS yearly",
+            *head, "n", "first_ds", "last_ds", "intercept", "slope",
+            "sqrt(greatest(within + square - total * total / n, 0.0D) / nullif(n - 1, 0)) AS sd",
+            _array_sql("w", WEEKDAYS) + " AS weekly",
+            _array_sql("m", MONTHS) + " AS yearly",
             *(["history"] if spec.include_history else []),
         )
     )

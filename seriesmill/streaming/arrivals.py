@@ -11,12 +11,15 @@ from seriesmill.operators.forecast import KEYS, ForecastSpec
 from seriesmill.operators.quality import dedup
 from seriesmill.plans.walk_forward import NEXT_DAY, store_forecasts, walk_forward
 from seriesmill.sources.sales import SALES_DDL
-from seriesmill.sources.tables import VERSION, read_table, save_partition
+from seriesmill.sources.tables import VERSION, read_table, save, save_partition
 
 
 def seed(sales: DataFrame, target: str) -> None:
-    """Start the growing table: version 0 is everything known before the first delivery."""
-    save_partition(sales.withColumn(VERSION, F.lit(0).cast("bigint")), target, VERSION)
+    """Start the growing table: version 0 is everything known before the first delivery.
+
+    Written without the rebalancing of later versions, which would shuffle the whole history once.
+    """
+    save(sales.withColumn(VERSION, F.lit(0).cast("bigint")), target, partition_by=[VERSION])
 
 
 def current_sales(spark: SparkSession, target: str) -> DataFrame:
