@@ -89,14 +89,14 @@ def save_partition(df: DataFrame, target: str, by: str) -> None:
     spark = df.sparkSession
     columns = [c for c in df.columns if c != by] + [by]
     rows = df.select(*columns).hint("rebalance", by)
-    with _only_named_partitions(spark):
-        if _is_path(target):
-            rows.write.mode("overwrite").partitionBy(by).parquet(target)
-        elif spark.catalog.tableExists(target):
-            order = spark.table(target).columns
-            rows.select(*order).write.insertInto(target, overwrite=True)
-        else:
-            rows.write.partitionBy(by).format("parquet").saveAsTable(target)
+    if _is_path(target):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(target)
+    elif spark.catalog.tableExists(target):
+        # insertInto takes the mode from the session only.
+        with _only_named_partitions(spark):
+            rows.select(*spark.table(target).columns).write.insertInto(target, overwrite=True)
+    else:
+        rows.write.partitionBy(by).format("parquet").saveAsTable(target)
 
 
 def use_database(spark: SparkSession, name: str, location: str | None = None) -> None:
