@@ -3,7 +3,8 @@
 A series is the rows that share the key columns. Its model is a linear trend times a weekday index
 times a month index, with a normal interval around it. Fitting costs one shuffle by the key: every
 later step needs the same grouping, so it runs on the rows where they are. The result is one short
-row per series (the fitted model), and the forecast unfolds that row without any join.
+row per series (the fitted model), and the forecast unfolds that row without any join. Plain SQL
+expressions state the steps, since each ``Column`` call is a round trip to the JVM.
 
 Rows of one series and day are added up before anything is grouped by series, with partial sums
 before the shuffle. A series therefore reaches its task as one row per calendar day at most,
@@ -114,6 +115,50 @@ def _quoted(names: Sequence[str]) -> list[str]:
     return [f"`{n}`" for n in names]
 
 
+# Windows run in day order: floating-point sums then come out the same on every run.
+WHOLE = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+
+
+def _with_line(obs: DataFrame, keys: Sequence[str], frame: str, *more: str) -> DataFrame:
+    """(keys, ds, y, slope, intercept, more): the least-squares line over each row's frame."""
+    over = f"OVER (PARTITION BY {', '.join(_quoted(keys))} ORDER BY ds {frame})"
+    head = [*_quoted(keys), "ds", "y"]
+    moments = {"mean_t": "avg(t)", "mean_y": "avg(y)", "var_t": "var_pop(t)", "covar": "covar_pop(y, t)"}
+    names = [m.split(" AS ")[-1] for m in more]
+    return (
+        obs.selectExpr(*_quoted(keys), "ds", "CAST(y AS DOUBLE) AS y", f"CAST(datediff(ds, DATE '{DAY_ZERO}') AS DOUBLE) AS t")
+        .selectExpr(*head, *[f"{e} {over} AS {name}" for name, e in moments.items()], *more)
+        # A single day has no direction: its line is its mean.
+        .selectExpr(*head, "mean_t", "mean_y", "CASE WHEN var_t > 0 THEN covar / var_t ELSE 0.0D END AS slope", *names)
+        .selectExpr(*head, "slope", "mean_y - slope * mean_t AS intercept", *names)
+    )
+
+
+def _with_lines_at(obs: DataFrame, keys: Sequence[str], cutoffs: Sequence[dt.date | str]) -> DataFrame:
+    """(training_date, keys, ds, y, slope, intercept): each row once per cutoff on or after its day.
+
+    The line at a cutoff is the running line at the last day before it, so one sorted pass over the
+    series yields all lines. They are handed to every row of the series as a short array, and only
+    then do the rows multiply: what is shuffled and sorted does not grow with the cutoffs.
+    """
+    by = ", ".join(_quoted(keys))
+    dates = sorted({as_date(c) for c in cutoffs})
+    days = "array(" + ", ".join(f"DATE '{d}'" for d in dates) + ")"
+    spread = obs.where(F.col("ds") <= F.lit(dates[-1])).repartition(task_count(obs.sparkSession), *keys)
+    running = _with_line(spread, keys, SO_FAR, f"lead(ds) OVER (PARTITION BY {by} ORDER BY ds) AS next_ds")
+    mine = f"filter({days}, c -> c >= ds AND (next_ds IS NULL OR c < next_ds))"
+    line = "named_struct('training_date', c, 'slope', slope, 'intercept', intercept)"
+    return (
+        running.selectExpr(*_quoted(keys), "ds", "y", f"transform({mine}, c -> {line}) AS lines")
+        .selectExpr(
+            *_quoted(keys), "ds", "y",
+            f"collect_list(CASE WHEN size(lines) > 0 THEN lines END) OVER (PARTITION BY {by} ORDER BY ds {WHOLE}) AS lines",
+        )
+        .selectExpr(*_quoted(keys), "ds", "y", "inline(filter(flatten(lines), l -> l.training_date >= ds))")
+    )
+
+
 def fit(
     sales: DataFrame,
     keys: Sequence[str] = KEYS,
@@ -126,28 +171,15 @@ def fit(
     yearly array of 12, and with ``include_history`` the days seen.
     """
     obs = observations(sales, keys)
-    group = list(keys)
-    if cutoffs is not None:
-        obs = up_to_cutoffs(obs, keys, cutoffs)
-        group = ["training_date", *keys]
-    groups = ", ".join(_quoted(group))
-    # Windows run in a fixed row order: floating-point sums then come out the same on every run.
-    whole = "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
-    series = f"(PARTITION BY {groups} ORDER BY ds {whole})"
-    same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {whole})"
-    same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {whole})"
+    if cutoffs is None:
+        group, rows = list(keys), _with_line(obs, keys, WHOLE)
+    else:
+        group, rows = ["training_date", *keys], _with_lines_at(obs, keys, cutoffs)
     head = _quoted(group)
-
-    # Plain SQL expressions keep the number of calls into the JVM small; there are some forty of them.
-    moments = {"mean_t": "avg(t)", "mean_y": "avg(y)", "var_t": "var_pop(t)", "covar": "covar_pop(y, t)"}
-    rows = (
-        obs.selectExpr(*head, "ds", "CAST(y AS DOUBLE) AS y", f"CAST(datediff(ds, DATE '{DAY_ZERO}') AS DOUBLE) AS t")
-        .selectExpr(*head, "ds", "y", *[f"{e} OVER {series} AS {name}" for name, e in moments.items()])
-        # A series of a single day has no direction: its line is its mean.
-        .selectExpr(*head, "ds", "y", "mean_t", "mean_y", "CASE WHEN var_t > 0 THEN covar / var_t ELSE 0.0D END AS slope")
-        .selectExpr(*head, "ds", "y", "slope", "mean_y - slope * mean_t AS intercept")
-        .selectExpr(*head, "ds", "y", "slope", "intercept", f"{_trend_sql('ds')} AS trend")
-    )
+    groups = ", ".join(head)
+    same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {WHOLE})"
+    same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {WHOLE})"
+    rows = rows.selectExpr(*head, "ds", "y", "slope", "intercept", f"{_trend_sql('ds')} AS trend")
 
     # Given the trend, a factor is the same for all days of one month and weekday. The moments of these
     # cells, 84 at most per series, therefore hold all that the indices and the residuals need.

@@ -21,7 +21,7 @@ from seriesmill.plans.strategies import allocated_forecast
 from seriesmill.plans.walk_forward import walk_forward
 
 
-def brute_force(observed, h, z=NormalDist().inv_cdf(0.975)):
+def brute_force(observed, h, z=NormalDist().inv_cdf(0.975), after=None):
     """The closed form for one series, step by step in plain Python: [(day, yhat, lower, upper)]."""
     days = sorted(observed)
     t = {d: (d - DAY_ZERO).days for d in days}
@@ -49,7 +49,7 @@ def brute_force(observed, h, z=NormalDist().inv_cdf(0.975)):
         return trend(d) * weekly.get(d.weekday(), 1.0) * yearly.get(d.month, 1.0)
 
     margin = z * stdev([y[d] - value(d) for d in days]) if len(days) > 1 else None
-    ahead = [days[-1] + dt.timedelta(days=n + 1) for n in range(h)]
+    ahead = [(after or days[-1]) + dt.timedelta(days=n + 1) for n in range(h)]
     return [(d, value(d), None if margin is None else value(d) - margin, None if margin is None else value(d) + margin) for d in ahead]
 
 
@@ -79,6 +79,52 @@ def test_equals_brute_force_on_random_series(spark, all_series):
         assert close(row["yhat"], yhat) and close(row["yhat_lower"], lower) and close(row["yhat_upper"], upper)
 
 
+@settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.dictionaries(st.dates(dt.date(2001, 1, 1), dt.date(2001, 6, 30)), st.integers(0, 500), min_size=1, max_size=50),
+        min_size=1,
+        max_size=4,
+    ),
+    st.sets(st.dates(dt.date(2000, 12, 20), dt.date(2001, 7, 10)), min_size=1, max_size=9),
+)
+def test_walk_forward_equals_brute_force_on_random_cutoffs(spark, all_series, cutoffs):
+    rows = [r for item, observed in enumerate(all_series) for r in rows_of(observed, item=item)]
+    out = walk_forward(sales_frame(spark, rows), sorted(cutoffs), spec=ForecastSpec(h=3, origin="cutoff"))
+    got = out.orderBy("training_date", "item", "ds").collect()
+    expected = [
+        (cutoff, item, *e)
+        for cutoff in sorted(cutoffs)
+        for item, observed in enumerate(all_series)
+        if (seen := {d: v for d, v in observed.items() if d <= cutoff})
+        for e in brute_force(seen, 3, after=cutoff)
+    ]
+    assert len(got) == len(expected)
+    for row, (cutoff, item, ds, yhat, lower, upper) in zip(got, expected):
+        assert (row["training_date"], row["item"], row["ds"]) == (cutoff, item, ds)
+        assert close(row["yhat"], yhat) and close(row["yhat_lower"], lower) and close(row["yhat_upper"], upper)
+
+
+def test_a_year_of_cutoffs_runs_as_one_job(spark, small):
+    cutoffs = [dt.date(2000, 10, 1) + dt.timedelta(days=n) for n in range(365)]
+    sales = train(spark, small)
+    out = walk_forward(sales, cutoffs)
+    assert out.count() == 365 * sales.where("date <= '2000-10-01'").select("store", "item").distinct().count()
+    some = out.where("training_date = '2001-03-05'").drop("training_date")
+    alone = walk_forward(sales, ["2001-03-05"]).drop("training_date")
+    assert tuples(some, "store", "item") == tuples(alone, "store", "item")
+
+
+def test_results_do_not_depend_on_the_order_or_spread_of_the_rows(spark, small):
+    sales = train(spark, small)
+    results = []
+    for partitions, order in ((1, "date"), (7, "sales"), (3, "item")):
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions + 2))
+        results.append(tuples(forecast(sales.repartition(partitions).sortWithinPartitions(order)), "store", "item", "ds"))
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert results[0] == results[1] == results[2]
+
+
 def test_one_hot_series_among_many_small_ones(spark):
     start = dt.date(2000, 1, 1)
     hot = {start + dt.timedelta(days=n): 50 + n % 7 for n in range(400)}

@@ -46,8 +46,10 @@ def test_native_forecast_shuffles_twice_and_runs_no_python(plan_of):
 def test_cutoffs_do_not_multiply_the_shuffle(plan_of):
     plan = plan_of("walk_forward_forecast")
     assert n("Exchange hashpartitioning", plan) == 2 and n("FileScan", plan) == 1
-    # Plans print the last operator first: the explosion comes after the exchange by series.
-    assert plan.index("filter(") < plan.index("REPARTITION_BY_NUM")
+    # Plans print the last operator first: rows multiply after the shuffle and the sort by series.
+    before = plan[plan.index("Generate inline"):]
+    assert "REPARTITION_BY_NUM" in before and n(r"\bSort ", before) == 1
+    assert "training_date" not in before[before.index("REPARTITION_BY_NUM"):]
 
 
 def test_bucketed_table_needs_no_shuffle_at_all(plan_of):
