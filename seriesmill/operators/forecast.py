@@ -83,6 +83,13 @@ def task_count(spark: SparkSession) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def _distinct_dates(cutoffs: Sequence[dt.date | str]) -> list[dt.date]:
+    dates = sorted({as_date(c) for c in cutoffs})
+    if not dates:
+        raise ValueError("at least one cutoff is needed")
+    return dates
+
+
 def up_to_cutoffs(
     obs: DataFrame,
     keys: Sequence[str],
@@ -94,7 +101,7 @@ def up_to_cutoffs(
     The rows are spread by series before they are multiplied, so the shuffle moves them once and
     each (cutoff, series) stays in the task that already holds the series.
     """
-    dates = sorted({as_date(c) for c in cutoffs})
+    dates = _distinct_dates(cutoffs)
     days = F.array(*[F.lit(c) for c in dates])
     return (
         obs.where(F.col("ds") <= F.lit(dates[-1]))
@@ -143,7 +150,7 @@ def _with_lines_at(obs: DataFrame, keys: Sequence[str], cutoffs: Sequence[dt.dat
     then do the rows multiply: what is shuffled and sorted does not grow with the cutoffs.
     """
     by = ", ".join(_quoted(keys))
-    dates = sorted({as_date(c) for c in cutoffs})
+    dates = _distinct_dates(cutoffs)
     days = "array(" + ", ".join(f"DATE '{d}'" for d in dates) + ")"
     spread = obs.where(F.col("ds") <= F.lit(dates[-1])).repartition(task_count(obs.sparkSession), *keys)
     running = _with_line(spread, keys, SO_FAR, f"lead(ds) OVER (PARTITION BY {by} ORDER BY ds) AS next_ds")

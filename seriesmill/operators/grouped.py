@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
-from seriesmill.operators.forecast import KEYS, ForecastSpec, observations, task_count, up_to_cutoffs
+from seriesmill.operators.forecast import ForecastSpec, observations, task_count, up_to_cutoffs
 
 # (history with ds and y by day, days to predict, settings) -> ds, yhat, yhat_lower, yhat_upper
 FitPredict = Callable[[pd.DataFrame, pd.DatetimeIndex, ForecastSpec], pd.DataFrame]

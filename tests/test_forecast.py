@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from registry.spark_queries import CUT, train
 from seriesmill.operators import evaluate
 from seriesmill.operators.allocate import allocate, store_share
-from seriesmill.operators.forecast import DAY_ZERO, ForecastSpec, fit, forecast, forecast_components
+from seriesmill.operators.forecast import DAY_ZERO, ForecastSpec, forecast, forecast_components
 from seriesmill.operators.grouped import grouped_forecast, piecewise_seasonal_model, weekday_mean_model
 from seriesmill.plans.strategies import allocated_forecast
 from seriesmill.plans.walk_forward import walk_forward

@@ -4,7 +4,6 @@ import pytest
 from conftest import final_plan, sales_frame, tuples
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from seriesmill.operators.quality import (
     AlertRule, Source, alerts, contract_violations, dedup, enforce, enrich, enrichment_coverage, profile, sample_series,

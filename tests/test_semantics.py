@@ -193,6 +193,11 @@ def test_origin_cutoff_needs_cutoffs(spark):
         forecast(sales_frame(spark, series("2020-01-01", [1, 2])), spec=ForecastSpec(origin="cutoff"))
 
 
+def test_walk_forward_needs_a_cutoff(spark):
+    with pytest.raises(ValueError, match="cutoff"):
+        walk_forward(sales_frame(spark, series("2020-01-01", [1, 2])), [])
+
+
 @pytest.mark.parametrize("wrong", [{"h": 0}, {"level": 1.0}, {"mode": "additive"}, {"origin": "now"}])
 def test_settings_are_checked(wrong):
     with pytest.raises(ValueError):
