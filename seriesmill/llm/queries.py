@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm.packing import pack
+from seriesmill.llm.prefix_join import jaccard_components
 from seriesmill.llm.token_counts import token_counts
 
 
@@ -19,12 +20,17 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_documents(spark, sf_dir), n=3, percent=90)
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
+    "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
 }
 
