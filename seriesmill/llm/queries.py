@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm.packing import pack
 from seriesmill.llm.prefix_join import jaccard_components
+from seriesmill.llm.suffix_arrays import contamination
 from seriesmill.llm.token_counts import token_counts
 
 
@@ -16,6 +17,10 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -29,6 +34,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
