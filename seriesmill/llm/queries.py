@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from seriesmill.llm.fuzzy_lines import dedup_lines
 from seriesmill.llm.packing import pack
 from seriesmill.llm.prefix_join import jaccard_components
 from seriesmill.llm.suffix_arrays import contamination
@@ -33,11 +34,16 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_fuzzy_line_dedup": op8_fuzzy_line_dedup,
 }
 
 ORACLE: dict[str, str] = {}
