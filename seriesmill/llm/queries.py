@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from seriesmill.llm.fuzzy_lines import dedup_lines
 from seriesmill.llm.packing import pack
 from seriesmill.llm.prefix_join import jaccard_components
+from seriesmill.llm.string_kernel import toxicity
 from seriesmill.llm.suffix_arrays import contamination
 from seriesmill.llm.token_counts import token_counts
 
@@ -38,12 +39,17 @@ def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_fuzzy_line_dedup": op8_fuzzy_line_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 ORACLE: dict[str, str] = {}
