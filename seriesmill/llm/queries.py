@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from seriesmill.llm.brown_lm import score_texts
 from seriesmill.llm.fuzzy_lines import dedup_lines
 from seriesmill.llm.packing import pack
 from seriesmill.llm.prefix_join import jaccard_components
@@ -43,6 +44,10 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_texts(_documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
@@ -50,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_fuzzy_line_dedup": op8_fuzzy_line_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_brown_lm": op10_brown_lm,
 }
 
 ORACLE: dict[str, str] = {}
