@@ -9,17 +9,27 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm.brown_lm import score_texts
 from seriesmill.llm.fuzzy_lines import dedup_lines
+from seriesmill.llm.line_frequency import line_frequency_verdicts
 from seriesmill.llm.packing import pack
 from seriesmill.llm.prefix_join import jaccard_components
 from seriesmill.llm.string_kernel import toxicity
 from seriesmill.llm.suffix_arrays import contamination
 from seriesmill.llm.token_counts import token_counts
+from seriesmill.llm.url_models import judge_urls
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
+def op2_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_frequency_verdicts(_documents(spark, sf_dir))
+
+
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
@@ -49,6 +59,8 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_models": op1_url_models,
+    "op2_line_frequency": op2_line_frequency,
     "op3_decontamination": op3_decontamination,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
