@@ -7,6 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from seriesmill.llm.bootstrap_pii import find_personal_data
 from seriesmill.llm.brown_lm import score_texts
 from seriesmill.llm.fuzzy_lines import dedup_lines
 from seriesmill.llm.line_frequency import line_frequency_verdicts
@@ -34,6 +35,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(_documents(spark, sf_dir))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_models": op1_url_models,
     "op2_line_frequency": op2_line_frequency,
     "op3_decontamination": op3_decontamination,
+    "op4_personal_data": op4_personal_data,
     "op5_token_counts": op5_token_counts,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_best_fit_packing": op7_best_fit_packing,
