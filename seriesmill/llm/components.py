@@ -24,7 +24,7 @@ def components(links: DataFrame) -> DataFrame:
     both = materialise(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a != b").distinct(), "links")
     labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component"))
     while True:
-        labels = materialise(labels.select("id", "component"), "labels")
+        labels = labels.select("id", "component")
         around = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("around"))
         near = labels.join(around, "id").select("id", F.col("component").alias("before"), F.least("component", "around").alias("near"))
         step = near.join(labels.select(F.col("id").alias("near"), F.col("component").alias("far")), "near", "left")
@@ -49,8 +49,7 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
     for turn in range(pivots + 1):
         placed = lists.select("key", row.alias("row"), F.col("id").alias("component"))
         if known is not None:
-            placed = lists.join(known, "id", "left").select("key", row.alias("row"), F.coalesce("component", "id").alias("component"))
-        placed = materialise(placed, "placed")
+            placed = materialise(lists.join(known, "id", "left").select("key", row.alias("row"), F.coalesce("component", "id").alias("component")), "placed")
         spread = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key", "least")
         if turn < pivots:
             # The pivot: in the first turn the smallest id, then the smallest outside that one's component.

@@ -1,12 +1,13 @@
 """Fuzzy line deduplication: MinHash over character shingles, exact verification, union-find.
 
-A line is compared by its characters, A-Z lower-cased and white space collapsed. Signatures are
+A line is compared by its characters (bytes of UTF-8), A-Z lower-cased and white space collapsed. Signatures are
 minima of permuted shingle hashes; bands of them propose pairs, which are verified by exact Jaccard
 similarity of their shingles, and links are joined to components. One line of each component stays:
 the first in the document with the smallest doc_id.
 
 Most band keys belong to one line. The text is read a second time for the others, through a filter of
 fixed size over the shared keys, so that only lines with a possible partner travel with their text.
+Of two lines in one band, sizes and the agreement of all minima are compared before their texts.
 """
 
 from __future__ import annotations
@@ -15,16 +16,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.components import link_lists
-from seriesmill.llm.spans import U, mix, run_hashes, slices
+from seriesmill.llm.spans import LOWER, SPACED, U, mix, slices, span_hashes
 from seriesmill.sources.tables import materialise
 
 SHINGLE, PERCENT = 7, 80
 #: 10 bands of 4 minima find a pair of similarity 0.8 with probability 0.995, one of 0.85 with 0.9994.
 BANDS, ROWS = 10, 4
+#: Of the 40 minima, so many must agree: all but one in a thousand pairs of similarity 0.8 have them.
+MIN_AGREEING = 24
 #: Shorter lines say too little to be told from ordinary text, and stay.
 MIN_CHARS = 16
 #: Words of 64 bits in the filter over shared band keys; false positives cost time only.
@@ -33,65 +36,73 @@ FILTER_WORDS = 1 << 20
 _random = np.random.default_rng(8)
 _XOR = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
 _ODD = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32) | np.uint32(1)
-_SPACE = np.zeros(128, bool)
-_SPACE[[9, 11, 12, 13, 32]] = True
+_SPACE = ~SPACED  # white space, the line break included
+_SPREAD = U(0x9E3779B97F4A7C15)
+
+
+def _packed_shingles(chars: np.ndarray) -> np.ndarray:
+    """Every SHINGLE consecutive characters as one number."""
+    n = len(chars) - SHINGLE + 1
+    if n <= 0:
+        return np.zeros(0, U)
+    two = chars[:-1].astype(U) | chars[1:].astype(U) << U(8)
+    four = two[:-2] | two[2:] << U(16)
+    return four[:n] | two[4 : n + 4] << U(32) | chars[6 : n + 6].astype(U) << U(48)
 
 
 class Lines:
-    """The lines of a slice of texts: their characters, and for each its row, length and hash."""
+    """The lines of a slice of texts: normalised characters, and for each line its row, length and hash."""
 
     def __init__(self, data: np.ndarray, at: np.ndarray):
-        raw = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)
-        # Characters before each row: bytes that do not continue a character.
-        before = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[at]
         rows = len(at) - 1
-        row = np.repeat(np.arange(rows), np.diff(before))
-        breaks = raw == 10
-        # Every row has one line more than line breaks.
-        per_row = np.bincount(row[breaks], minlength=rows) + 1
-        self.row = np.repeat(np.arange(rows), per_row)
-        line = row + np.cumsum(breaks) - breaks
-        self.raw, self.raw_line, self.breaks = raw, line, breaks
-        space = (raw < 128) & _SPACE[np.minimum(raw, 127)]
-        after_space = np.ones(len(raw), bool)
-        after_space[1:] = space[:-1] | (line[1:] != line[:-1]) | breaks[:-1]
-        keep = ~breaks & ~(space & after_space)
-        # A single space may be left at the end of a line.
-        last = np.ones(len(raw), bool)
-        kept = np.flatnonzero(keep)
-        last[kept[:-1]] = line[kept[:-1]] != line[kept[1:]]
-        keep &= ~(space & last)
-        chars, self.line = raw[keep], line[keep]
-        upper = (chars >= 65) & (chars <= 90)
-        self.chars = np.where(space[keep], np.uint32(32), np.where(upper, chars + np.uint32(32), chars))
-        n = len(self.row)
-        self.length = np.bincount(self.line, minlength=n)
-        self.first = np.cumsum(self.length) - self.length
-        sums = np.zeros(len(self.chars) + 1, U)
-        place = np.arange(len(self.chars)) - np.repeat(self.first, self.length)
-        np.cumsum(mix((place.astype(U) << U(32)) | self.chars), out=sums[1:])
-        self.hash = mix(sums[self.first + self.length] - sums[self.first] + self.length.astype(U)).view(np.int64)
+        space = _SPACE[data]
+        breaks = np.flatnonzero(data == 10)
+        # A row has one line more than line breaks.
+        row_of = np.searchsorted(at, breaks, "right") - 1
+        self.row = np.repeat(np.arange(rows), np.bincount(row_of, minlength=rows) + 1)
+        starts, ends = np.sort(np.append(at[:-1], breaks + 1)), np.sort(np.append(at[1:], breaks))
+        # Of white space, one character stays between others: not at a start, not behind another one.
+        keep = np.ones(len(data), bool)
+        keep[1:] = ~(space[1:] & space[:-1])
+        opens = starts[starts < ends]
+        keep[opens] = ~space[opens]
+        keep[breaks] = False
+        kept = np.append(0, np.cumsum(keep))
+        # The one left over at the end of a line goes, too.
+        filled = np.flatnonzero(kept[ends] > kept[starts])
+        last = np.flatnonzero(keep)[kept[ends[filled]] - 1]
+        keep[last[space[last]]] = False
+        kept = np.append(0, np.cumsum(keep))
+        self.chars = np.where(space, np.uint8(32), LOWER[data])[keep]
+        self.first, self.length = kept[starts], kept[ends] - kept[starts]
+        self.hash = span_hashes(self.chars, self.first, self.first + self.length).view(np.int64)
         self.long = np.flatnonzero(self.length >= MIN_CHARS)
 
     def shingles(self, only: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hashes of the shingles of the given lines one after another, and where each line starts."""
+        """32-bit hashes of the shingles of the given lines one after another, and where each line starts."""
         size = self.length[only] - SHINGLE + 1
         starts = np.cumsum(size) - size
-        runs = run_hashes(self.chars.astype(U), SHINGLE)
-        return runs[np.repeat(self.first[only] - starts, size) + np.arange(size.sum())], starts
-
-    def band_keys(self, only: np.ndarray) -> np.ndarray:
-        """One key per line and band."""
-        hashes, starts = self.shingles(only)
-        low = (hashes >> U(32)).astype(np.uint32)
-        keys = np.zeros((len(only), BANDS), U)
+        hashes = (_packed_shingles(self.chars) * _SPREAD >> U(32)).astype(np.uint32)
+        return hashes[np.repeat(self.first[only] - starts, size) + np.arange(size.sum())], starts
+
+    def signatures(self, only: np.ndarray) -> np.ndarray:
+        """Minima of all permutations, a row per line."""
+        low, starts = self.shingles(only)
+        out = np.zeros((len(only), BANDS * ROWS), np.uint32)
         for k in range(BANDS * ROWS):
-            least = np.minimum.reduceat((low ^ _XOR[k]) * _ODD[k], starts)
-            keys[:, k // ROWS] = mix(keys[:, k // ROWS] * U(3) + least + U(k // ROWS))
-        return keys.view(np.int64)
+            out[:, k] = np.minimum.reduceat((low ^ _XOR[k]) * _ODD[k], starts)
+        return out
 
     def texts(self, only: np.ndarray) -> list[str]:
-        return [self.chars[a : a + n].tobytes().decode("utf-32-le") for a, n in zip(self.first[only], self.length[only])]
+        return [self.chars[a : a + n].tobytes().decode() for a, n in zip(self.first[only], self.length[only])]
+
+
+def _band_keys(signatures: np.ndarray) -> np.ndarray:
+    """One key per line and band."""
+    keys = np.zeros((len(signatures), BANDS), U)
+    for k in range(BANDS * ROWS):
+        keys[:, k // ROWS] = mix(keys[:, k // ROWS] * U(3) + signatures[:, k] + U(k // ROWS))
+    return keys.view(np.int64)
 
 
 def _distinct_long_lines(lines: Lines) -> np.ndarray:
@@ -112,7 +123,7 @@ def _band_entries(docs: DataFrame) -> DataFrame:
             for _, _, lines in _lines(batch.column(0)):
                 only = _distinct_long_lines(lines)
                 if len(only):
-                    yield pa.RecordBatch.from_arrays([pa.array(lines.band_keys(only).ravel()), pa.array(np.repeat(lines.hash[only], BANDS))], ["key", "id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(_band_keys(lines.signatures(only)).ravel()), pa.array(np.repeat(lines.hash[only], BANDS))], ["key", "id"])
 
     return docs.select("text").mapInArrow(entries, "key bigint, id bigint")
 
@@ -127,7 +138,7 @@ def _key_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _possible(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """id, keys (those in the filter), text of every line that has one."""
+    """id, keys (those in the filter), size (distinct shingles), sketch (a byte of each minimum), text of every line that has one."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,30 +147,31 @@ def _possible(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 only = _distinct_long_lines(lines)
                 if not len(only):
                     continue
-                keys = lines.band_keys(only)
+                signatures = lines.signatures(only)
+                keys = _band_keys(signatures)
                 word = (keys & (64 * FILTER_WORDS - 1)) >> 6
                 hit = (shared.value[word] >> (keys & 63)) & 1 == 1
                 some = np.flatnonzero(hit.any(axis=1))
                 until = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(until), pa.array(keys[some][hit[some]]))
-                yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only[some]]), lists, pa.array(lines.texts(only[some]), pa.string())], ["id", "keys", "text"])
+                texts = lines.texts(only[some])
+                sizes = np.array([len(_shingle_set(x)) for x in texts], np.int32)
+                places = pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS * ROWS)
+                sketches = pa.ListArray.from_arrays(places, pa.array(signatures[some].astype(np.uint8).view(np.int8).ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only[some]]), lists, pa.array(sizes), sketches, pa.array(texts, pa.string())], ["id", "keys", "size", "sketch", "text"])
 
-    return docs.select("text").mapInArrow(emit, "id bigint, keys array<bigint>, text string")
+    return docs.select("text").mapInArrow(emit, "id bigint, keys array<bigint>, size int, sketch array<tinyint>, text string")
 
 
-def _shingle_sets(text: pa.Array) -> list[np.ndarray]:
-    out = []
-    for x in text.to_pylist():
-        chars = np.frombuffer(x.encode("utf-32-le"), np.uint32).astype(U)
-        out.append(np.unique(run_hashes(chars, SHINGLE)))
-    return out
+def _shingle_set(text: str) -> np.ndarray:
+    return np.unique(_packed_shingles(np.frombuffer(text.encode(), np.uint8)))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
-            for k, (x, y) in enumerate(zip(_shingle_sets(batch.column(2)), _shingle_sets(batch.column(3)))):
+            for k, (x, y) in enumerate(zip(map(_shingle_set, batch.column(2).to_pylist()), map(_shingle_set, batch.column(3).to_pylist()))):
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= PERCENT * (len(x) + len(y) - shared):
                     kept.append(k)
@@ -174,12 +186,17 @@ def line_components(docs: DataFrame) -> DataFrame:
     entries = _band_entries(docs)
     shared = materialise(entries.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key"), "shared-keys")
     possible = materialise(_possible(docs, _key_filter(shared)), "possible-lines")
-    keyed = possible.select("id", F.explode("keys").alias("key"))
-    lists = keyed.join(shared, "key").select("key", "id").distinct()
-    texts = materialise(possible.select("id", "text").dropDuplicates(["id"]), "line-texts")
+    lines = materialise(possible.dropDuplicates(["id"]), "lines")
+    keyed = lines.select("id", "size", "sketch", F.explode("keys").alias("key"))
+    lists = keyed.join(shared, "key").select("key", "id", "size", "sketch")
+    texts = lines.select("id", "text")
+
+    def may_link(x: Column, y: Column) -> Column:
+        """Sizes leave the threshold within reach, and enough minima agree."""
+        equal = F.size(F.filter(F.zip_with(x["sketch"], y["sketch"], lambda a, b: a == b), lambda same: same))
+        return (100 * F.least(x["size"], y["size"]) >= PERCENT * F.greatest(x["size"], y["size"])) & (equal >= MIN_AGREEING)
 
-    # Lengths rule nothing out: a line that repeats itself has few distinct shingles.
-    return link_lists(lists, lambda x, y: F.lit(True), lambda pairs: _verified(pairs, texts))
+    return link_lists(lists, may_link, lambda pairs: _verified(pairs, texts))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -196,8 +213,12 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, _, lines in _lines(batch.column(1)):
-                pairs = np.unique(np.stack([lines.row[lines.long], lines.hash[lines.long]]), axis=1) if len(lines.long) else np.zeros((2, 0), np.int64)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + pairs[0])), pa.array(pairs[1])], ["doc_id", "id"])
+                row, hashes = lines.row[lines.long], lines.hash[lines.long]
+                order = np.lexsort((hashes, row))
+                row, hashes = row[order], hashes[order]
+                again = (row[1:] == row[:-1]) & (hashes[1:] == hashes[:-1])
+                once = np.flatnonzero(np.append(True, ~again)) if len(row) else order
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + row[once])), pa.array(hashes[once])], ["doc_id", "id"])
 
     seen = materialise(docs.select("doc_id", "text").mapInArrow(occurrences, f"doc_id {kind}, id bigint"), "occurrences")
     owner_of = F.coalesce("doc_id", F.lit((1 << 63) - 1))

@@ -175,3 +175,12 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     whole = equal.join(linked, "id", "left").select("sig1", "sig2", F.coalesce("component", "id").alias("component"))
     rows = table.select("doc_id", "size", "sig1", "sig2").join(whole, ["sig1", "sig2"], "left")
     return rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+
+
+def keep_one_per_component(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs``, all columns, with one document of each component: that of the smallest doc_id.
+
+    Of repeated rows of a doc_id one stays. Rows without doc_id stay.
+    """
+    keep = jaccard_components(docs, n, percent).where("component_id = doc_id").select("doc_id").distinct()
+    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns).union(docs.where("doc_id IS NULL"))
