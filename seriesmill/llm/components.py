@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.llm.spans import SKETCH_WORDS
 from seriesmill.sources.tables import materialise
 
 
@@ -33,6 +34,18 @@ def components(links: DataFrame) -> DataFrame:
             return labels.select("id", "component")
 
 
+def within_reach(x: Column, y: Column, percent: int) -> Column:
+    """False only where ``size`` or ``sketch`` prove that the Jaccard similarity of two sets is below ``percent``.
+
+    At that similarity the sizes are in proportion, and the sets differ in no more than
+    (100 - percent) / (100 + percent) of their values together (a bitmap filter, see Sandes et al.,
+    Bitmap filter: speeding up exact set similarity joins with bitwise operations, 2020).
+    """
+    differing = sum((F.bit_count(x["sketch"][k].bitwiseXOR(y["sketch"][k])) for k in range(SKETCH_WORDS)), F.lit(0))
+    sizes = 100 * F.least(x["size"], y["size"]) >= percent * F.greatest(x["size"], y["size"])
+    return sizes & ((100 + percent) * differing <= (100 - percent) * (x["size"] + y["size"]))
+
+
 def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
     """id, component of ids that links join; every two ids of one list (column key) are candidates.
 

@@ -7,7 +7,7 @@ the first in the document with the smallest doc_id.
 
 Most band keys belong to one line. The text is read a second time for the others, through a filter of
 fixed size over the shared keys, so that only lines with a possible partner travel with their text.
-Of two lines in one band, sizes and the agreement of all minima are compared before their texts.
+Of two lines in one band, sizes and sketches of their shingles are compared before their texts.
 """
 
 from __future__ import annotations
@@ -16,18 +16,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.components import link_lists
-from seriesmill.llm.spans import LOWER, SPACED, U, mix, slices, span_hashes
+from seriesmill.llm.components import link_lists, within_reach
+from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, parity_sketch, slices, span_hashes
 from seriesmill.sources.tables import materialise
 
 SHINGLE, PERCENT = 7, 80
 #: 10 bands of 4 minima find a pair of similarity 0.8 with probability 0.995, one of 0.85 with 0.9994.
 BANDS, ROWS = 10, 4
-#: Of the 40 minima, so many must agree: all but one in a thousand pairs of similarity 0.8 have them.
-MIN_AGREEING = 24
 #: Shorter lines say too little to be told from ordinary text, and stay.
 MIN_CHARS = 16
 #: Words of 64 bits in the filter over shared band keys; false positives cost time only.
@@ -138,7 +136,7 @@ def _key_filter(keys: DataFrame) -> np.ndarray:
 
 
 def _possible(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """id, keys (those in the filter), size (distinct shingles), sketch (a byte of each minimum), text of every line that has one."""
+    """id, keys (those in the filter), size (distinct shingles), sketch of those, text of every line that has one."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,20 +145,20 @@ def _possible(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 only = _distinct_long_lines(lines)
                 if not len(only):
                     continue
-                signatures = lines.signatures(only)
-                keys = _band_keys(signatures)
+                keys = _band_keys(lines.signatures(only))
                 word = (keys & (64 * FILTER_WORDS - 1)) >> 6
                 hit = (shared.value[word] >> (keys & 63)) & 1 == 1
                 some = np.flatnonzero(hit.any(axis=1))
                 until = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(until), pa.array(keys[some][hit[some]]))
                 texts = lines.texts(only[some])
-                sizes = np.array([len(_shingle_set(x)) for x in texts], np.int32)
-                places = pa.array(np.arange(len(some) + 1, dtype=np.int32) * BANDS * ROWS)
-                sketches = pa.ListArray.from_arrays(places, pa.array(signatures[some].astype(np.uint8).view(np.int8).ravel()))
+                sets = [_shingle_set(x) for x in texts]
+                sizes = np.array([len(x) for x in sets], np.int32)
+                places = pa.array(np.arange(len(some) + 1, dtype=np.int32) * SKETCH_WORDS)
+                sketches = pa.ListArray.from_arrays(places, pa.array(np.array([parity_sketch(x) for x in sets], np.int64).ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only[some]]), lists, pa.array(sizes), sketches, pa.array(texts, pa.string())], ["id", "keys", "size", "sketch", "text"])
 
-    return docs.select("text").mapInArrow(emit, "id bigint, keys array<bigint>, size int, sketch array<tinyint>, text string")
+    return docs.select("text").mapInArrow(emit, "id bigint, keys array<bigint>, size int, sketch array<bigint>, text string")
 
 
 def _shingle_set(text: str) -> np.ndarray:
@@ -190,13 +188,7 @@ def line_components(docs: DataFrame) -> DataFrame:
     keyed = lines.select("id", "size", "sketch", F.explode("keys").alias("key"))
     lists = keyed.join(shared, "key").select("key", "id", "size", "sketch")
     texts = lines.select("id", "text")
-
-    def may_link(x: Column, y: Column) -> Column:
-        """Sizes leave the threshold within reach, and enough minima agree."""
-        equal = F.size(F.filter(F.zip_with(x["sketch"], y["sketch"], lambda a, b: a == b), lambda same: same))
-        return (100 * F.least(x["size"], y["size"]) >= PERCENT * F.greatest(x["size"], y["size"])) & (equal >= MIN_AGREEING)
-
-    return link_lists(lists, may_link, lambda pairs: _verified(pairs, texts))
+    return link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
@@ -228,8 +220,8 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     owners = labelled.groupBy("label").agg(F.min("holder").alias("owner"), F.max("holder").alias("other"), F.min("id").alias("one"), F.max("id").alias("another"))
     owners = owners.where("owner < other OR one < another").select("label", "owner")
     shared = labelled.join(owners, "label").groupBy("doc_id").agg(F.collect_list(F.struct("id", "label", (F.col("owner") == F.col("holder")).alias("own"))).alias("shared_lines"))
-    shared = shared.withColumnRenamed("doc_id", "shared_doc_id")
-    joined = docs.join(shared, docs["doc_id"].eqNullSafe(shared["shared_doc_id"]), "left").select(*docs.columns, "shared_lines")
+    shared = shared.select(F.col("doc_id").alias("_shared_doc_id"), F.col("shared_lines").alias("_shared_lines"))
+    joined = docs.join(shared, docs["doc_id"].eqNullSafe(shared["_shared_doc_id"]), "left").select(*docs.columns, "_shared_lines")
     names = docs.columns
     at_text = names.index("text")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["n_lines bigint", "n_removed bigint"]

@@ -80,7 +80,8 @@ def _normalised(line: Column) -> Column:
 
 
 def text_counts(docs: DataFrame) -> DataFrame:
-    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and base_failed."""
+    """``docs`` with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, and base_failed, in place of columns of these names."""
+    docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "counts_")
     text = F.coalesce("text", F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda line: _without(line, _SPACES) > 0)
     counted = docs.select(

@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.components import link_lists
-from seriesmill.llm.spans import LOWER, SPACED, U, mix, shingles, slices, span_hashes, word_spans
+from seriesmill.llm.components import link_lists, within_reach
+from seriesmill.llm.spans import LOWER, SPACED, U, mix, parity_sketch, shingles, slices, span_hashes, word_spans
 from seriesmill.sources.tables import materialise
 
 #: Counters of word frequencies, broadcast as one byte each.
@@ -107,7 +107,7 @@ def _prefix_table(docs: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
-    """id and its sorted shingle hashes as bytes."""
+    """id, sketch, and the sorted shingle hashes as bytes."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,9 +115,11 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 grams, size = _row_sets(data, at, n)
                 until = np.concatenate([[0], np.cumsum(size)]) * 8
                 packed = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(until.astype(np.int32).tobytes()), pa.py_buffer(grams.tobytes())])
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(size)), packed], ["id", "grams"])
+                sketches = np.array([parity_sketch(x) for x in np.split(grams, np.cumsum(size)[:-1])], np.int64)
+                places = pa.array(np.arange(len(size) + 1, dtype=np.int32) * sketches.shape[1])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, len(size)), pa.ListArray.from_arrays(places, pa.array(sketches.ravel())), packed], ["id", "sketch", "grams"])
 
-    return docs.select("doc_id", "text").mapInArrow(build, "id bigint, grams binary")
+    return docs.select("doc_id", "text").mapInArrow(build, "id bigint, sketch array<bigint>, grams binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -166,12 +168,11 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     sets = materialise(_sets(docs.select("doc_id", "text").join(active, "doc_id", "left_semi"), n), "sets")
 
     def may_link(x: Column, y: Column) -> Column:
-        """Sizes and the places of the shared shingle leave the threshold within reach."""
-        shorter, longer = F.least(x["size"], y["size"]), F.greatest(x["size"], y["size"])
-        reach = F.least(x["place"], y["place"]) + 1 + F.least(x["size"] - x["place"], y["size"] - y["place"]) - 1
-        return (100 * shorter >= percent * longer) & ((100 + percent) * reach >= percent * (x["size"] + y["size"]))
+        """Sizes, sketches and the places of the shared shingle leave the threshold within reach."""
+        most = F.least(x["place"], y["place"]) + F.least(x["size"] - x["place"], y["size"] - y["place"])
+        return within_reach(x, y, percent) & ((100 + percent) * most >= percent * (x["size"] + y["size"]))
 
-    linked = link_lists(lists, may_link, lambda pairs: _verified(pairs, sets, percent))
+    linked = link_lists(lists.join(sets.select("id", "sketch").dropDuplicates(["id"]), "id"), may_link, lambda pairs: _verified(pairs, sets, percent))
     whole = equal.join(linked, "id", "left").select("sig1", "sig2", F.coalesce("component", "id").alias("component"))
     rows = table.select("doc_id", "size", "sig1", "sig2").join(whole, ["sig1", "sig2"], "left")
     return rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))

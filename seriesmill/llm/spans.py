@@ -126,3 +126,17 @@ def shingles(hashes: np.ndarray, row: np.ndarray, rows: int, n: int) -> tuple[np
     short = np.flatnonzero((count > 0) & (count < n))
     extra = np.array([run_hashes(hashes[first[r] : first[r] + count[r]], int(count[r]))[0] for r in short], U)
     return np.concatenate([out[whole], mix(extra + U(n))]), np.concatenate([of[whole], short])
+
+
+SKETCH_WORDS = 8
+
+
+def parity_sketch(values: np.ndarray) -> np.ndarray:
+    """The parity of how many distinct values fall on each of 512 bits, as 64-bit words.
+
+    Two sets differ in at least as many values as their sketches in bits: a value that only one of
+    them has turns one bit.
+    """
+    bits = (values * U(_BASE) >> U(55)).astype(np.int64)
+    odd = (np.bincount(bits, minlength=64 * SKETCH_WORDS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view(np.int64)
