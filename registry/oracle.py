@@ -11,7 +11,6 @@ from statistics import NormalDist
 import pyspark
 
 CUT = "DATE '2001-10-01'"
-HOLDOUT_END = "DATE '2001-11-01'"
 Z = repr(NormalDist().inv_cdf(0.975))
 
 
@@ -25,7 +24,7 @@ def sales(name: str = "sales", where: str = "true", n_stores: int = 5, n_items:
 
 
 TRAIN = sales("train", f"date < {CUT}")
-HOLDOUT = sales("holdout", f"date >= {CUT} AND date < {HOLDOUT_END}")
+HOLDOUT = sales("holdout", f"date >= {CUT}")
 
 
 def r(expression: str, alias: str) -> str:
@@ -45,23 +44,24 @@ def model(obs: str, keys: str, p: str, days: str) -> str:
     {p}line AS (
         SELECT {keys}, max(ds) AS last_ds,
                CASE WHEN count(DISTINCT ds) < 2 THEN 0.0 ELSE regr_slope(y, t) END AS b,
-               CASE WHEN count(DISTINCT ds) < 2 THEN avg(y) ELSE regr_intercept(y, t) END AS a
+               CASE WHEN count(DISTINCT ds) < 2 THEN avg(y) ELSE regr_intercept(y, t) END AS a,
+               0.01 * abs(avg(y)) AS low
         FROM (SELECT *, date_diff('day', DATE '1995-01-01', ds) AS t FROM {obs}) GROUP BY {keys}),
     {p}tr AS (
         SELECT o.*, dayofweek(ds) AS wd, month(ds) AS mo,
-               greatest(a + b * date_diff('day', DATE '1995-01-01', ds), 0.001) AS trend
+               greatest(a + b * date_diff('day', DATE '1995-01-01', ds), low) AS trend
         FROM {obs} o JOIN {p}line USING ({keys})),
-    {p}wk AS (SELECT {keys}, wd, greatest(avg(y / trend), 0.001) AS wi FROM {p}tr GROUP BY {keys}, wd),
+    {p}wk AS (SELECT {keys}, wd, greatest(coalesce(sum(y) / nullif(sum(trend), 0), 1.0), 0.001) AS wi FROM {p}tr GROUP BY {keys}, wd),
     {p}yr AS (
-        SELECT {keys}, mo, avg(y / (trend * wi)) AS yi
+        SELECT {keys}, mo, coalesce(sum(y) / nullif(sum(trend * wi), 0), 1.0) AS yi
         FROM {p}tr JOIN {p}wk USING ({keys}, wd) GROUP BY {keys}, mo),
     {p}sd AS (
         SELECT {keys}, stddev_samp(y - trend * wi * yi) AS sd
         FROM {p}tr JOIN {p}wk USING ({keys}, wd) JOIN {p}yr USING ({keys}, mo) GROUP BY {keys}),
-    {p}days AS (SELECT {keys}, a, b, {days} AS ds FROM {p}line),
+    {p}days AS (SELECT {keys}, a, b, low, {days} AS ds FROM {p}line),
     {p}parts AS (
         SELECT *, dayofweek(ds) AS wd, month(ds) AS mo,
-               greatest(a + b * date_diff('day', DATE '1995-01-01', ds), 0.001) AS trend FROM {p}days),
+               greatest(a + b * date_diff('day', DATE '1995-01-01', ds), low) AS trend FROM {p}days),
     {p}fc AS (
         SELECT *, yhat - {Z} * sd AS yhat_lower, yhat + {Z} * sd AS yhat_upper FROM (
             SELECT {keys}, ds, trend, coalesce(wi, 1.0) AS weekly, coalesce(yi, 1.0) AS yearly, sd,
@@ -86,11 +86,15 @@ SHARE = """share AS (
         JOIN (SELECT item, CAST(sum(sales) AS BIGINT) AS item_sales FROM train GROUP BY item) USING (item))"""
 ALLOCATED = f"""{ITEMS}, {SHARE}, alloc AS (
         SELECT store, item, ds, yhat * ratio AS yhat FROM i_fc FULL OUTER JOIN share USING (item))"""
-OVERVIEW = f"""{SERIES}, {ALLOCATED}, {HOLDOUT}, overview AS (
-        SELECT t.date, t.store, t.item, t.sales AS y, f.yhat, f.yhat_lower, f.yhat_upper, g.yhat AS yhat_agg,
-               f.yhat - g.yhat AS pred_diff, t.sales - f.yhat AS miss, t.sales - g.yhat AS agg_miss
-        FROM holdout t JOIN s_fc f ON t.date = f.ds AND t.store = f.store AND t.item = f.item
-        JOIN alloc g ON t.date = g.ds AND t.store = g.store AND t.item = g.item)"""
+OVERVIEW = f"""{SERIES}, {ALLOCATED}, {HOLDOUT}, aligned AS (
+        SELECT date, store, item, max(y) AS y, max(own) AS yhat, max(lo) AS yhat_lower, max(hi) AS yhat_upper, max(top) AS yhat_agg
+        FROM (
+            SELECT date, store, item, 1 AS source, sales AS y, NULL AS own, NULL AS lo, NULL AS hi, NULL AS top FROM holdout
+            UNION ALL SELECT ds, store, item, 2, NULL, yhat, yhat_lower, yhat_upper, NULL FROM s_fc
+            UNION ALL SELECT ds, store, item, 3, NULL, NULL, NULL, NULL, yhat FROM alloc)
+        GROUP BY date, store, item HAVING count(DISTINCT source) = 3),
+    overview AS (
+        SELECT *, yhat - yhat_agg AS pred_diff, y - yhat AS miss, y - yhat_agg AS agg_miss FROM aligned)"""
 OVERVIEW_ROWS = f"""SELECT date, store, item, y, {bounds()}, {r('yhat_agg', 'yhat_agg')},
         {r('pred_diff', 'pred_diff')}, {r('miss', 'miss')}, {r('agg_miss', 'agg_miss')} FROM overview"""
 STACKED = f"""{OVERVIEW}, stacked AS (
@@ -117,6 +121,10 @@ def walk(first: str, last: str) -> str:
 
 
 WALK = walk("2001-09-30", "2001-10-06")
+#: Every day that has sales from the cut on is a training date.
+DELIVERED = walk("2001-10-01", "2001-10-06").replace(
+    cutoffs("2001-10-01", "2001-10-06"), f"cut AS (SELECT DISTINCT date AS training_date FROM sales WHERE date >= {CUT})"
+)
 WALK_ROWS = f"SELECT training_date, store, item, ds, {bounds()} FROM w_fc"
 PAIRS = f"""{WALK}, pairs AS (
         SELECT f.training_date, f.store, f.item, f.ds, f.yhat, f.yhat_lower, f.yhat_upper, s.sales AS y
@@ -129,10 +137,10 @@ COVERAGE = f"""count(*) AS n, {r('avg((y - yhat) ** 2)', 'mse')}, {r('sqrt(avg((
 ONE_SERIES = f"""{TRAIN}, obs AS (
         SELECT store, item, date AS ds, CAST(sales AS DOUBLE) AS y FROM train WHERE store = 1 AND item = 1),
     {model('obs', 'store, item', 's_', ahead('last_ds', 90)).replace(
-        's_days AS (', 's_days AS (SELECT store, item, a, b, ds FROM obs JOIN s_line USING (store, item) UNION ALL ')}"""
+        's_days AS (', 's_days AS (SELECT store, item, a, b, low, ds FROM obs JOIN s_line USING (store, item) UNION ALL ')}"""
 ALL_SERIES_90 = f"""{TRAIN}, {OBS},
     {model('obs', 'store, item', 's_', ahead('last_ds', 90)).replace(
-        's_days AS (', 's_days AS (SELECT store, item, a, b, ds FROM obs JOIN s_line USING (store, item) UNION ALL ')}"""
+        's_days AS (', 's_days AS (SELECT store, item, a, b, low, ds FROM obs JOIN s_line USING (store, item) UNION ALL ')}"""
 
 GROWN = f"""{sales('grown_sales', "date < DATE '2001-10-07'")}, grown AS (
         SELECT *, CAST(CASE WHEN date < {CUT} THEN 0 ELSE date_diff('day', {CUT}, date) + 1 END AS BIGINT)
@@ -141,11 +149,9 @@ LINES = """lines AS (
         SELECT CAST(l_shipdate AS DATE) AS date, CAST(l_suppkey % 5 + 1 AS INTEGER) AS store,
                CAST(l_partkey % 10 + 1 AS INTEGER) AS item, CAST(l_quantity AS BIGINT) AS sales,
                l_orderkey, l_linenumber FROM lineitem)"""
-NEWEST = f"""{LINES}, newest AS (
-        SELECT date, store, item, sales FROM (
-            SELECT *, row_number() OVER (
-                PARTITION BY date, store, item ORDER BY l_orderkey DESC, l_linenumber DESC, sales DESC) AS rn
-            FROM lines) WHERE rn = 1)"""
+#: Item 1 was delivered again with one unit more per row.
+CORRECTED = f"""{sales('delivered')}, newest AS (
+        SELECT date, store, item, CASE WHEN item = 1 THEN sales + 1 ELSE sales END AS sales FROM delivered)"""
 
 
 def weekday_mean(obs: str, keys: str, days: str) -> str:
@@ -226,7 +232,12 @@ RULES = """(VALUES ('*', 'rows', CAST(1 AS DOUBLE), CAST(NULL AS DOUBLE)), ('sal
 
 MONTHLY = "SELECT CAST(date_trunc('month', date) AS DATE) AS month_start, {by} CAST(sum(sales) AS BIGINT) AS sales FROM sales {where} GROUP BY ALL"
 
-PARAMS = f"h=1|level=0.95|library=pyspark {pyspark.__version__}|mode=multiplicative|origin=cutoff"
+PARAM_VALUES = {
+    "h": "1", "include_history": "False", "keys": "store,item", "level": "0.95", "library": f"pyspark {pyspark.__version__}",
+    "mode": "multiplicative", "model": "closed_form", "origin": "cutoff", "weekly": "True", "yearly": "True",
+}
+PARAMS = "|".join(f"{name}={value}" for name, value in PARAM_VALUES.items())
+PARAM_COLUMNS = ", ".join(f"'{value}' AS param_{name}" for name, value in PARAM_VALUES.items())
 
 ORACLE: dict[str, str] = {
     "sales_by_year": f"WITH {sales()} SELECT CAST(year(date) AS INTEGER) AS year, CAST(sum(sales) AS BIGINT) AS sales FROM sales GROUP BY 1",
@@ -296,17 +307,14 @@ ORACLE: dict[str, str] = {
             SELECT training_date, max(arrival_version) AS data_version
             FROM cut JOIN grown ON date <= training_date GROUP BY 1)
         SELECT sha256(strftime(training_date, '%Y-%m-%d') || '|' || data_version || '|{PARAMS}') AS run_id,
-               training_date, data_version, '1' AS param_h, '0.95' AS param_level,
-               'pyspark {pyspark.__version__}' AS param_library, 'multiplicative' AS param_mode,
-               'cutoff' AS param_origin, n_series, n_rows FROM sizes JOIN seen USING (training_date)""",
+               training_date, data_version, {PARAM_COLUMNS}, n_series, n_rows FROM sizes JOIN seen USING (training_date)""",
     "idempotent_forecast_store": f"WITH {WALK} {WALK_ROWS}",
     "csv_sales": f"WITH {sales()} SELECT * FROM sales",
     "csv_quarantined_sales": f"""WITH {sales()} SELECT strftime(date, '%Y-%m-%d') || ',' || store || ',' || item || ',' ||
         sales || ' units' AS raw_text, 'malformed' AS rule FROM sales WHERE date >= {CUT}""",
     "enforced_sales": f"WITH {sales()} SELECT * FROM sales WHERE sales <= 100",
     "quarantined_sales": f"WITH {sales()} SELECT *, 'high:sales' AS rule FROM sales WHERE sales > 100",
-    "deduplicated_sales": f"WITH {NEWEST} SELECT * FROM newest",
-    "layered_sales_by_month": f"WITH {NEWEST}, sales AS (SELECT * FROM newest) {MONTHLY.format(by='', where='')}",
+    "deduplicated_sales": f"WITH {CORRECTED} SELECT * FROM newest",
     "quality_profile": f"""WITH {PROFILE} SELECT "column", metric, {r('value', 'value')} FROM profile""",
     "quality_alerts": f"""WITH {PROFILE} SELECT "column", metric, {r('value', 'value')}, low, high,
         NOT (coalesce(value >= low, true) AND coalesce(value <= high, true)) AS breached
@@ -331,7 +339,7 @@ ORACLE: dict[str, str] = {
                 UNION ALL SELECT 'orders', has_orders FROM enriched) GROUP BY source)
         SELECT source, n_rows, n_matched, {r('n_matched / n_rows', 'coverage')} FROM n""",
     "arrival_stream_sales": f"WITH {HOLDOUT} SELECT * FROM holdout",
-    "arrival_stream_forecast": f"WITH {walk('2001-10-01', '2001-10-03')} {WALK_ROWS}",
+    "arrival_stream_forecast": f"WITH {DELIVERED} {WALK_ROWS}",
     "grouped_map_weekday_mean": f"""WITH {TRAIN}, {OBS}, {weekday_mean('obs', 'store, item', ahead('last_ds', 30))}
         SELECT store, item, ds, {bounds()} FROM fc""",
     "grouped_map_item_forecast": f"""WITH {TRAIN}, {ITEM_OBS}, {weekday_mean('iobs', 'item', ahead('last_ds', 14))}
@@ -340,3 +348,15 @@ ORACLE: dict[str, str] = {
         {weekday_mean('wobs', 'training_date, store, item', 'CAST(training_date + INTERVAL 1 DAY AS DATE)')}
         SELECT training_date, store, item, ds, {bounds()} FROM fc""",
 }
+
+# The grouped-map path restates the closed form.
+ORACLE |= {f"grouped_map_{name}": ORACLE[f"series_{name}"] for name in ("forecast", "forecast_500")}
+# The aggregates of the clean layer are the plain ones over the corrected sales.
+ORACLE |= {
+    f"layered_{name}": ORACLE[name].replace(f"WITH {sales()}", f"WITH {CORRECTED}, sales AS (SELECT * FROM newest)", 1)
+    for name in ("sales_by_year", "sales_by_month", "weekday_profile", "store_month_profile")
+}
+ORACLE["layered_item_month_profile"] = ORACLE["item_all_month_profile"].replace(
+    f"WITH {sales()}", f"WITH {CORRECTED}, sales AS (SELECT * FROM newest)", 1
+)
+ORACLE["layered_item_daily_sales"] = f"WITH {CORRECTED} SELECT item, date, CAST(sum(sales) AS BIGINT) AS sales FROM newest GROUP BY item, date"

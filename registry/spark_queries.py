@@ -19,7 +19,7 @@ from seriesmill.operators import evaluate, explore, quality
 from seriesmill.operators.allocate import store_share
 from seriesmill.operators.forecast import ForecastSpec, forecast
 from seriesmill.operators.forecast import forecast_components as components
-from seriesmill.operators.grouped import grouped_forecast, piecewise_seasonal_model, weekday_mean_model
+from seriesmill.operators.grouped import grouped_forecast, closed_form_model, weekday_mean_model
 from seriesmill.plans import layers, walk_forward
 from seriesmill.plans.strategies import allocated_forecast as top_down_forecast
 from seriesmill.plans.strategies import strategy_overview
@@ -31,9 +31,9 @@ from seriesmill.sources.sales import daily_sales, line_sales, read_lines, time_s
 from seriesmill.streaming import arrivals
 
 CUT = dt.date(2001, 10, 1)
-HOLDOUT_END = dt.date(2001, 11, 1)
 CUTOFFS = date_range("2001-09-30", "2001-10-07")
-DELIVERED = date_range("2001-10-01", "2001-10-04")
+#: Ends of the deliveries of the hold-out; the last one brings all that is left.
+DELIVERIES = (dt.date(2001, 10, 2), dt.date(2001, 10, 21), None)
 HISTORY_AND_90 = ForecastSpec(h=90, include_history=True)
 ONE_SERIES = "store = 1 AND item = 1"
 LIMITED = Contract(
@@ -59,12 +59,12 @@ def train(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def holdout(spark: SparkSession, folder: str) -> DataFrame:
-    return daily_sales(spark, folder, start=CUT, end=HOLDOUT_END)
+    return daily_sales(spark, folder, start=CUT)
 
 
 def saved_split(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Training and hold-out sales out of one daily table, for plans that read them several times."""
-    return time_split(tables.materialise(daily_sales(spark, folder, end=HOLDOUT_END), "sales"), CUT)
+    return time_split(tables.materialise(daily_sales(spark, folder), "sales"), CUT)
 
 
 # Exploration and split
@@ -390,19 +390,29 @@ def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("sales", F.col("sales").cast("bigint"))
 
 
+def redelivered(spark: SparkSession, folder: str) -> DataFrame:
+    """Daily sales as version 0, and those of item 1 once more as version 1 with one unit more."""
+    first = daily_sales(spark, folder).withColumn(tables.VERSION, F.lit(0))
+    again = first.where("item = 1").withColumns({"sales": F.col("sales") + 1, tables.VERSION: F.lit(1)})
+    return first.union(again)
+
+
 @query
 def deduplicated_sales(spark, folder):
-    return quality.dedup(
-        raw_lines(spark, folder), ["date", "store", "item"], ["l_orderkey", "l_linenumber"]
-    ).select("date", "store", "item", "sales")
+    return quality.dedup(redelivered(spark, folder), ["date", "store", "item"], [tables.VERSION]).drop(tables.VERSION)
 
 
-@query
-def layered_sales_by_month(spark, folder):
-    paths = layers.build_layers(
-        raw_lines(spark, folder), shared_folder(spark, "layers"), latest_by=["l_orderkey", "l_linenumber"]
-    )
-    return tables.read_table(spark, paths["sales_by_month"])
+def layered(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        paths = layers.build_layers(redelivered(spark, folder), shared_folder(spark, "layers"), latest_by=[tables.VERSION])
+        return tables.read_table(spark, paths[name])
+
+    build.__name__ = f"layered_{name}"
+    return build
+
+
+for aggregate in layers.AGGREGATES:
+    query(layered(aggregate))
 
 
 def profiled(spark: SparkSession, folder: str) -> DataFrame:
@@ -474,13 +484,19 @@ def enrichment_coverage(spark, folder):
 # Stream and grouped map
 
 
+def deliver(spark: SparkSession, folder: str, base: str, forecasts: str | None = None) -> None:
+    """Hand the hold-out to the stream in deliveries of several days."""
+    start = CUT
+    for end in DELIVERIES:
+        daily_sales(spark, folder, start=start, end=end).write.mode("append").parquet(f"{base}/in")
+        arrivals.run_arrivals(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", forecasts)
+        start = end
+
+
 @query
 def arrival_stream_sales(spark, folder):
     base = shared_folder(spark, "stream")
-    sales = holdout(spark, folder)
-    for start, end in [("2001-10-01", "2001-10-11"), ("2001-10-11", "2001-10-21"), ("2001-10-21", "2001-11-01")]:
-        sales.where(F.col("date").between(start, F.date_sub(F.lit(end), 1))).write.mode("append").parquet(f"{base}/in")
-        arrivals.run_arrivals(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint")
+    deliver(spark, folder, base)
     return arrivals.current_sales(spark, f"{base}/table")
 
 
@@ -488,22 +504,19 @@ def arrival_stream_sales(spark, folder):
 def arrival_stream_forecast(spark, folder):
     base = shared_folder(spark, "stream")
     arrivals.seed(train(spark, folder), f"{base}/table")
-    for day in DELIVERED:
-        delivered = daily_sales(spark, folder, start=day, end=day + dt.timedelta(days=1))
-        delivered.write.mode("append").parquet(f"{base}/in")
-        arrivals.run_arrivals(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", f"{base}/forecasts")
+    deliver(spark, folder, base, f"{base}/forecasts")
     return tables.read_table(spark, f"{base}/forecasts")
 
 
 @query
 def grouped_map_forecast(spark, folder):
-    return grouped_forecast(train(spark, folder), ["store", "item"], ForecastSpec(), piecewise_seasonal_model)
+    return grouped_forecast(train(spark, folder), ["store", "item"], ForecastSpec(), closed_form_model)
 
 
 @query
 def grouped_map_forecast_500(spark, folder):
     sales = daily_sales(spark, folder, end=CUT, n_stores=10, n_items=50)
-    return grouped_forecast(sales, ["store", "item"], ForecastSpec(), piecewise_seasonal_model)
+    return grouped_forecast(sales, ["store", "item"], ForecastSpec(), closed_form_model)
 
 
 @query

@@ -26,7 +26,8 @@ from seriesmill.functions.dates import as_date, horizon
 
 KEYS = ("store", "item")
 DAY_ZERO = dt.date(1995, 1, 1)  # day number 0 of the trend
-FLOOR = 0.001  # smallest trend and weekday index, keeps the ratios finite
+TREND_FLOOR = 0.01  # smallest trend as a share of the series' mean, for lines that fall below zero
+INDEX_FLOOR = 0.001  # smallest weekday index, keeps the month indices finite
 WEEKDAYS = range(1, 8)
 MONTHS = range(1, 13)
 
@@ -111,7 +112,7 @@ def up_to_cutoffs(
 
 
 def _trend_sql(ds: str) -> str:
-    return f"greatest(intercept + slope * datediff({ds}, DATE '{DAY_ZERO}'), {FLOOR}D)"
+    return f"greatest(intercept + slope * datediff({ds}, DATE '{DAY_ZERO}'), lowest)"
 
 
 def _array_sql(prefix: str, members: range) -> str:
@@ -128,7 +129,7 @@ SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
 
 
 def _with_line(obs: DataFrame, keys: Sequence[str], frame: str, *more: str) -> DataFrame:
-    """(keys, ds, y, slope, intercept, more): the least-squares line over each row's frame."""
+    """(keys, ds, y, slope, intercept, lowest, more): the least-squares line over each row's frame, and its floor."""
     over = f"OVER (PARTITION BY {', '.join(_quoted(keys))} ORDER BY ds {frame})"
     head = [*_quoted(keys), "ds", "y"]
     moments = {"mean_t": "avg(t)", "mean_y": "avg(y)", "var_t": "var_pop(t)", "covar": "covar_pop(y, t)"}
@@ -138,12 +139,12 @@ def _with_line(obs: DataFrame, keys: Sequence[str], frame: str, *more: str) -> D
         .selectExpr(*head, *[f"{e} {over} AS {name}" for name, e in moments.items()], *more)
         # A single day has no direction: its line is its mean.
         .selectExpr(*head, "mean_t", "mean_y", "CASE WHEN var_t > 0 THEN covar / var_t ELSE 0.0D END AS slope", *names)
-        .selectExpr(*head, "slope", "mean_y - slope * mean_t AS intercept", *names)
+        .selectExpr(*head, "slope", "mean_y - slope * mean_t AS intercept", f"{TREND_FLOOR}D * abs(mean_y) AS lowest", *names)
     )
 
 
 def _with_lines_at(obs: DataFrame, keys: Sequence[str], cutoffs: Sequence[dt.date | str]) -> DataFrame:
-    """(training_date, keys, ds, y, slope, intercept): each row once per cutoff on or after its day.
+    """(training_date, keys, ds, y, slope, intercept, lowest): each row once per cutoff on or after its day.
 
     The line at a cutoff is the running line at the last day before it, so one sorted pass over the
     series yields all lines. They are handed to every row of the series as a short array, and only
@@ -155,7 +156,7 @@ def _with_lines_at(obs: DataFrame, keys: Sequence[str], cutoffs: Sequence[dt.dat
     spread = obs.where(F.col("ds") <= F.lit(dates[-1])).repartition(task_count(obs.sparkSession), *keys)
     running = _with_line(spread, keys, SO_FAR, f"lead(ds) OVER (PARTITION BY {by} ORDER BY ds) AS next_ds")
     mine = f"filter({days}, c -> c >= ds AND (next_ds IS NULL OR c < next_ds))"
-    line = "named_struct('training_date', c, 'slope', slope, 'intercept', intercept)"
+    line = "named_struct('training_date', c, 'slope', slope, 'intercept', intercept, 'lowest', lowest)"
     return (
         running.selectExpr(*_quoted(keys), "ds", "y", f"transform({mine}, c -> {line}) AS lines")
         .selectExpr(
@@ -174,7 +175,7 @@ def fit(
 ) -> DataFrame:
     """One row per series (and per cutoff, if cutoffs are given) that holds the fitted model.
 
-    Columns: keys, n, first_ds, last_ds, intercept, slope, sd, weekly array of 7 from Sunday,
+    Columns: keys, n, first_ds, last_ds, intercept, slope, lowest (floor of the trend), sd, weekly array of 7 from Sunday,
     yearly array of 12, and with ``include_history`` the days seen.
     """
     obs = observations(sales, keys)
@@ -186,7 +187,7 @@ def fit(
     groups = ", ".join(head)
     same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {WHOLE})"
     same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {WHOLE})"
-    rows = rows.selectExpr(*head, "ds", "y", "slope", "intercept", f"{_trend_sql('ds')} AS trend")
+    rows = rows.selectExpr(*head, "ds", "y", "slope", "intercept", "lowest", f"{_trend_sql('ds')} AS trend")
 
     # Given the trend, a factor is the same for all days of one month and weekday. The moments of these
     # cells, 84 at most per series, therefore hold all that the indices and the residuals need.
@@ -195,15 +196,16 @@ def fit(
             F.expr(e)
             for e in (
                 "count(*) AS n", "min(ds) AS first_ds", "max(ds) AS last_ds",
-                "max(slope) AS slope", "max(intercept) AS intercept",
-                "avg(y / trend) AS ratio", "avg(y) AS mean_y", "avg(trend) AS mean_trend",
+                "max(slope) AS slope", "max(intercept) AS intercept", "max(lowest) AS lowest",
+                "avg(y) AS mean_y", "avg(trend) AS mean_trend",
                 "var_pop(y) AS var_y", "var_pop(trend) AS var_trend", "covar_pop(y, trend) AS covar",
             )
         ],
         *([F.collect_list("ds").alias("history")] if spec.include_history else []),
     )
-    weekly = f"greatest(sum(n * ratio) OVER {same_weekday} / sum(n) OVER {same_weekday}, {FLOOR}D)"
-    yearly = f"sum(n * ratio / w) OVER {same_month} / sum(n) OVER {same_month}"
+    # Ratios of sums, not means of ratios: days on which the line is close to zero do not rule the index.
+    weekly = f"greatest(coalesce(sum(n * mean_y) OVER {same_weekday} / nullif(sum(n * mean_trend) OVER {same_weekday}, 0), 1.0D), {INDEX_FLOOR}D)"
+    yearly = f"coalesce(sum(n * mean_y) OVER {same_month} / nullif(sum(n * mean_trend * w) OVER {same_month}, 0), 1.0D)"
     cells = (
         cells.selectExpr("*", f"{weekly if spec.weekly else '1.0D'} AS w")
         .selectExpr("*", f"{yearly if spec.yearly else '1.0D'} AS m")
@@ -215,7 +217,7 @@ def fit(
     )
     sums = [
         "sum(n) AS n", "min(first_ds) AS first_ds", "max(last_ds) AS last_ds",
-        "max(intercept) AS intercept", "max(slope) AS slope",
+        "max(intercept) AS intercept", "max(slope) AS slope", "max(lowest) AS lowest",
         "sum(n * var_residual) AS within", "sum(n * residual * residual) AS square", "sum(n * residual) AS total",
         *[f"max(CASE WHEN weekday = {d} THEN w END) AS w{d}" for d in WEEKDAYS],
         *[f"max(CASE WHEN month = {k} THEN m END) AS m{k}" for k in MONTHS],
@@ -226,7 +228,7 @@ def fit(
         cells.groupBy(*group)
         .agg(*[F.expr(e) for e in sums])
         .selectExpr(
-            *head, "n", "first_ds", "last_ds", "intercept", "slope",
+            *head, "n", "first_ds", "last_ds", "intercept", "slope", "lowest",
             "sqrt(greatest(within + square - total * total / n, 0.0D) / nullif(n - 1, 0)) AS sd",
             _array_sql("w", WEEKDAYS) + " AS weekly",
             _array_sql("m", MONTHS) + " AS yearly",
@@ -245,7 +247,7 @@ def predict(model: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
         days = F.concat("history", days)
     names = _quoted(group)
     return (
-        model.select(*group, "intercept", "slope", "sd", "weekly", "yearly", F.explode(days).alias("ds"))
+        model.select(*group, "intercept", "slope", "lowest", "sd", "weekly", "yearly", F.explode(days).alias("ds"))
         .selectExpr(
             *names, "ds",
             f"{_trend_sql('ds')} AS trend",
@@ -263,7 +265,7 @@ def predict(model: DataFrame, spec: ForecastSpec = ForecastSpec()) -> DataFrame:
 
 
 _MODEL_COLUMNS = {
-    "n", "first_ds", "last_ds", "intercept", "slope", "sd", "weekly", "yearly", "history",
+    "n", "first_ds", "last_ds", "intercept", "slope", "lowest", "sd", "weekly", "yearly", "history",
 }
 
 

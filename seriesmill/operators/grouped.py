@@ -16,7 +16,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DoubleType, StructField, StructType
 
-from seriesmill.operators.forecast import ForecastSpec, observations, task_count, up_to_cutoffs
+from seriesmill.operators.forecast import (
+    DAY_ZERO,
+    INDEX_FLOOR,
+    TREND_FLOOR,
+    ForecastSpec,
+    observations,
+    task_count,
+    up_to_cutoffs,
+)
 
 # (history with ds and y by day, days to predict, settings) -> ds, yhat, yhat_lower, yhat_upper
 FitPredict = Callable[[pd.DataFrame, pd.DatetimeIndex, ForecastSpec], pd.DataFrame]
@@ -88,6 +96,40 @@ def weekday_mean_model(history: pd.DataFrame, days: pd.DatetimeIndex, spec: Fore
     return _result(days, expected(days), residuals, spec)
 
 
+def closed_form_model(history: pd.DataFrame, days: pd.DatetimeIndex, spec: ForecastSpec) -> pd.DataFrame:
+    """The model of ``forecast`` for one series in numpy: line, weekday and month indices, normal interval.
+
+    Gives the grouped-map path the same answers as the native one, as a check of either.
+    """
+    y, seen = history["y"].to_numpy(dtype=float), pd.DatetimeIndex(history["ds"])
+    lowest = TREND_FLOOR * abs(y.mean())
+
+    def number(when: pd.DatetimeIndex) -> np.ndarray:
+        return (when - pd.Timestamp(DAY_ZERO)).days.to_numpy(dtype=float)
+
+    t = number(seen)
+    spread = ((t - t.mean()) ** 2).sum()
+    slope = ((t - t.mean()) * (y - y.mean())).sum() / spread if spread else 0.0
+
+    def trend(when: pd.DatetimeIndex) -> np.ndarray:
+        return np.maximum(y.mean() + slope * (number(when) - t.mean()), lowest)
+
+    def index(group: np.ndarray, base: np.ndarray, size: int) -> np.ndarray:
+        above, below = np.bincount(group, y, size), np.bincount(group, base, size)
+        return np.divide(above, below, out=np.ones(size), where=below != 0)
+
+    weekly, yearly = np.ones(7), np.ones(13)
+    if spec.weekly:
+        weekly = np.maximum(index(seen.dayofweek.to_numpy(), trend(seen), 7), INDEX_FLOOR)
+    if spec.yearly:
+        yearly = index(seen.month.to_numpy(), trend(seen) * weekly[seen.dayofweek], 13)
+
+    def value(when: pd.DatetimeIndex) -> np.ndarray:
+        return trend(when) * weekly[when.dayofweek] * yearly[when.month]
+
+    return _result(days, value(days), y - value(seen), spec)
+
+
 # Fixed values of the regression model below.
 N_CHANGEPOINTS = 25
 CHANGEPOINT_RANGE = 0.8  # changepoints lie in this first part of the history
@@ -95,7 +137,8 @@ WEEKLY_ORDER = 3
 YEARLY_ORDER = 10
 CHANGEPOINT_PENALTY = 4.0
 SEASON_PENALTY = 1e-4
-ROUNDS = 5
+TOLERANCE = 1e-9  # relative change of the fit at which the alternation stops
+MAX_ROUNDS = 1000
 
 
 def _ridge(features: np.ndarray, target: np.ndarray, penalty: np.ndarray) -> np.ndarray:
@@ -115,15 +158,12 @@ def piecewise_seasonal_model(history: pd.DataFrame, days: pd.DatetimeIndex, spec
     least squares and the interval normal, so a series always gives the same result.
     """
     y = history["y"].to_numpy(dtype=float)
-    if len(y) < 3:
-        return _result(days, np.full(len(days), y.mean()), np.empty(0), spec)
     origin = history["ds"].iloc[0]
     past = (history["ds"] - origin).dt.days.to_numpy(dtype=float)
     ahead = (days - origin).days.to_numpy(dtype=float)
     span = max(past[-1], 1.0)
     scale = max(np.abs(y).max(), 1e-9)
-    n_knots = min(N_CHANGEPOINTS, max(len(y) // 3 - 1, 0))
-    knots = np.linspace(0.0, CHANGEPOINT_RANGE, n_knots + 2)[1:-1] if n_knots else np.empty(0)
+    knots = np.linspace(0.0, CHANGEPOINT_RANGE, N_CHANGEPOINTS + 2)[1:-1]
 
     def trend_features(day: np.ndarray) -> np.ndarray:
         t = day[:, None] / span
@@ -139,15 +179,20 @@ def piecewise_seasonal_model(history: pd.DataFrame, days: pd.DatetimeIndex, spec
         return np.hstack(parts)
 
     A, S, target = trend_features(past), season_features(past), y / scale
-    trend_penalty = np.r_[0.0, 0.0, np.full(n_knots, CHANGEPOINT_PENALTY)]
+    trend_penalty = np.r_[0.0, 0.0, np.full(N_CHANGEPOINTS, CHANGEPOINT_PENALTY)]
     season_penalty = np.full(S.shape[1], SEASON_PENALTY)
     season, beta = np.zeros(len(y)), np.zeros(S.shape[1])
-    for _ in range(ROUNDS):
+    before = np.full(len(y), np.inf)
+    for _ in range(MAX_ROUNDS):
         gamma = _ridge(A * (1.0 + season)[:, None], target, trend_penalty)
         level = A @ gamma
         if S.shape[1]:
             beta = _ridge(S * level[:, None], target - level, season_penalty)
             season = S @ beta
+        fit = level * (1.0 + season)
+        if np.abs(fit - before).max() <= TOLERANCE * max(np.abs(fit).max(), 1e-9):
+            break
+        before = fit
     fitted = scale * (A @ gamma) * (1.0 + season)
     yhat = scale * (trend_features(ahead) @ gamma) * (1.0 + season_features(ahead) @ beta)
     return _result(days, yhat, y - fitted, spec)

@@ -17,7 +17,7 @@ def enforce(df: DataFrame, contract: Contract) -> tuple[DataFrame, DataFrame]:
 
     Columns outside the contract pass through.
     """
-    checked = df.withColumn("_rule", contract.first_broken_rule())
+    checked = df.withColumn("_rule", contract.first_broken_rule(df.schema))
     good = checked.where(F.col("_rule").isNull()).withColumns(contract.typed()).drop("_rule")
     bad = checked.where(F.col("_rule").isNotNull())
     return good, bad
@@ -108,7 +108,7 @@ def contract_violations(df: DataFrame, contract: Contract) -> DataFrame:
         return F.struct(F.lit(rule).alias("rule"), F.lit(column).alias("column"), n.cast("bigint").alias("n_bad"))
 
     missing = [c.name for c in contract.columns if c.name not in df.columns]
-    rules = [r for r in contract.row_rules() if r[1] not in missing]
+    rules = [r for r in contract.row_rules(df.schema) if r[1] not in missing]
     key = [] if set(contract.unique_key) & set(missing) else list(contract.unique_key)
     counts = [F.count("*").alias("rows"), *[F.count_if(broken).alias(f"bad{i}") for i, (_, _, broken) in enumerate(rules)]]
     findings = [finding("missing", name, F.col("rows")) for name in missing]
@@ -144,13 +144,11 @@ def enrich(sales: DataFrame, *sources: Source) -> DataFrame:
     """
     for source in sources:
         attributes = [c for c in source.df.columns if c not in source.on]
-        known = F.when(F.count("*") == 1, F.lit(True)).otherwise(
-            F.raise_error(F.lit(f"source {source.name} has several rows for one key")).cast("boolean")
-        )
         flag = f"has_{source.name}"
-        one_each = source.df.groupBy(*source.on).agg(
-            *[F.first(c).alias(c) for c in attributes], known.alias(flag)
-        )
+        # Attributes come out of the checked struct, so that no choice of columns can drop the check.
+        row = F.struct(F.lit(True).alias(flag), *[F.first(c).alias(c) for c in attributes])
+        checked = F.when(F.count("*") == 1, row).otherwise(F.raise_error(F.lit(f"source {source.name} has several rows for one key")))
+        one_each = source.df.groupBy(*source.on).agg(checked.alias("_row")).select(*source.on, "_row.*")
         sales = sales.join(one_each, list(source.on), "left").select(
             *sales.columns, *attributes, F.coalesce(flag, F.lit(False)).alias(flag)
         )

@@ -6,7 +6,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 
 import pyspark
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from seriesmill.functions.dates import as_date
@@ -38,8 +38,14 @@ def version_arrivals(sales: DataFrame, seeded_before: dt.date | str) -> DataFram
     return sales.withColumn(VERSION, F.when(F.col("date") < edge, 0).otherwise(days).cast("bigint"))
 
 
-def run_parameters(spec: ForecastSpec) -> dict[str, str]:
+def run_parameters(spec: ForecastSpec, keys: Sequence[str] = KEYS, model: str = "closed_form") -> dict[str, str]:
+    """All that sets one run apart from another on the same data: every setting, the keys and the model."""
     return {
+        "keys": ",".join(keys),
+        "model": model,
+        "weekly": str(spec.weekly),
+        "yearly": str(spec.yearly),
+        "include_history": str(spec.include_history),
         "library": f"pyspark {pyspark.__version__}",
         "h": str(spec.h),
         "level": str(spec.level),
@@ -61,13 +67,14 @@ def ledger_rows(
     n_series, n_rows. The run id is a digest of date, version and parameters, so the same run always
     has the same id.
     """
-    days = F.array(*[F.lit(as_date(c)) for c in cutoffs])
-    visible = (
-        history(grown)
-        .withColumn("training_date", F.explode(F.filter(days, lambda c: c >= F.col("min_date"))))
-        .groupBy("training_date")
-        .agg(F.max(VERSION).alias("data_version"))
-    )
+    days = sorted({as_date(c) for c in cutoffs})
+    # Each version counts at the first cutoff that sees it; the newest so far is a running maximum.
+    first_seen = F.element_at(F.filter(F.array(*map(F.lit, days)), lambda c: c >= F.col("min_date")), 1)
+    seen = history(grown).where(F.col("min_date") <= F.lit(days[-1])).select(first_seen.alias("training_date"), VERSION)
+    cutoff = grown.sparkSession.createDataFrame([(d, None) for d in days], f"training_date DATE, {VERSION} BIGINT")
+    per_date = seen.union(cutoff).groupBy("training_date").agg(F.max(VERSION).alias("newest"))
+    running = F.max("newest").over(Window.orderBy("training_date").rowsBetween(Window.unboundedPreceding, 0))  # a row per cutoff
+    visible = per_date.select("training_date", running.alias("data_version"))
     # Series first, then dates: a distinct count per date would gather all series of a date in one task.
     sizes = (
         forecasts.groupBy("training_date", *keys)

@@ -12,6 +12,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seriesmill.operators.quality import dedup
 from seriesmill.session import shared_folder
 
 VERSION = "arrival_version"
@@ -125,6 +126,21 @@ def latest_version(df: DataFrame) -> DataFrame:
     return df.agg(F.max(VERSION).alias(VERSION))
 
 
-def snapshot(df: DataFrame, version: int) -> DataFrame:
-    """The table as it was at a version; older partitions are never rewritten, so pruning suffices."""
-    return df.where(F.col(VERSION) <= version)
+def snapshot(df: DataFrame, version: int, keys: Sequence[str] = ("date", "store", "item")) -> DataFrame:
+    """The sales known at a version: of each key the row of the newest version up to it.
+
+    Later partitions are pruned. A partition that was delivered again stands as delivered last.
+    """
+    return newest_version(df.where(F.col(VERSION) <= version), keys)
+
+
+def newest_version(df: DataFrame, keys: Sequence[str] = ("date", "store", "item")) -> DataFrame:
+    """Of each key the row of its newest version.
+
+    Version 0, the long history, has each key once: only later versions are searched for copies,
+    and the history loses the keys that they hold.
+    """
+    later = dedup(df.where(F.col(VERSION) > 0), keys, [VERSION])
+    same = [df[k].eqNullSafe(F.col(f"_later_{k}")) for k in keys]
+    held = later.select(*[F.col(k).alias(f"_later_{k}") for k in keys])
+    return df.where(F.col(VERSION) == 0).join(held, same, "left_anti").unionByName(later)

@@ -6,12 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from seriesmill.operators.forecast import KEYS, ForecastSpec
-from seriesmill.operators.quality import dedup
+from seriesmill.operators.quality import enforce
 from seriesmill.plans.walk_forward import NEXT_DAY, store_forecasts, walk_forward
+from seriesmill.sources.contract import SALES_CONTRACT, Contract
 from seriesmill.sources.sales import SALES_DDL
-from seriesmill.sources.tables import VERSION, read_table, save, save_partition
+from seriesmill.sources.tables import VERSION, latest_version, newest_version, read_table, save, save_partition
 
 
 def seed(sales: DataFrame, target: str) -> None:
@@ -24,7 +26,26 @@ def seed(sales: DataFrame, target: str) -> None:
 
 def current_sales(spark: SparkSession, target: str) -> DataFrame:
     """The growing table as of now; a day that was delivered again counts in its newest version."""
-    return dedup(read_table(spark, target), ["date", "store", "item"], [VERSION]).drop(VERSION)
+    return newest_version(read_table(spark, target)).drop(VERSION)
+
+
+def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The version before this stream's first batch, noted beside its checkpoint when it starts.
+
+    A stream with a new checkpoint counts its batches from 0 again; without the note it would write
+    over the versions that an earlier stream has landed.
+    """
+    note = f"{checkpoint.rstrip('/')}-first-version"
+    try:
+        return spark.read.parquet(note).first()[0]
+    except AnalysisException:
+        pass
+    try:
+        newest = latest_version(read_table(spark, table)).first()[0] or 0
+    except AnalysisException:
+        newest = 0
+    save(spark.range(1).select(F.lit(int(newest)).cast("bigint").alias(VERSION)), note)
+    return int(newest)
 
 
 def run_arrivals(
@@ -35,22 +56,27 @@ def run_arrivals(
     forecasts: str | None = None,
     keys: Sequence[str] = KEYS,
     spec: ForecastSpec = NEXT_DAY,
+    contract: Contract = SALES_CONTRACT,
 ) -> None:
     """Take in all files that are new in ``in_dir`` and return.
 
     Each micro-batch becomes one version of ``table``. A batch that is run again after a failure has
-    the same number and replaces its own partition, so every row counts once. If ``forecasts`` names
-    a table, all series are then forecast from the newest day on and stored by that training date.
+    the same number and replaces its own partition, so every row counts once. Rows that break the
+    contract go to ``<table>_quarantine`` under the same version. If ``forecasts`` names a table, all
+    series are then forecast from every day that the batch brought, each from the sales up to it, and
+    stored by that training date.
     """
+    base = _first_version(spark, table, checkpoint)
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        version = F.lit(batch_id + 1).cast("bigint")
-        save_partition(batch.withColumn(VERSION, version), table, VERSION)
+        version = F.lit(base + batch_id + 1).cast("bigint")
+        good, bad = enforce(batch, contract)
+        save_partition(good.withColumn(VERSION, version), table, VERSION)
+        save_partition(bad.withColumn(VERSION, version), f"{table.rstrip('/')}_quarantine", VERSION)
         if forecasts is not None:
-            known = current_sales(spark, table)
-            newest = read_table(spark, table).agg(F.max("date")).first()[0]
-            if newest is not None:
-                store_forecasts(walk_forward(known, [newest], keys, spec), forecasts)
+            days = [r[0] for r in good.select("date").distinct().collect()]  # the days of one delivery
+            if days:
+                store_forecasts(walk_forward(current_sales(spark, table), sorted(days), keys, spec), forecasts)
 
     (
         spark.readStream.schema(SALES_DDL)

@@ -4,10 +4,13 @@ import re
 
 import pytest
 from conftest import final_plan
+from pyspark.sql import functions as F
 
 from registry.oracle import ORACLE
 from registry.spark_queries import CUT, QUERIES, train
+from seriesmill.operators import explore
 from seriesmill.operators.forecast import forecast
+from seriesmill.plans import layers
 from seriesmill.sources.sales import daily_sales
 
 
@@ -93,3 +96,10 @@ def test_grouped_map_reuses_its_one_spread_by_series(plan_of):
 def test_raw_lines_are_scanned_once_per_comparison(plan_of):
     for name in ("prediction_overview", "coverage_overall", "allocated_forecast"):
         assert "l_shipdate" not in plan_of(name)
+
+
+def test_layers_without_corrections_equal_the_plain_aggregates(spark, small, tmp_path):
+    sales = daily_sales(spark, small).withColumn("v", F.lit(0))
+    paths = layers.build_layers(sales, str(tmp_path), latest_by=["v"])
+    by_month = sorted(map(tuple, spark.read.parquet(paths["sales_by_month"]).collect()))
+    assert by_month == sorted(map(tuple, explore.sales_by_month(daily_sales(spark, small)).collect()))

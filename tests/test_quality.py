@@ -90,3 +90,19 @@ def test_enrich_refuses_a_source_with_two_rows_for_a_key(spark):
     twice = spark.createDataFrame([(1, "a"), (1, "b")], "store INT, name STRING")
     with pytest.raises(Exception, match="several rows"):
         enrich(sales, Source("names", twice, ("store",))).collect()
+
+
+def test_enforcement_never_changes_a_value(spark):
+    schema = "date TIMESTAMP, store STRING, item DOUBLE, sales DOUBLE"
+    rows = [("2001-10-01 00:00:00", "1", 1.0, 3.0), ("2001-10-01 05:00:00", "1", 1.0, 3.0), ("2001-10-01 00:00:00", "1", 1.0, 3.7), ("2001-10-01 00:00:00", "1.5", 1.0, 3.0), (None, "1", 1.0, 3.0), ("2001-10-01 00:00:00", "0", 1.0, 3.0)]
+    raw = spark.createDataFrame(rows, schema.replace("date TIMESTAMP", "date STRING")).selectExpr("CAST(date AS TIMESTAMP) AS date", "store", "item", "sales")
+    good, bad = enforce(raw, SALES_CONTRACT)
+    assert [tuple(r)[1:] for r in good.collect()] == [(1, 1, 3)]
+    assert sorted(r["_rule"] for r in bad.collect()) == ["low:store", "not_null:date", "type:date", "type:sales", "type:store"]
+
+
+def test_enrich_refuses_whatever_is_selected(spark):
+    sales = spark.createDataFrame([("2001-10-01", 1, 1, 5)], "date STRING, store INT, item INT, sales BIGINT")
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "store INT, name STRING")
+    with pytest.raises(Exception, match="several rows"):
+        enrich(sales, Source("names", twice, ("store",))).select("store", "name", "sales").collect()

@@ -1,6 +1,7 @@
 """Saved tables, versions, ledger, layers and the arrival stream."""
 
 import datetime as dt
+from dataclasses import replace
 
 import pytest
 from conftest import final_plan, sales_frame, tuples
@@ -146,9 +147,10 @@ def test_stream_forecast_equals_walk_forward(spark, folder, small):
     deliver(holdout(spark, small).where("date <= '2001-10-04'"), folder)
     run(spark, folder, forecasts=f"{folder}/forecasts")
     out = tables.read_table(spark, f"{folder}/forecasts")
-    newest = out.first()["training_date"]
-    expected = walk_forward.walk_forward(daily_sales(spark, small, end="2001-10-05"), [newest])
-    keys = ["store", "item"]
+    days = [r[0] for r in holdout(spark, small).where("date <= '2001-10-04'").select("date").distinct().collect()]
+    assert len(days) > 1 and {r[0] for r in out.select("training_date").distinct().collect()} == set(days)
+    expected = walk_forward.walk_forward(daily_sales(spark, small, end="2001-10-05"), sorted(days))
+    keys = ["training_date", "store", "item"]
     a, b = tuples(out.select(expected.columns), *keys), tuples(expected, *keys)
     assert len(a) == len(b) and all(x[:4] == y[:4] and abs(x[4] - y[4]) < 1e-9 for x, y in zip(a, b))
 
@@ -157,3 +159,32 @@ def test_stream_forecast_equals_walk_forward(spark, folder, small):
 def test_table_queries_can_be_run_twice(spark, small, name):
     a, b = (sorted(map(str, QUERIES[name](spark, small).collect())) for _ in range(2))
     assert a == b
+
+
+def test_a_new_checkpoint_writes_over_no_version(spark, folder, small):
+    sales = holdout(spark, small)
+    sales.where("date <= '2001-10-10'").write.parquet(f"{folder}/in")
+    arrivals.run_arrivals(spark, f"{folder}/in", f"{folder}/table", f"{folder}/first")
+    sales.where("date > '2001-10-10'").write.parquet(f"{folder}/more")
+    arrivals.run_arrivals(spark, f"{folder}/more", f"{folder}/table", f"{folder}/second")
+    assert sorted(map(tuple, arrivals.current_sales(spark, f"{folder}/table").collect())) == sorted(map(tuple, sales.collect()))
+
+
+def test_arrivals_that_break_the_contract_are_set_aside(spark, folder):
+    sales_frame(spark, [("2001-10-01", 1, 1, 5), (None, 1, 1, 7)]).write.parquet(f"{folder}/in")
+    run(spark, folder)
+    assert [r["sales"] for r in arrivals.current_sales(spark, f"{folder}/table").collect()] == [5]
+    assert [(r["sales"], r["_rule"]) for r in tables.read_table(spark, f"{folder}/table_quarantine").collect()] == [(7, "not_null:date")]
+
+
+def test_a_correction_counts_once_in_a_snapshot(spark):
+    rows = [("2001-10-01", 1, 1, 5, 0), ("2001-10-02", 1, 1, 6, 1), ("2001-10-01", 1, 1, 9, 2), ("2001-10-02", 1, 1, 1, 3)]
+    df = spark.createDataFrame(rows, f"date STRING, store INT, item INT, sales BIGINT, {tables.VERSION} BIGINT")
+    assert {(r["date"], r["sales"]) for r in tables.snapshot(df, 2).collect()} == {("2001-10-01", 9), ("2001-10-02", 6)}
+    assert tables.snapshot(df, 2).count() == 2
+
+
+def test_run_parameters_tell_settings_keys_and_models_apart():
+    spec = walk_forward.NEXT_DAY
+    variants = [walk_forward.run_parameters(s, k, m) for s in (spec, replace(spec, weekly=False), replace(spec, yearly=False)) for k in (("store", "item"), ("item",)) for m in ("closed_form", "weekday_mean")]
+    assert len({tuple(sorted(v.items())) for v in variants}) == 12
