@@ -35,10 +35,10 @@ SYMBOLS = FREQUENT + ENDINGS + 2
 #: The end of a text and what stands before its first word, each a symbol and a class of its own.
 END, START = SYMBOLS - 2, SYMBOLS - 1
 END_CLASS, START_CLASS = CLASSES, CLASSES + 1
-ROUNDS = 4
+ROUNDS = 3
 #: Each round moves the half of the symbols whose hash it selects, the two halves in turn.
 ADD = 0.1
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 END_HASH = np.int64(0x454E44)
 
 
@@ -132,11 +132,15 @@ def _tokens(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.n
     return tokens, first, np.repeat(np.arange(len(lengths)), lengths + 1)
 
 
-def _class_contexts(blocks: DataFrame, frequent, classes) -> DataFrame:
-    """symbol, side (0: class before it, 1: class behind it), class, n over training text."""
+def _contexts(blocks: DataFrame, frequent, classes: np.ndarray) -> np.ndarray:
+    """Counts over training text by side (0: class before, 1: class behind), symbol and class: an array of fixed size.
+
+    Each task sums its blocks; the sums travel as one row of classes per side and symbol.
+    """
+    wide = CLASSES + 2
+    shared = blocks.sparkSession.sparkContext.broadcast(classes)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wide = CLASSES + 2
         total = np.zeros(2 * SYMBOLS * wide, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -146,22 +150,28 @@ def _class_contexts(blocks: DataFrame, frequent, classes) -> DataFrame:
                 before = np.append(START, symbol[:-1])
                 before[first] = START
                 symbol, before = symbol[train], before[train]
-                total += np.bincount(symbol * wide + classes.value[before], minlength=len(total))
-                total += np.bincount(SYMBOLS * wide + before * wide + classes.value[symbol], minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["cell", "n"])
+                total += np.bincount(symbol * wide + shared.value[before], minlength=len(total))
+                total += np.bincount(SYMBOLS * wide + before * wide + shared.value[symbol], minlength=len(total))
+        yield from rows(total.reshape(-1, wide), np.arange(2 * SYMBOLS))
 
-    cells = blocks.select("trains", "lengths", "words", "vocabulary", "endings").mapInArrow(count, "cell bigint, n bigint")
-    return cells.groupBy("cell").agg(F.sum("n").alias("n"))
+    def rows(table: np.ndarray, names: np.ndarray) -> Iterator[pa.RecordBatch]:
+        used = table.any(axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(names[used].astype(np.int32)), pa.array([r.tobytes() for r in table[used]], pa.binary())], ["row", "counts"])
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # At most one sum per side and symbol, however many tasks send one.
+        total = np.zeros((2 * SYMBOLS, wide), np.int64)
+        for batch in batches:
+            for r, counts in zip(batch.column(0).to_numpy(), batch.column(1)):
+                total[r] += np.frombuffer(counts.as_buffer(), np.int64)
+        yield from rows(total, np.arange(2 * SYMBOLS))
 
-def _contexts(blocks: DataFrame, frequent, classes: np.ndarray) -> np.ndarray:
-    """Counts by side, symbol and class: an array of fixed size."""
-    shared = blocks.sparkSession.sparkContext.broadcast(classes)
-    table = _class_contexts(blocks, frequent, shared).toArrow()
-    out = np.zeros(2 * SYMBOLS * (CLASSES + 2), np.int64)
-    out[table["cell"].to_numpy()] = table["n"].to_numpy()
-    return out.reshape(2, SYMBOLS, CLASSES + 2)
+    parts = blocks.select("trains", "lengths", "words", "vocabulary", "endings").mapInArrow(count, "row int, counts binary")
+    table = parts.repartition("row").mapInArrow(add, "row int, counts binary").toArrow()
+    out = np.zeros((2 * SYMBOLS, wide), np.int64)
+    for r, counts in zip(table["row"].to_numpy(), table["counts"]):
+        out[r] = np.frombuffer(counts.as_buffer(), np.int64)
+    return out.reshape(2, SYMBOLS, wide)
 
 
 def _entropy(n: np.ndarray) -> np.ndarray:
@@ -206,10 +216,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     ready = docs.select("doc_id", (~held_out_document(F.col("doc_id"))).alias("trains"), "text")
-    blocks = materialise(_blocks(ready).withColumn("block", F.col("block")), "blocks")
-    words = blocks.select("block", F.posexplode(F.arrays_zip("vocabulary", "counts", "endings")).alias("place", "w"))
-    words = words.select("block", "place", F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"), F.col("w.endings").alias("ending"))
-    totals = materialise(words.groupBy("word", "ending").agg(F.sum("n").alias("n")).where("n > 0"), "word-counts")
+    blocks = materialise(_blocks(ready), "blocks")
+    counted = blocks.select(F.explode(F.arrays_zip("vocabulary", "counts", "endings")).alias("w")).where("w.counts > 0")
+    counted = counted.select(F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"), F.col("w.endings").alias("ending"))
+    totals = materialise(counted.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending")), "word-counts")
     whole = totals.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     train_tokens, types = whole["n"] or 0, whole["v"]
     top = totals.where(F.col("word") != int(END_HASH)).orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").toArrow()["word"].to_numpy()
@@ -225,10 +235,10 @@ def score_texts(docs: DataFrame) -> DataFrame:
             movable = half == part
             movable[[END, START]] = False
             classes = exchange(contexts, classes, movable)
-    return _score(blocks, words, totals, frequent, classes, train_tokens, types)
+    return _score(blocks, totals, frequent, classes, train_tokens, types)
 
 
-def _score(blocks: DataFrame, words: DataFrame, totals: DataFrame, frequent, classes: np.ndarray, train_tokens: int, types: int) -> DataFrame:
+def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray, train_tokens: int, types: int) -> DataFrame:
     spark = blocks.sparkSession
     # Class bigrams, and for each class the training tokens and distinct words.
     contexts = _contexts(blocks, frequent, classes)
@@ -257,8 +267,10 @@ def _score(blocks: DataFrame, words: DataFrame, totals: DataFrame, frequent, cla
     tables = spark.sparkContext.broadcast((moves, np.log10(emitted + ADD * (kinds + 1))))
     base_below = np.log10(train_tokens + ADD * (types + 1))
 
-    found = words.select("block", "place", "word", "ending").join(totals, ["word", "ending"])
+    words = blocks.select("block", F.posexplode("vocabulary").alias("place", "word"))
+    found = words.join(totals.select("word", "n"), "word")
     returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n")).alias("known"))
+    # Block numbers are unique, so that no key is large.
     joined = blocks.drop("counts").join(returned, "block", "left")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
