@@ -296,6 +296,8 @@ ORACLE: dict[str, str] = {
     "walk_forward_metrics": f"WITH {PAIRS} SELECT store, item, {COVERAGE}, 'store_item' AS model FROM pairs GROUP BY store, item",
     "coverage_by_cutoff": f"WITH {PAIRS} SELECT training_date, {COVERAGE} FROM pairs GROUP BY training_date",
     "coverage_overall": f"WITH {PAIRS} SELECT accuracy, stocked FROM (SELECT {COVERAGE} FROM pairs)",
+    "saved_once_sales": f"WITH {sales()} SELECT * FROM sales",
+    "database_sales": f"WITH {sales()} SELECT * FROM sales",
     "catalog_table_sales": f"WITH {sales()} SELECT * FROM sales",
     "arrival_history": f"""WITH {GROWN} SELECT arrival_version, count(*) AS n_rows, min(date) AS min_date,
         max(date) AS max_date FROM grown GROUP BY arrival_version""",
@@ -349,6 +351,8 @@ ORACLE: dict[str, str] = {
         SELECT training_date, store, item, ds, {bounds()} FROM fc""",
 }
 
+# Forecasts that come back from the store.
+ORACLE |= {f"stored_forecast_{name}": ORACLE[f"walk_forward_{name}"] for name in ("actuals", "metrics")}
 # The grouped-map path restates the closed form.
 ORACLE |= {f"grouped_map_{name}": ORACLE[f"series_{name}"] for name in ("forecast", "forecast_500")}
 # The aggregates of the clean layer are the plain ones over the corrected sales.

@@ -8,11 +8,13 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
+from pyspark.sql.utils import AnalysisException
 
 from seriesmill.functions.dates import date_range
 from seriesmill.operators import evaluate, explore, quality
@@ -298,9 +300,54 @@ def coverage_overall(spark, folder):
     return evaluate.coverage_overall(walked_pairs(spark, folder))
 
 
+def stored_pairs(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored forecasts of the cutoffs, read back by training date, with the sales they aimed at."""
+    path = shared_folder(spark, "forecasts")
+    walk_forward.store_forecasts(walked(spark, folder), path)
+    stored = tables.read_table(spark, path).where(F.col("training_date").isin(CUTOFFS))
+    return evaluate.with_actuals(stored, daily_sales(spark, folder))
+
+
+@query
+def stored_forecast_actuals(spark, folder):
+    return stored_pairs(spark, folder)
+
+
+@query
+def stored_forecast_metrics(spark, folder):
+    return evaluate.coverage_metrics(stored_pairs(spark, folder), model=evaluate.PER_SERIES)
+
+
 # Tables, versions and the run ledger
 
 
+@query
+def saved_once_sales(spark, folder):
+    """A second save without a mode fails and leaves the table as it was."""
+    path = shared_folder(spark, "once")
+    tables.save(daily_sales(spark, folder), path)
+    try:
+        tables.save(daily_sales(spark, folder).limit(0), path)
+    except AnalysisException:
+        return tables.read_table(spark, path)
+    raise AssertionError("an existing table was saved over")
+
+
+@query
+def database_sales(spark, folder):
+    """A table in a database of its own, dropped and saved anew before it is read."""
+    before, name = spark.catalog.currentDatabase(), f"seriesmill_{uuid.uuid4().hex[:12]}"
+    tables.use_database(spark, name, shared_folder(spark, name))
+    try:
+        tables.save(daily_sales(spark, folder, end=CUT), "sales")
+        tables.drop_table(spark, "sales")
+        tables.save(daily_sales(spark, folder), "sales")
+        return tables.materialise(tables.read_table(spark, "sales"), "sales")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+        tables.drop_database(spark, name)
+
+
 def grown_table(spark: SparkSession, folder: str) -> DataFrame:
     path = shared_folder(spark, "grown")
     versions = walk_forward.version_arrivals(daily_sales(spark, folder, end="2001-10-07"), CUT)
