@@ -269,9 +269,12 @@ _MODEL_COLUMNS = {
 }
 
 
-def _predicted(sales, keys, spec, where, cutoffs) -> DataFrame:
+def _predicted(sales, keys, spec, where, cutoffs, without: Sequence[str]) -> DataFrame:
+    """Keys go by neutral names in between, so that one may be called like a column of the model."""
     chosen = sales if where is None else sales.where(where)
-    return predict(fit(chosen, keys, spec, cutoffs), spec)
+    inner = [f"_key{n}" for n in range(len(keys))]
+    named = chosen.select("date", "sales", *[F.col(f"`{k}`").alias(i) for k, i in zip(keys, inner)])
+    return predict(fit(named, inner, spec, cutoffs), spec).drop(*without).withColumnsRenamed(dict(zip(inner, keys)))
 
 
 def forecast(
@@ -286,7 +289,7 @@ def forecast(
     ``where`` chooses series before they are grouped, so that it can reach the scan. With
     ``keys=["item"]`` the stores of an item are added up first.
     """
-    return _predicted(sales, keys, spec, where, cutoffs).drop("trend", "weekly", "yearly")
+    return _predicted(sales, keys, spec, where, cutoffs, ("trend", "weekly", "yearly"))
 
 
 def forecast_components(
@@ -297,4 +300,4 @@ def forecast_components(
     cutoffs: Sequence[dt.date | str] | None = None,
 ) -> DataFrame:
     """The parts of each forecast value: keys, ds, trend, weekly, yearly, yhat."""
-    return _predicted(sales, keys, spec, where, cutoffs).drop("yhat_lower", "yhat_upper")
+    return _predicted(sales, keys, spec, where, cutoffs, ("yhat_lower", "yhat_upper"))

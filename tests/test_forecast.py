@@ -319,3 +319,10 @@ def test_trend_and_weekday_factors_together_are_recovered_within_their_bound(spa
     spec = ForecastSpec(h=1, include_history=True, yearly=False)
     worst = max(abs(r["yhat"] / signal[r["ds"]] - 1) for r in forecast(frame, spec=spec).collect() if r["ds"] in signal)
     assert worst < 1.5e-2
+
+
+def test_keys_may_be_named_like_columns_of_the_model(spark):
+    days = [dt.date(2001, 1, 1) + dt.timedelta(days=n) for n in range(30)]
+    frame = sales_frame(spark, rows_of({d: 5 + n % 7 for n, d in enumerate(days)}))
+    odd = frame.withColumnsRenamed({"store": "n", "item": "weekly"})
+    assert tuples(forecast(odd, ["n", "weekly"]), "ds") == tuples(forecast(frame), "ds")
