@@ -5,8 +5,8 @@ minima of permuted shingle hashes; bands of them propose pairs, which are verifi
 similarity of their shingles, and links are joined to components. One line of each component stays:
 the first in the document with the smallest doc_id.
 
-Most band keys belong to one line. The text is read a second time for the others, through a filter of
-fixed size over the shared keys, so that only lines with a possible partner travel with their text.
+Most band keys belong to one line. Filters of fixed size over the shared keys, and over the lines that
+have them, keep all others where they are: only lines with a possible partner travel with their text.
 Of two lines in one band, sizes and sketches of their shingles are compared before their texts.
 """
 
@@ -28,7 +28,7 @@ SHINGLE, PERCENT = 7, 80
 BANDS, ROWS = 10, 4
 #: Shorter lines say too little to be told from ordinary text, and stay.
 MIN_CHARS = 16
-#: Words of 64 bits in the filter over shared band keys; false positives cost time only.
+#: Words of 64 bits in a filter; false positives cost time only.
 FILTER_WORDS = 1 << 20
 
 _random = np.random.default_rng(8)
@@ -103,62 +103,85 @@ def _band_keys(signatures: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def _distinct_long_lines(lines: Lines) -> np.ndarray:
-    _, first = np.unique(lines.hash[lines.long], return_index=True)
-    return lines.long[first]
-
-
 def _lines(texts: pa.Array) -> Iterator[tuple[int, int, Lines]]:
     for first, data, at in slices(texts, 1 << 18):
         yield first, len(at) - 1, Lines(data, at)
 
 
-def _band_entries(docs: DataFrame) -> DataFrame:
-    """key, id (line hash) for every band of every distinct line of a slice."""
+def _listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
 
-    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _signed_lines(docs: DataFrame) -> DataFrame:
+    """doc_id, ids (hashes of its distinct lines), keys (BANDS for each of them) per row."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, lines in _lines(batch.column(0)):
-                only = _distinct_long_lines(lines)
-                if len(only):
-                    yield pa.RecordBatch.from_arrays([pa.array(_band_keys(lines.signatures(only)).ravel()), pa.array(np.repeat(lines.hash[only], BANDS))], ["key", "id"])
+            for first, rows, lines in _lines(batch.column(1)):
+                order = lines.long[np.lexsort((lines.hash[lines.long], lines.row[lines.long]))]
+                row, ids = lines.row[order], lines.hash[order]
+                again = (row[1:] == row[:-1]) & (ids[1:] == ids[:-1])
+                once = np.append(True, ~again)[: len(order)]
+                row, ids = row[once], ids[once]
+                distinct, one, which = np.unique(ids, return_index=True, return_inverse=True)
+                keys = _band_keys(lines.signatures(order[once][one]))[which] if len(distinct) else np.zeros((0, BANDS), np.int64)
+                counts = np.bincount(row, minlength=rows)
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), _listed(ids, counts), _listed(keys.ravel(), counts * BANDS)], ["doc_id", "ids", "keys"])
+
+    return materialise(docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, ids array<bigint>, keys array<bigint>"), "signed-lines")
 
-    return docs.select("text").mapInArrow(entries, "key bigint, id bigint")
 
+def _entries(signed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """key, id for every band of every line, or of those that the filter ``bits`` lets through."""
+    shared = None if bits is None else signed.sparkSession.sparkContext.broadcast(bits)
 
-def _key_filter(keys: DataFrame) -> np.ndarray:
-    """A bit for every key's low bits: at most ``FILTER_WORDS`` rows reach the driver."""
-    bit = F.col("key").bitwiseAND(64 * FILTER_WORDS - 1)
-    words = keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(key & 63 AS INT)))").alias("bits")).toArrow()
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, keys = (np.asarray(batch.column(k).flatten()) for k in (0, 1))
+            ids, one = np.unique(ids, return_index=True)
+            ids, keys = np.repeat(ids, BANDS), keys.reshape(-1, BANDS)[one].ravel()
+            if shared is not None:
+                hit = _in_filter(shared.value, keys)
+                ids, keys = ids[hit], keys[hit]
+            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
+
+    return signed.select("ids", "keys").mapInArrow(unfold, "key bigint, id bigint")
+
+
+def _filter_of(values: DataFrame) -> np.ndarray:
+    """A bit for the low bits of every value of the one column: at most ``FILTER_WORDS`` rows reach the driver."""
+    value = F.col(values.columns[0])
+    bit = value.bitwiseAND(64 * FILTER_WORDS - 1)
+    ones = F.expr(f"shiftleft(1L, CAST(`{values.columns[0]}` & 63 AS INT))")
+    words = values.groupBy(F.shiftright(bit, 6).alias("word")).agg(F.bit_or(ones).alias("bits")).toArrow()
     out = np.zeros(FILTER_WORDS, np.int64)
     out[words["word"].to_numpy()] = words["bits"].to_numpy()
     return out
 
 
-def _possible(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """id, keys (those in the filter), size (distinct shingles), sketch of those, text of every line that has one."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+def _in_filter(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    return (bits[(values & (64 * FILTER_WORDS - 1)) >> 6] >> (values & 63)) & 1 == 1
+
+
+def _line_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, size (distinct shingles), sketch of those, text of the lines with these ids."""
+    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(ids))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, lines in _lines(batch.column(0)):
-                only = _distinct_long_lines(lines)
-                if not len(only):
-                    continue
-                keys = _band_keys(lines.signatures(only))
-                word = (keys & (64 * FILTER_WORDS - 1)) >> 6
-                hit = (shared.value[word] >> (keys & 63)) & 1 == 1
-                some = np.flatnonzero(hit.any(axis=1))
-                until = np.concatenate([[0], np.cumsum(hit[some].sum(axis=1))]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(until), pa.array(keys[some][hit[some]]))
-                texts = lines.texts(only[some])
+                _, one = np.unique(lines.hash[lines.long], return_index=True)
+                only = lines.long[one]
+                only = only[_in_filter(shared.value, lines.hash[only])]
+                texts = lines.texts(only)
                 sets = [_shingle_set(x) for x in texts]
-                sizes = np.array([len(x) for x in sets], np.int32)
-                places = pa.array(np.arange(len(some) + 1, dtype=np.int32) * SKETCH_WORDS)
-                sketches = pa.ListArray.from_arrays(places, pa.array(np.array([parity_sketch(x) for x in sets], np.int64).ravel()))
-                yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only[some]]), lists, pa.array(sizes), sketches, pa.array(texts, pa.string())], ["id", "keys", "size", "sketch", "text"])
+                sizes = pa.array(np.array([len(x) for x in sets], np.int32))
+                sketches = np.array([parity_sketch(x) for x in sets], np.int64).ravel()
+                yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only]), sizes, _listed(sketches, np.full(len(only), SKETCH_WORDS)), pa.array(texts, pa.string())], ["id", "size", "sketch", "text"])
 
-    return docs.select("text").mapInArrow(emit, "id bigint, keys array<bigint>, size int, sketch array<bigint>, text string")
+    found = docs.select("text").mapInArrow(emit, "id bigint, size int, sketch array<bigint>, text string")
+    return materialise(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "lines")
 
 
 def _shingle_set(text: str) -> np.ndarray:
@@ -179,14 +202,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(test, "a bigint, b bigint")
 
 
-def line_components(docs: DataFrame) -> DataFrame:
+def line_components(docs: DataFrame, signed: DataFrame | None = None) -> DataFrame:
     """id (line hash), component for every line that is similar to a different one."""
-    entries = _band_entries(docs)
-    shared = materialise(entries.groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key"), "shared-keys")
-    possible = materialise(_possible(docs, _key_filter(shared)), "possible-lines")
-    lines = materialise(possible.dropDuplicates(["id"]), "lines")
-    keyed = lines.select("id", "size", "sketch", F.explode("keys").alias("key"))
-    lists = keyed.join(shared, "key").select("key", "id", "size", "sketch")
+    signed = _signed_lines(docs) if signed is None else signed
+    shared = materialise(_entries(signed).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key"), "shared-keys")
+    entries = materialise(_entries(signed, _filter_of(shared)).distinct().join(shared, "key"), "shared-entries")
+    lines = _line_texts(docs, entries.select("id").distinct())
+    lists = entries.join(lines.select("id", "size", "sketch"), "id")
     texts = lines.select("id", "text")
     return link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
 
@@ -200,22 +222,11 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     named n_lines or n_removed are replaced.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, _, lines in _lines(batch.column(1)):
-                row, hashes = lines.row[lines.long], lines.hash[lines.long]
-                order = np.lexsort((hashes, row))
-                row, hashes = row[order], hashes[order]
-                again = (row[1:] == row[:-1]) & (hashes[1:] == hashes[:-1])
-                once = np.flatnonzero(np.append(True, ~again)) if len(row) else order
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(first + row[once])), pa.array(hashes[once])], ["doc_id", "id"])
-
-    seen = materialise(docs.select("doc_id", "text").mapInArrow(occurrences, f"doc_id {kind}, id bigint"), "occurrences")
+    signed = _signed_lines(docs)
+    seen = signed.select("doc_id", F.explode("ids").alias("id"))
     owner_of = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     labelled = materialise(
-        seen.join(line_components(docs), "id", "left").select("doc_id", "id", F.coalesce("component", "id").alias("label"), owner_of.alias("holder")), "labelled"
+        seen.join(line_components(docs, signed), "id", "left").select("doc_id", "id", F.coalesce("component", "id").alias("label"), owner_of.alias("holder")), "labelled"
     )
     owners = labelled.groupBy("label").agg(F.min("holder").alias("owner"), F.max("holder").alias("other"), F.min("id").alias("one"), F.max("id").alias("another"))
     owners = owners.where("owner < other OR one < another").select("label", "owner")
