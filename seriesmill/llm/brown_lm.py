@@ -23,6 +23,7 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +39,7 @@ END_CLASS, START_CLASS = CLASSES, CLASSES + 1
 ROUNDS = 3
 #: Each round moves the half of the symbols whose hash it selects, the two halves in turn.
 ADD = 0.1
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 8 << 20
 END_HASH = np.int64(0x454E44)
 
 
@@ -56,13 +57,24 @@ def _ending(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return (mix(out) % U(ENDINGS)).astype(np.int32)
 
 
+def _packed(places: np.ndarray) -> bytes:
+    """Numbers byte by byte, compressed: frequent words have small numbers, so that the higher bytes are mostly 0."""
+    return zstandard.ZstdCompressor(level=3).compress(places.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+
+
 def _blocks(docs: DataFrame) -> DataFrame:
     """block, docs (doc_ids, trains, lengths), words (places in the vocabulary), vocabulary with counts and endings.
 
-    ``docs`` has doc_id, trains, text. Counts are those of training documents, the end of text included.
+    ``docs`` has doc_id, trains, text. Counts are those of training documents. The vocabulary has the
+    block's most frequent word first and the end of text last.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"block bigint, doc_ids array<{kind}>, trains array<boolean>, lengths array<int>, words binary, vocabulary array<bigint>, counts array<bigint>, endings array<int>"
+    schema = f"block bigint, doc_ids array<{kind}>, trains array<boolean>, lengths array<int>, words binary, vocabulary array<bigint>, counts array<bigint>, endings array<smallint>"
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
@@ -79,6 +91,11 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     row.append(of + low)
                 keys, endings, row = np.concatenate(keys), np.concatenate(endings), np.concatenate(row)
                 vocabulary, one, place = np.unique(keys, return_index=True, return_inverse=True)
+                by_frequency = np.argsort(-np.bincount(place, minlength=len(vocabulary)), kind="stable")
+                vocabulary, one = vocabulary[by_frequency], one[by_frequency]
+                rank = np.empty(len(vocabulary), np.int32)
+                rank[by_frequency] = np.arange(len(vocabulary), dtype=np.int32)
+                place = rank[place]
                 counts = np.bincount(place, trains[first + row], len(vocabulary)).astype(np.int64)
                 lengths = np.bincount(row, minlength=rows).astype(np.int32)
                 own = trains[first : first + rows]
@@ -86,7 +103,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
                 def listed(values, kind=None):
                     return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values if isinstance(values, pa.Array) else pa.array(values, kind))
 
-                columns = [pa.array([number], pa.int64()), listed(batch.column(0).slice(first, rows)), listed(own), listed(lengths), pa.array([place.astype(np.int32).tobytes()], pa.binary()), listed(np.append(vocabulary, END_HASH)), listed(np.append(counts, own.sum())), listed(np.append(endings[one], np.int32(0)), pa.int32())]
+                columns = [pa.array([number], pa.int64()), listed(batch.column(0).slice(first, rows)), listed(own), listed(lengths), pa.array([_packed(place)], pa.binary()), listed(np.append(vocabulary, END_HASH)), listed(np.append(counts, own.sum())), listed(np.append(endings[one], 0).astype(np.int16))]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "doc_ids", "trains", "lengths", "words", "vocabulary", "counts", "endings"])
                 number += 1
 
@@ -110,7 +127,7 @@ def _symbols(vocabulary: np.ndarray, endings: np.ndarray, frequent: np.ndarray)
     """The symbol of each word of a block; ``frequent`` are sorted hashes."""
     where = np.minimum(np.searchsorted(frequent, vocabulary), max(0, len(frequent) - 1))
     known = frequent[where] == vocabulary if len(frequent) else np.zeros(len(vocabulary), bool)
-    out = np.where(known, where, FREQUENT + endings)
+    out = np.where(known, where, FREQUENT + endings.astype(np.int64))
     out[-1] = END
     return out
 
@@ -127,8 +144,8 @@ def _sequence(words: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndar
 def _tokens(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tokens, which are first, document of each token."""
     lengths = _values(batch.column("lengths"), k)
-    words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int32).astype(np.int64)
-    tokens, first = _sequence(words, lengths, len(batch.column("vocabulary")[k]) - 1)
+    words = _unpacked(batch.column("words")[k].as_py())
+    tokens, first = _sequence(words, lengths, len(batch.column("endings")[k]) - 1)
     return tokens, first, np.repeat(np.arange(len(lengths)), lengths + 1)
 
 
@@ -218,7 +235,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     ready = docs.select("doc_id", (~held_out_document(F.col("doc_id"))).alias("trains"), "text")
     blocks = materialise(_blocks(ready), "blocks")
     counted = blocks.select(F.explode(F.arrays_zip("vocabulary", "counts", "endings")).alias("w")).where("w.counts > 0")
-    counted = counted.select(F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"), F.col("w.endings").alias("ending"))
+    counted = counted.select(F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"), F.col("w.endings").cast("int").alias("ending"))
     totals = materialise(counted.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending")), "word-counts")
     whole = totals.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
     train_tokens, types = whole["n"] or 0, whole["v"]
@@ -267,11 +284,14 @@ def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray,
     tables = spark.sparkContext.broadcast((moves, np.log10(emitted + ADD * (kinds + 1))))
     base_below = np.log10(train_tokens + ADD * (types + 1))
 
-    words = blocks.select("block", F.posexplode("vocabulary").alias("place", "word"))
-    found = words.join(totals.select("word", "n"), "word")
-    returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n")).alias("known"))
+    # A block hears of a word where other blocks have it, too, or where it is frequent and has a symbol.
+    symbols = spark.createDataFrame(pa.table({"word": frequent.value, "symbol": np.arange(len(frequent.value))}), "word bigint, symbol bigint")
+    whole = totals.select("word", "n").join(F.broadcast(symbols), "word", "left")  # at most FREQUENT rows
+    words = blocks.select("block", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("place", "w")).select("block", "place", F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("own"))
+    found = words.join(whole, "word").where("n <> own OR symbol IS NOT NULL")
+    returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n", "symbol")).alias("known"))
     # Block numbers are unique, so that no key is large.
-    joined = blocks.drop("counts").join(returned, "block", "left")
+    joined = blocks.drop("vocabulary").join(returned, "block", "left")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
@@ -279,12 +299,16 @@ def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray,
         moves, below = tables.value
         for batch in batches:
             for k in range(batch.num_rows):
-                vocabulary = _values(batch.column("vocabulary"), k)
-                n = np.zeros(len(vocabulary))
+                n = _values(batch.column("counts"), k).astype(float)
+                symbol = FREQUENT + _values(batch.column("endings"), k).astype(np.int64)
                 known = batch.column("known")[k].values
                 if known is not None:
-                    n[np.asarray(known.field("place"))] = np.asarray(known.field("n"))
-                own = shared.value[_symbols(vocabulary, _values(batch.column("endings"), k), frequent.value)]
+                    place = np.asarray(known.field("place"))
+                    n[place] = np.asarray(known.field("n"))
+                    own = known.field("symbol").fill_null(-1).to_numpy()
+                    symbol[place[own >= 0]] = own[own >= 0]
+                symbol[-1] = END
+                own = shared.value[symbol]
                 above = np.log10(n + ADD)
                 base, emission = above - base_below, above - below[own]
                 tokens, first, of = _tokens(batch, k)

@@ -483,7 +483,7 @@ def test_language_model(docs, none):
 
 def test_class_model_beats_words_where_classes_alternate(spark):
     r = random.Random(6)
-    texts = [" ".join(r.choice(VOCABULARY[k % 2 * 200 : k % 2 * 200 + 200]) for k in range(300)) for _ in range(60)]
+    texts = [" ".join(r.choice(VOCABULARY[k % 2 * 200 : k % 2 * 200 + 200]) for k in range(2000)) for _ in range(60)]
     got = brown_lm.score_texts(spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")).where("held_out").collect()
     assert got and all(r["score"] > r["base_score"] + 0.2 * r["n_tokens"] for r in got)
 
