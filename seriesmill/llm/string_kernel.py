@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from seriesmill.llm.spans import LOWER, SPACED, U, slices, span_hashes, word_spans
 from seriesmill.sources.tables import materialise
 
-DECAY, SPAN, SHARPNESS = 0.7, 6, 4
+DECAY, SPAN, SHARPNESS = 0.7, 6, 2
 LANDMARKS, COMMON = 96, 32
 #: Labelled documents of each class that the machine is fitted on, at most; a quarter calibrates.
 TRAINING_DOCS = 4000
@@ -231,13 +231,17 @@ def _platt(margin: np.ndarray, label: np.ndarray, weight: np.ndarray) -> tuple[f
     return float(w[0] / spread), float(w[1] - w[0] * centre / spread)
 
 
-def _sample(labelled: DataFrame) -> tuple[DataFrame, dict[int, int]]:
-    """bag, part (0: calibration), label, text of a bounded sample per class, and the number of all rows per class."""
-    keyed = labelled.select("doc_id", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("bag"))
+def _sample(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """bag, part (0: calibration), label, text of a bounded sample per class, and the number of all labelled documents per class.
+
+    The sample is drawn from ids; texts are then picked by a broadcast of at most 2 * TRAINING_DOCS of them.
+    """
+    keyed = labels.join(docs.select("doc_id"), "doc_id", "left_semi").select("doc_id", "label", F.xxhash64(F.col("doc_id").cast("string")).alias("bag"))
     counts = {r["label"]: r["count"] for r in keyed.groupBy("label").count().collect()}
     chosen = [keyed.where(f"label = {k}").orderBy("bag", "doc_id").limit(TRAINING_DOCS) for k in (0, 1)]
-    picked = chosen[0].union(chosen[1]).select("doc_id", "bag", F.pmod("bag", F.lit(4)).cast("int").alias("part"))
-    return materialise(labelled.join(picked, "doc_id").select("bag", "part", "label", "text"), "labelled"), counts
+    picked = chosen[0].union(chosen[1]).select("doc_id", "bag", "label", F.pmod("bag", F.lit(4)).cast("int").alias("part"))
+    texts = docs.select("doc_id", "text").join(F.broadcast(materialise(picked, "picked")), "doc_id")
+    return materialise(texts.select("bag", "part", "label", "text"), "labelled"), counts
 
 
 def _landmark_words(training: DataFrame) -> tuple[list[str], list[str]]:
@@ -306,9 +310,9 @@ def _margins(docs: DataFrame, machine: Machine, schema: str) -> DataFrame:
     return docs.mapInArrow(margin, schema)
 
 
-def fit(labelled: DataFrame) -> Machine | None:
-    """The machine for rows (doc_id, text, label 0 or 1); None unless both labels occur."""
-    sample, totals = _sample(labelled.where("label IN (0, 1)").withColumn("label", F.col("label").cast("bigint")))
+def fit(docs: DataFrame, labels: DataFrame) -> Machine | None:
+    """The machine for documents (doc_id, text) and labels (doc_id, label 0 or 1; one row each); None unless both labels occur."""
+    sample, totals = _sample(docs, labels.where("label IN (0, 1)").withColumn("label", F.col("label").cast("bigint")))
     training = sample.where("part <> 0")
     if len(training.select("label").distinct().collect()) < 2:
         return None
@@ -373,8 +377,7 @@ def held_out(doc_id: Column) -> Column:
 def fit_on_labels(docs: DataFrame, labels: DataFrame) -> Machine | None:
     """Fit on documents with a label outside the held-out fifth; conflicting labels of one doc_id count as toxic."""
     known = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
-    known = known.where(~held_out(F.col("doc_id")))
-    return fit(docs.select("doc_id", "text").join(known, "doc_id").select("doc_id", "text", "label"))
+    return fit(docs, known.where(~held_out(F.col("doc_id"))))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
