@@ -46,6 +46,16 @@ def within_reach(x: Column, y: Column, percent: int) -> Column:
     return sizes & ((100 + percent) * differing <= (100 - percent) * (x["size"] + y["size"]))
 
 
+def _heaviest(rows: DataFrame) -> DataFrame:
+    """key, left, of: row and component of the greatest weight in each list, the smallest id among equals.
+
+    Fixed-width maxima and minima, so that the aggregates stay hash aggregates.
+    """
+    best = rows.groupBy("key").agg(F.max("row.weight").alias("best"))
+    first = rows.join(best, "key").where(F.col("row.weight") == F.col("best")).groupBy("key").agg(F.min("row.id").alias("pivot"))
+    return rows.join(first, "key").where(F.col("row.id") == F.col("pivot")).select("key", F.col("row").alias("left"), F.col("component").alias("of"))
+
+
 def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
     """id, component of ids that links join; every two ids of one list (column key) are candidates.
 
@@ -57,6 +67,10 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
     tested or lies in one component.
     """
     lists = materialise(lists, "lists")
+    # An id of long lists is close to many others: the original among its copies makes the best pivot.
+    lengths = lists.groupBy("key").agg(F.count("*").alias("length"))
+    weights = lists.join(lengths, "key").groupBy("id").agg(F.sum("length").alias("weight"))
+    lists = materialise(lists.join(weights, "id"), "weighted-lists")
     row = F.struct(*[c for c in lists.columns if c != "key"])
     links = known = None
     for turn in range(pivots + 1):
@@ -64,14 +78,15 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
         if known is not None:
             placed = materialise(lists.join(known, "id", "left").select("key", row.alias("row"), F.coalesce("component", "id").alias("component")), "placed")
         spread = placed.groupBy("key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("key", "least")
+        unsettled = placed.join(spread.select("key"), "key")
         if turn < pivots:
-            # The pivot: in the first turn the smallest id, then the smallest outside that one's component.
-            outside = placed.join(spread, "key").where(F.lit(turn == 0) | (F.col("component") != F.col("least")))
-            # Fixed-width minimum first, so that the aggregate stays a hash aggregate.
-            chosen = outside.groupBy("key").agg(F.min("row.id").alias("pivot"))
-            left = chosen.join(placed, "key").where(F.col("row.id") == F.col("pivot")).select("key", F.col("row").alias("left"), F.col("component").alias("of"))
+            # The pivot: in the first turn the heaviest id, then the heaviest outside that one's component.
+            left = _heaviest(unsettled)
+            if turn:
+                main = left.select("key", F.col("of").alias("main"))
+                left = _heaviest(unsettled.join(main, "key").where("component <> main").drop("main"))
         else:
-            left = placed.join(spread.select("key"), "key").select("key", F.col("row").alias("left"), F.col("component").alias("of"))
+            left = unsettled.select("key", F.col("row").alias("left"), F.col("component").alias("of"))
         open_pairs = left.join(placed, "key").where(F.col("of") != F.col("component"))
         if turn == pivots:
             open_pairs = open_pairs.where(F.col("left.id") < F.col("row.id"))
