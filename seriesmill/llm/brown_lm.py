@@ -6,9 +6,10 @@ for bigram and trigram word clustering, 1998). The probability of a word is that
 the last class, times that of the word in its class.
 
 Every word belongs to a symbol: the most frequent words to one of their own, all others to one per
-ending. Symbols are exchanged between classes in rounds: each round counts, over all training text,
-which classes stand left and right of each symbol, and moves symbols to the class that gains most,
-with all other symbols held where they are. The symbols and classes are of fixed number; the counts
+ending. Symbols are exchanged between classes in rounds of two halves: before each half it is counted
+anew, over all training text, which classes stand left and right of each symbol, and the symbols of
+that half move to the class that gains most, with all other symbols held where they are. Rounds go on
+until one raises the likelihood of the class bigrams by less than ``TOLERANCE``. The symbols and classes are of fixed number; the counts
 behind them, and the counts of words, cover all training documents.
 
 Text is read into blocks of documents with the block's own vocabulary. Word counts are summed by word
@@ -36,8 +37,8 @@ SYMBOLS = FREQUENT + ENDINGS + 2
 #: The end of a text and what stands before its first word, each a symbol and a class of its own.
 END, START = SYMBOLS - 2, SYMBOLS - 1
 END_CLASS, START_CLASS = CLASSES, CLASSES + 1
-ROUNDS = 3
-#: Each round moves the half of the symbols whose hash it selects, the two halves in turn.
+#: A round that raises the mean log-likelihood of a token (natural logarithm) by less than this is the last.
+TOLERANCE = 0.002
 ADD = 0.1
 BLOCK_BYTES = 8 << 20
 END_HASH = np.int64(0x454E44)
@@ -195,31 +196,54 @@ def _entropy(n: np.ndarray) -> np.ndarray:
     return n * np.log(np.maximum(n, 1))
 
 
-def exchange(contexts: np.ndarray, classes: np.ndarray, movable: np.ndarray) -> np.ndarray:
-    """Classes after moving each movable symbol to where the bigram likelihood gains most, the others fixed.
+def class_information(bigrams: np.ndarray) -> float:
+    """What class bigrams (rows: class before) add to the mean log-likelihood of a token over its frequency."""
+    total = bigrams.sum()
+    gain = _entropy(bigrams).sum() - _entropy(bigrams.sum(axis=0)).sum() - _entropy(bigrams.sum(axis=1)).sum()
+    return float((gain + _entropy(total)) / max(total, 1))
+
+
+def best_classes(left: np.ndarray, right: np.ndarray, classes: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    """The class of each row (counts of classes before and behind it) where the bigram likelihood gains most, all others fixed.
 
     The likelihood is the sum of n log n over class bigrams, less that over classes on either side.
+    ``bigrams`` (rows: class before) are those of ``classes``; a row without counts stays. What stands
+    next to a symbol is taken as not moving, the symbol itself included.
     """
-    left, right = contexts.astype(float)  # by symbol: class before, class behind
-    wide = CLASSES + 2
-    member = np.zeros((wide, len(classes)))
-    member[classes, np.arange(len(classes))] = 1
-    into, out_of = member @ left, member @ right  # rows: own class; columns: class before, class behind
-    heads, tails = into.sum(axis=1), out_of.sum(axis=1)
-    new = classes.copy()
-    for s in np.flatnonzero(movable & (left.sum(axis=1) + right.sum(axis=1) > 0)):
-        c, l, r = classes[s], left[s], right[s]
-        # The symbol taken out of its class, then the gain of adding it to each.
-        base_in, base_out = into[:CLASSES].copy(), out_of[:CLASSES].copy()
-        base_in[c] -= l
-        base_out[c] -= r
-        head, tail = heads[:CLASSES].copy(), tails[:CLASSES].copy()
-        head[c] -= l.sum()
-        tail[c] -= r.sum()
-        gain = (_entropy(base_in + l) - _entropy(base_in)).sum(axis=1) + (_entropy(base_out + r) - _entropy(base_out)).sum(axis=1)
-        gain -= _entropy(head + l.sum()) - _entropy(head) + _entropy(tail + r.sum()) - _entropy(tail)
-        new[s] = int(np.argmax(gain))
-    return new
+    parts = [_best(left[k : k + 1024].astype(float), right[k : k + 1024].astype(float), classes[k : k + 1024], bigrams.astype(float)) for k in range(0, len(classes), 1024)]
+    return np.concatenate([classes[:0], *parts])
+
+
+def _best(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+    rows, every = np.arange(len(own)), np.arange(CLASSES)
+
+    def side(counts: np.ndarray, other: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """Gain by row and class in the cells (class beside, own class), without those of a class beside itself."""
+        row, beside = np.nonzero(counts)
+        n = counts[row, beside][:, None]
+        # The symbol taken out of its class, then added to each.
+        base = cells[beside, :CLASSES]
+        same = beside == own[row]
+        base[same] -= other[row[same], :CLASSES]
+        base[np.arange(len(row)), own[row]] -= n[:, 0]
+        gain = _entropy(base + n) - _entropy(base)
+        gain[beside[:, None] == every] = 0
+        out = np.zeros((len(own), CLASSES))
+        used, first = np.unique(row, return_index=True)
+        out[used] = np.add.reduceat(gain, first) if len(row) else 0
+        return out
+
+    gain = side(left, right, bigrams) + side(right, left, bigrams.T)
+    both = (left + right)[:, :CLASSES]
+    alone = np.tile(np.diag(bigrams)[:CLASSES], (len(own), 1))
+    alone[rows, own] -= both[rows, own]
+    gain += _entropy(alone + both) - _entropy(alone)
+    for axis, counts in ((0, left), (1, right)):
+        size = counts.sum(axis=1, keepdims=True)
+        margin = np.tile(bigrams.sum(axis=axis)[:CLASSES], (len(own), 1))
+        margin[rows, own] -= size[:, 0]
+        gain -= _entropy(margin + size) - _entropy(margin)
+    return np.where((left + right).any(axis=1), gain.argmax(axis=1), own)
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
@@ -246,21 +270,28 @@ def score_texts(docs: DataFrame) -> DataFrame:
     classes = (mix(np.arange(SYMBOLS, dtype=U)) % U(CLASSES)).astype(np.int64)
     classes[END], classes[START] = END_CLASS, START_CLASS
     half = mix(np.arange(SYMBOLS, dtype=U) + U(7)) % U(2)
-    for turn in range(ROUNDS):
+    best, most, before, turn = None, -np.inf, -np.inf, 0
+    while True:
         contexts = _contexts(blocks, frequent, classes)
-        for part in (0, 1):
-            movable = half == part
-            movable[[END, START]] = False
-            classes = exchange(contexts, classes, movable)
-    return _score(blocks, totals, frequent, classes, train_tokens, types)
-
-
-def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray, train_tokens: int, types: int) -> DataFrame:
+        bigrams = np.zeros((CLASSES + 2, CLASSES + 2))  # rows: class before
+        np.add.at(bigrams.T, classes, contexts[0])
+        if (now := class_information(bigrams)) > most:
+            best, most = (classes, bigrams), now
+        if turn % 2 == 0:
+            if now - before < TOLERANCE:
+                break
+            before = now
+        movable = half == turn % 2
+        movable[[END, START]] = False
+        classes = classes.copy()
+        classes[movable] = best_classes(*contexts[:, movable], classes[movable], bigrams)
+        turn += 1
+    return _score(blocks, totals, frequent, *best, train_tokens, types)
+
+
+def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray, bigrams: np.ndarray, train_tokens: int, types: int) -> DataFrame:
     spark = blocks.sparkSession
-    # Class bigrams, and for each class the training tokens and distinct words.
-    contexts = _contexts(blocks, frequent, classes)
-    bigrams = np.zeros((CLASSES + 2, CLASSES + 2))  # rows: class before
-    np.add.at(bigrams.T, classes, contexts[0])
+    # For each class the training tokens and distinct words.
     shared = spark.sparkContext.broadcast(classes)
 
     def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -482,6 +482,42 @@ def test_language_model(docs, none):
     assert brown_lm.score_texts(none).collect() == []
 
 
+def in_turn(n_docs, groups=8, words=60, length=60, seed=1):
+    """Texts whose words come from one group after another: the class before tells the class behind."""
+    r = random.Random(seed)
+    kinds = [["".join(r.choice("bcdfghklmnprst") + r.choice("aeiou") for _ in range(4)) for _ in range(words)] for _ in range(groups)]
+    return [(k, " ".join(r.choice(kinds[(at + j) % groups]) for j in range(length))) for k in range(n_docs) for at in [r.randrange(groups)]]
+
+
+def test_exchange_finds_classes_that_follow_each_other(spark):
+    scored = [r for r in brown_lm.score_texts(spark.createDataFrame(in_turn(400), "doc_id BIGINT, text STRING").repartition(3)).collect() if r["held_out"]]
+    gain = sum(r["score"] - r["base_score"] for r in scored) / sum(r["n_tokens"] for r in scored)
+    assert gain > 0.7  # at most log10(8) = 0.90
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_best_class_is_the_one_of_the_greatest_likelihood(seed):
+    r = np.random.default_rng(seed)
+    tokens = r.integers(0, 40, 3000)
+    classes = r.integers(0, 6, 40)
+    wide = brown_lm.CLASSES + 2
+
+    def bigrams(of):
+        out = np.zeros((wide, wide))
+        np.add.at(out, (of[tokens[:-1]], of[tokens[1:]]), 1)
+        return out
+
+    # Where a word never stands next to itself, its counts do not change with its own class.
+    tokens = tokens[np.append(True, tokens[1:] != tokens[:-1])]
+    left, right = np.zeros((40, wide)), np.zeros((40, wide))
+    np.add.at(left, (tokens[1:], classes[tokens[:-1]]), 1)
+    np.add.at(right, (tokens[:-1], classes[tokens[1:]]), 1)
+    found = brown_lm.best_classes(left, right, classes, bigrams(classes))
+    for s in range(40):
+        values = [brown_lm.class_information(bigrams(np.where(np.arange(40) == s, c, classes))) for c in range(7)]  # 6 and above are empty
+        assert values[min(found[s], 6)] == pytest.approx(max(values), abs=1e-12)
+
+
 # Pipeline
 
 
