@@ -5,12 +5,17 @@ the next (Brown et al., Class-based n-gram models of natural language, 1992; Mar
 for bigram and trigram word clustering, 1998). The probability of a word is that of its class after
 the last class, times that of the word in its class.
 
-Every word belongs to a symbol: the most frequent words to one of their own, all others to one per
-ending. Symbols are exchanged between classes in rounds of two halves: before each half it is counted
-anew, over all training text, which classes stand left and right of each symbol, and the symbols of
-that half move to the class that gains most, with all other symbols held where they are. Rounds go on
-until one raises the likelihood of the class bigrams by less than ``TOLERANCE``. The symbols and classes are of fixed number; the counts
-behind them, and the counts of words, cover all training documents.
+Every word of the training text takes part as itself, however rare. Words begin in an even
+spread over the classes and are exchanged in rounds of two halves: before each half it is counted anew, over all training
+text, which classes stand left and right of each word, and the words of that half move to the class that
+gains most, with all other words held where they are. Moves that lower the likelihood together are
+undone and tried with fewer words at once. Rounds go on until one raises the likelihood of
+the class bigrams by less than ``TOLERANCE``. A word that training text does not have takes the class
+that most training words of its ending have.
+
+The counts of a word's neighbours meet in one task by word, one row per word and block; the task chooses
+with nothing but the bigrams of classes at hand, and sends the moves back to the blocks that have the
+word. Only these bigrams, of fixed size, and the classes of endings reach the driver.
 
 Text is read into blocks of documents with the block's own vocabulary. Word counts are summed by word
 and return to each block as numbers in the order of its vocabulary, so that scoring needs no table of
@@ -25,20 +30,24 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import TaskContext
+from pyspark import StorageLevel, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.spans import LOWER, SPACED, U, mix, slices, span_hashes, word_spans
 from seriesmill.sources.tables import materialise
 
-FREQUENT, ENDINGS, CLASSES = 4096, 4096, 64
-SYMBOLS = FREQUENT + ENDINGS + 2
-#: The end of a text and what stands before its first word, each a symbol and a class of its own.
-END, START = SYMBOLS - 2, SYMBOLS - 1
+ENDINGS, CLASSES = 4096, 64
+#: The end of a text and what stands before its first word, each a class of its own.
 END_CLASS, START_CLASS = CLASSES, CLASSES + 1
+WIDE = CLASSES + 2
+#: Neighbours of a word in a block: class before, or WIDE and the class behind, and how often.
+CELL = np.dtype([("cell", "u1"), ("n", "<u4")])
+MOVE = np.dtype([("place", "<u4"), ("class", "u1")])
 #: A round that raises the mean log-likelihood of a token (natural logarithm) by less than this is the last.
 TOLERANCE = 0.002
+#: Words of a half that move at once: all, or a quarter as many after moves that lower the likelihood together, down to this share.
+LEAST_SHARE = 1 / 16
 ADD = 0.1
 BLOCK_BYTES = 8 << 20
 END_HASH = np.int64(0x454E44)
@@ -124,15 +133,6 @@ def _values(column: pa.Array, k: int) -> np.ndarray:
     return np.asarray(column[k].values)
 
 
-def _symbols(vocabulary: np.ndarray, endings: np.ndarray, frequent: np.ndarray) -> np.ndarray:
-    """The symbol of each word of a block; ``frequent`` are sorted hashes."""
-    where = np.minimum(np.searchsorted(frequent, vocabulary), max(0, len(frequent) - 1))
-    known = frequent[where] == vocabulary if len(frequent) else np.zeros(len(vocabulary), bool)
-    out = np.where(known, where, FREQUENT + endings.astype(np.int64))
-    out[-1] = END
-    return out
-
-
 def _sequence(words: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Places in the vocabulary of all tokens, the end after each document, and which are first."""
     stops = np.cumsum(lengths)
@@ -142,54 +142,165 @@ def _sequence(words: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndar
     return tokens, first
 
 
-def _tokens(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Tokens, which are first, document of each token."""
-    lengths = _values(batch.column("lengths"), k)
-    words = _unpacked(batch.column("words")[k].as_py())
-    tokens, first = _sequence(words, lengths, len(batch.column("endings")[k]) - 1)
-    return tokens, first, np.repeat(np.arange(len(lengths)), lengths + 1)
+def _classes(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("classes")[k].as_py()), np.uint8).astype(np.int64)
 
 
-def _contexts(blocks: DataFrame, frequent, classes: np.ndarray) -> np.ndarray:
-    """Counts over training text by side (0: class before, 1: class behind), symbol and class: an array of fixed size.
+def _binaries(values: np.ndarray, first: np.ndarray) -> pa.Array:
+    """A row of bytes for each run of values that begins at ``first``."""
+    at = (np.append(first, len(values)) * values.dtype.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(values.tobytes())])
+
+
+def _stored(block: int, classes: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(classes.astype(np.uint8).tobytes())], pa.binary())], ["block", "classes"])
+
+
+def start_class(words: np.ndarray) -> np.ndarray:
+    """An even spread over all classes."""
+    return (mix(words.astype(U) + U(3)) % U(CLASSES)).astype(np.int64)
+
+
+def _first_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k, block in enumerate(batch.column("block").to_pylist()):
+            classes = start_class(_values(batch.column("vocabulary"), k))
+            classes[-1] = END_CLASS
+            yield _stored(block, classes)
 
-    Each task sums its blocks; the sums travel as one row of classes per side and symbol.
-    """
-    wide = CLASSES + 2
-    shared = blocks.sparkSession.sparkContext.broadcast(classes)
+
+def _training(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
+    """Classes by place; of the training tokens: place, place before, which are first, class, class before."""
+    classes, lengths = _classes(batch, k), _values(batch.column("lengths"), k)
+    tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, len(classes) - 1)
+    train = np.repeat(_values(batch.column("trains"), k), lengths + 1)
+    own, last = classes[tokens], np.append(0, tokens[:-1])
+    before = np.where(first, START_CLASS, classes[last])
+    return classes, *(x[train] for x in (tokens, last, first, own, before))
+
+
+def _bigrams(blocks: DataFrame) -> np.ndarray:
+    """Class bigrams of the training text; rows: class before."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(2 * SYMBOLS * wide, np.int64)
+        total = np.zeros(WIDE * WIDE, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
-                tokens, first, of = _tokens(batch, k)
-                train = _values(batch.column("trains"), k)[of]
-                symbol = _symbols(_values(batch.column("vocabulary"), k), _values(batch.column("endings"), k), frequent.value)[tokens]
-                before = np.append(START, symbol[:-1])
-                before[first] = START
-                symbol, before = symbol[train], before[train]
-                total += np.bincount(symbol * wide + shared.value[before], minlength=len(total))
-                total += np.bincount(SYMBOLS * wide + before * wide + shared.value[symbol], minlength=len(total))
-        yield from rows(total.reshape(-1, wide), np.arange(2 * SYMBOLS))
-
-    def rows(table: np.ndarray, names: np.ndarray) -> Iterator[pa.RecordBatch]:
-        used = table.any(axis=1)
-        yield pa.RecordBatch.from_arrays([pa.array(names[used].astype(np.int32)), pa.array([r.tobytes() for r in table[used]], pa.binary())], ["row", "counts"])
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # At most one sum per side and symbol, however many tasks send one.
-        total = np.zeros((2 * SYMBOLS, wide), np.int64)
+                *_, own, before = _training(batch, k)
+                total += np.bincount(before * WIDE + own, minlength=WIDE * WIDE)
+        cells = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
+
+    table = blocks.select("trains", "lengths", "words", "classes").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(WIDE * WIDE)
+    out[table["cell"].to_numpy()] = table["n"].to_numpy()
+    return out.reshape(WIDE, WIDE)
+
+
+def _neighbours(blocks: DataFrame, half: int, share: float = 1, turn: int = 0) -> DataFrame:
+    """word, block, place, own (class), cells for every training word of a half and block, or another share of them each turn."""
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r, counts in zip(batch.column(0).to_numpy(), batch.column(1)):
-                total[r] += np.frombuffer(counts.as_buffer(), np.int64)
-        yield from rows(total, np.arange(2 * SYMBOLS))
+            for k, block in enumerate(batch.column("block").to_pylist()):
+                vocabulary = _values(batch.column("vocabulary"), k)
+                classes, tokens, last, first, own, before = _training(batch, k)
+                spread_words = mix(vocabulary.view(U) + U(7))
+                moves = (spread_words % U(2) == half) & ((mix(spread_words + U(turn)) >> U(44)).astype(float) < share * (1 << 20))
+                moves[-1] = False
+                left, right = moves[tokens], moves[last] & ~first
+                keys = np.append(tokens[left] * (2 * WIDE) + before[left], last[right].astype(np.int64) * (2 * WIDE) + WIDE + own[right])
+                keys, n = np.unique(keys, return_counts=True)
+                place, at = np.unique(keys // (2 * WIDE), return_index=True)
+                cells = np.zeros(len(keys), CELL)
+                cells["cell"], cells["n"] = keys % (2 * WIDE), n
+                yield pa.RecordBatch.from_arrays([pa.array(vocabulary[place]), pa.array(np.full(len(place), block)), pa.array(place.astype(np.int32)), pa.array(classes[place].astype(np.int16)), _binaries(cells, at)], ["word", "block", "place", "own", "cells"])
+
+    return blocks.select("block", "trains", "lengths", "words", "vocabulary", "classes").mapInArrow(spread, "word bigint, block bigint, place int, own smallint, cells binary")
+
+
+def _moves(neighbours: DataFrame, bigrams: np.ndarray) -> DataFrame:
+    """block, moves of the words that change their class; all rows of a word meet in one task."""
+    spark = neighbours.sparkSession
+    shared = spark.sparkContext.broadcast(bigrams)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
+        if table is None or not table.num_rows:
+            return
+        word, block, place, own = (table[c].to_numpy() for c in ("word", "block", "place", "own"))
+        lengths = np.concatenate([np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]) for c in table["cells"].chunks]) // CELL.itemsize
+        cells = np.concatenate([np.frombuffer(b"".join(c.to_pylist()), CELL) for c in table["cells"].chunks])
+        words, one, which = np.unique(word, return_index=True, return_inverse=True)
+        of = np.repeat(which, lengths)
+        order = np.argsort(of, kind="stable")
+        of, cells = of[order], cells[order]
+        new = np.zeros(len(words), np.int64)
+        # A class of its own would suit every word, so that all words at once would leave for an empty one.
+        empty = ~shared.value[:CLASSES].any(axis=1)
+        for k in range(0, len(words), 1024):
+            a, b = np.searchsorted(of, [k, k + 1024])
+            size = min(1024, len(words) - k)
+            counts = np.bincount((of[a:b] - k) * (2 * WIDE) + cells["cell"][a:b], cells["n"][a:b], size * 2 * WIDE).reshape(size, 2, WIDE)
+            new[k : k + size] = best_classes(counts[:, 0], counts[:, 1], own[one[k : k + size]].astype(np.int64), shared.value, empty)
+        changed = np.flatnonzero(new[which] != own)
+        changed = changed[np.argsort(block[changed], kind="stable")]
+        to, at = np.unique(block[changed], return_index=True)
+        moves = np.zeros(len(changed), MOVE)
+        moves["place"], moves["class"] = place[changed], new[which[changed]]
+        yield pa.RecordBatch.from_arrays([pa.array(to), _binaries(moves, at)], ["block", "moves"])
+
+    return neighbours.repartition(_partitions(spark), "word").mapInArrow(choose, "block bigint, moves binary")
+
+
+def _partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
+    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block in enumerate(batch.column("block").to_pylist()):
+                classes = _classes(batch, k)
+                for data in batch.column("moves")[k].as_py() or ():
+                    moves = np.frombuffer(data, MOVE)
+                    classes[moves["place"]] = moves["class"]
+                yield _stored(block, classes)
+
+    # At most one row for each block and task; block numbers are unique, so that no key is large.
+    gathered = moves.groupBy("block").agg(F.collect_list("moves").alias("moves"))
+    return materialise(state.join(gathered, "block", "left").mapInArrow(apply, "block bigint, classes binary"), "word-classes")
 
-    parts = blocks.select("trains", "lengths", "words", "vocabulary", "endings").mapInArrow(count, "row int, counts binary")
-    table = parts.repartition("row").mapInArrow(add, "row int, counts binary").toArrow()
-    out = np.zeros((2 * SYMBOLS, wide), np.int64)
-    for r, counts in zip(table["row"].to_numpy(), table["counts"]):
-        out[r] = np.frombuffer(counts.as_buffer(), np.int64)
-    return out.reshape(2, SYMBOLS, wide)
+
+def exchange(blocks: DataFrame) -> tuple[DataFrame, np.ndarray]:
+    """block and classes by place, and the class bigrams, of the greatest likelihood that was reached.
+
+    The blocks are dealt by number once and stay so on local disks; what is lost is dealt again.
+    """
+    spark = blocks.sparkSession
+    state = materialise(blocks.select("block", "vocabulary").mapInArrow(_first_classes, "block bigint, classes binary"), "word-classes")
+    dealt = blocks.select("block", "trains", "lengths", "words", "vocabulary").repartition(_partitions(spark), "block").persist(StorageLevel.DISK_ONLY)
+    at = dealt.join(state, "block")
+    bigrams = _bigrams(at)
+    most = before = class_information(bigrams)
+    half, share, turn = 0, 1.0, 0
+    while True:
+        turn += 1
+        moved = _moved(state, _moves(_neighbours(at, half, share, turn), bigrams))
+        there = dealt.join(moved, "block")
+        found = _bigrams(there)
+        if (now := class_information(found)) > most:
+            state, at, bigrams, most = moved, there, found, now
+        elif share > LEAST_SHARE:
+            # Together the moves did harm: none of them is made, and fewer words move at once.
+            share /= 4
+            continue
+        if half:
+            if most - before < TOLERANCE:
+                dealt.unpersist()
+                return state, bigrams
+            before = most
+        half, share = 1 - half, 1.0
 
 
 def _entropy(n: np.ndarray) -> np.ndarray:
@@ -203,25 +314,25 @@ def class_information(bigrams: np.ndarray) -> float:
     return float((gain + _entropy(total)) / max(total, 1))
 
 
-def best_classes(left: np.ndarray, right: np.ndarray, classes: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+def best_classes(left: np.ndarray, right: np.ndarray, classes: np.ndarray, bigrams: np.ndarray, barred: np.ndarray | None = None) -> np.ndarray:
     """The class of each row (counts of classes before and behind it) where the bigram likelihood gains most, all others fixed.
 
     The likelihood is the sum of n log n over class bigrams, less that over classes on either side.
     ``bigrams`` (rows: class before) are those of ``classes``; a row without counts stays. What stands
-    next to a symbol is taken as not moving, the symbol itself included.
+    next to a word is taken as not moving, the word itself included. None moves to a ``barred`` class.
     """
-    parts = [_best(left[k : k + 1024].astype(float), right[k : k + 1024].astype(float), classes[k : k + 1024], bigrams.astype(float)) for k in range(0, len(classes), 1024)]
+    parts = [_best(left[k : k + 1024].astype(float), right[k : k + 1024].astype(float), classes[k : k + 1024], bigrams.astype(float), barred) for k in range(0, len(classes), 1024)]
     return np.concatenate([classes[:0], *parts])
 
 
-def _best(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray) -> np.ndarray:
+def _best(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray, barred: np.ndarray | None) -> np.ndarray:
     rows, every = np.arange(len(own)), np.arange(CLASSES)
 
     def side(counts: np.ndarray, other: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """Gain by row and class in the cells (class beside, own class), without those of a class beside itself."""
         row, beside = np.nonzero(counts)
         n = counts[row, beside][:, None]
-        # The symbol taken out of its class, then added to each.
+        # The word taken out of its class, then added to each.
         base = cells[beside, :CLASSES]
         same = beside == own[row]
         base[same] -= other[row[same], :CLASSES]
@@ -243,6 +354,8 @@ def _best(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndar
         margin = np.tile(bigrams.sum(axis=axis)[:CLASSES], (len(own), 1))
         margin[rows, own] -= size[:, 0]
         gain -= _entropy(margin + size) - _entropy(margin)
+    if barred is not None:
+        gain[:, barred] = -np.inf
     return np.where((left + right).any(axis=1), gain.argmax(axis=1), own)
 
 
@@ -255,98 +368,79 @@ def score_texts(docs: DataFrame) -> DataFrame:
     one place for unknown words in each class. Repeated rows count and are scored each. Columns other
     than doc_id and text are not read.
     """
-    spark = docs.sparkSession
     ready = docs.select("doc_id", (~held_out_document(F.col("doc_id"))).alias("trains"), "text")
     blocks = materialise(_blocks(ready), "blocks")
-    counted = blocks.select(F.explode(F.arrays_zip("vocabulary", "counts", "endings")).alias("w")).where("w.counts > 0")
-    counted = counted.select(F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("n"), F.col("w.endings").cast("int").alias("ending"))
-    totals = materialise(counted.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending")), "word-counts")
-    whole = totals.agg(F.sum("n").alias("n"), F.count("*").alias("v")).first()
-    train_tokens, types = whole["n"] or 0, whole["v"]
-    top = totals.where(F.col("word") != int(END_HASH)).orderBy(F.desc("n"), "word").limit(FREQUENT).select("word").toArrow()["word"].to_numpy()
-    frequent = spark.sparkContext.broadcast(np.sort(top))
-
-    # Exchange: start from an even spread, then rounds over all training text.
-    classes = (mix(np.arange(SYMBOLS, dtype=U)) % U(CLASSES)).astype(np.int64)
-    classes[END], classes[START] = END_CLASS, START_CLASS
-    half = mix(np.arange(SYMBOLS, dtype=U) + U(7)) % U(2)
-    best, most, before, turn = None, -np.inf, -np.inf, 0
-    while True:
-        contexts = _contexts(blocks, frequent, classes)
-        bigrams = np.zeros((CLASSES + 2, CLASSES + 2))  # rows: class before
-        np.add.at(bigrams.T, classes, contexts[0])
-        if (now := class_information(bigrams)) > most:
-            best, most = (classes, bigrams), now
-        if turn % 2 == 0:
-            if now - before < TOLERANCE:
-                break
-            before = now
-        movable = half == turn % 2
-        movable[[END, START]] = False
-        classes = classes.copy()
-        classes[movable] = best_classes(*contexts[:, movable], classes[movable], bigrams)
-        turn += 1
-    return _score(blocks, totals, frequent, *best, train_tokens, types)
+    return _score(blocks, *exchange(blocks))
 
 
-def _score(blocks: DataFrame, totals: DataFrame, frequent, classes: np.ndarray, bigrams: np.ndarray, train_tokens: int, types: int) -> DataFrame:
-    spark = blocks.sparkSession
-    # For each class the training tokens and distinct words.
-    shared = spark.sparkContext.broadcast(classes)
+def _word_counts(blocks: DataFrame, state: DataFrame) -> DataFrame:
+    """word, n, ending, class of every training word, the end of a text included."""
 
-    def by_class(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, distinct = np.zeros(CLASSES + 2, np.int64), np.zeros(CLASSES + 2, np.int64)
+    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            word, ending, n = (np.asarray(batch.column(k)) for k in range(3))
-            own = shared.value[_symbols(np.append(word, END_HASH), np.append(ending, 0), frequent.value)[:-1]]
-            own = np.where(word == END_HASH, END_CLASS, own)
-            tokens += np.bincount(own, n, CLASSES + 2).astype(np.int64)
-            distinct += np.bincount(own, minlength=CLASSES + 2)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES + 2)), pa.array(tokens), pa.array(distinct)], ["class", "tokens", "types"])
-
-    sums = totals.select("word", "ending", "n").mapInArrow(by_class, "class bigint, tokens bigint, types bigint").groupBy("class").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).toArrow()
-    emitted, kinds = np.zeros(CLASSES + 2), np.zeros(CLASSES + 2)
+            for k in range(batch.num_rows):
+                word, n, ending = (_values(batch.column(c), k) for c in ("vocabulary", "counts", "endings"))
+                used = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(x[used]) for x in (word, n, ending, _classes(batch, k).astype(np.int16))], ["word", "n", "ending", "class"])
+
+    rows = blocks.select("block", "vocabulary", "counts", "endings").join(state, "block").mapInArrow(unfold, "word bigint, n bigint, ending smallint, class smallint")
+    return materialise(rows.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"), F.max("class").alias("class")), "word-counts")
+
+
+def _ending_classes(totals: DataFrame) -> np.ndarray:
+    """For each ending, the class of most training words that have it, or else any one."""
+    table = totals.where(F.col("class") < CLASSES).groupBy("ending", "class").agg(F.count("*").alias("n")).toArrow()
+    votes = np.zeros((ENDINGS, CLASSES), np.int64)
+    votes[table["ending"].to_numpy(), table["class"].to_numpy()] = table["n"].to_numpy()
+    return np.where(votes.any(axis=1), votes.argmax(axis=1), start_class(np.arange(ENDINGS)))
+
+
+def _score(blocks: DataFrame, state: DataFrame, bigrams: np.ndarray) -> DataFrame:
+    spark = blocks.sparkSession
+    totals = _word_counts(blocks, state)
+    # For each class the training tokens and distinct words.
+    sums = totals.groupBy("class").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).toArrow()
+    emitted, kinds = np.zeros(WIDE), np.zeros(WIDE)
     emitted[sums["class"].to_numpy()], kinds[sums["class"].to_numpy()] = sums["tokens"].to_numpy(), sums["types"].to_numpy()
+    train_tokens, types = int(emitted.sum()), int(kinds.sum())
     # P(class | before): counts and, with the weight of the number of classes seen there, the class's own share.
     share = (emitted + ADD) / (emitted + ADD)[: CLASSES + 1].sum()
     share[START_CLASS] = 0
     seen = (bigrams > 0).sum(axis=1, keepdims=True) + 1.0
     moves = np.log10(np.maximum((bigrams + seen * share) / (bigrams.sum(axis=1, keepdims=True) + seen), 1e-300))
-    tables = spark.sparkContext.broadcast((moves, np.log10(emitted + ADD * (kinds + 1))))
+    tables = spark.sparkContext.broadcast((moves, np.log10(emitted + ADD * (kinds + 1)), _ending_classes(totals)))
     base_below = np.log10(train_tokens + ADD * (types + 1))
 
-    # A block hears of a word where other blocks have it, too, or where it is frequent and has a symbol.
-    symbols = spark.createDataFrame(pa.table({"word": frequent.value, "symbol": np.arange(len(frequent.value))}), "word bigint, symbol bigint")
-    whole = totals.select("word", "n").join(F.broadcast(symbols), "word", "left")  # at most FREQUENT rows
+    # A block hears of a word where training text of other blocks has it, too.
     words = blocks.select("block", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("place", "w")).select("block", "place", F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("own"))
-    found = words.join(whole, "word").where("n <> own OR symbol IS NOT NULL")
-    returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n", "symbol")).alias("known"))
+    found = words.join(totals.select("word", "n", "class"), "word").where("n <> own")
+    returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n", "class")).alias("known"))
     # Block numbers are unique, so that no key is large.
-    joined = blocks.drop("vocabulary").join(returned, "block", "left")
+    joined = blocks.drop("vocabulary").join(state, "block").join(returned, "block", "left")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        moves, below = tables.value
+        moves, below, by_ending = tables.value
         for batch in batches:
             for k in range(batch.num_rows):
                 n = _values(batch.column("counts"), k).astype(float)
-                symbol = FREQUENT + _values(batch.column("endings"), k).astype(np.int64)
+                own = np.where(n > 0, _classes(batch, k), by_ending[_values(batch.column("endings"), k)])
                 known = batch.column("known")[k].values
                 if known is not None:
                     place = np.asarray(known.field("place"))
                     n[place] = np.asarray(known.field("n"))
-                    own = known.field("symbol").fill_null(-1).to_numpy()
-                    symbol[place[own >= 0]] = own[own >= 0]
-                symbol[-1] = END
-                own = shared.value[symbol]
+                    own[place] = np.asarray(known.field("class"))
+                own[-1] = END_CLASS
                 above = np.log10(n + ADD)
                 base, emission = above - base_below, above - below[own]
-                tokens, first, of = _tokens(batch, k)
+                lengths = _values(batch.column("lengths"), k)
+                tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, len(n) - 1)
+                of = np.repeat(np.arange(len(lengths)), lengths + 1)
                 now = own[tokens]
                 before = np.append(START_CLASS, now[:-1])
                 before[first] = START_CLASS
-                rows = len(batch.column("lengths")[k])
+                rows = len(lengths)
                 add = partial(np.bincount, of, minlength=rows)
                 columns = [add(), add(weights=n[tokens] > 0).astype(np.int64), np.full(rows, train_tokens), add(weights=base[tokens]), add(weights=emission[tokens] + moves[before, now])]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_ids")[k].values, pa.array(~_values(batch.column("trains"), k)), *map(pa.array, columns)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])

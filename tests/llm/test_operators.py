@@ -518,6 +518,57 @@ def test_best_class_is_the_one_of_the_greatest_likelihood(seed):
         assert values[min(found[s], 6)] == pytest.approx(max(values), abs=1e-12)
 
 
+def test_rare_words_are_clustered_as_words(spark):
+    # 12,000 words of one ending, each seen a few times: only as words of their own can they be told apart.
+    r = random.Random(2)
+    kinds = [[f"{letter}{k}xyz" for k in range(6_000)] for letter in "ab"]
+    texts = [(k, " ".join(r.choice(kinds[(k + j) % 2]) for j in range(60))) for k in range(1_500)]
+    blocks = brown_lm._blocks(spark.createDataFrame(texts, "doc_id BIGINT, text STRING").selectExpr("doc_id", "true AS trains", "text"))
+    _, bigrams = brown_lm.exchange(brown_lm.materialise(blocks, "blocks"))
+    assert bigrams.sum() == 1_500 * 61
+    assert brown_lm.class_information(bigrams) > 0.6  # log(2) = 0.69
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_scores_equal_those_of_plain_python(spark, seed):
+    """Bigram counts, classes of words and of unseen endings as found, then the model from its definition."""
+    texts = dict(in_turn(120, groups=3, words=15, length=20, seed=seed)) | {1_000 + k: f"unseen{k} xyz" for k in range(30)}
+    frame = spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING").repartition(3)
+    blocks = brown_lm.materialise(brown_lm._blocks(frame.select("doc_id", (~brown_lm.held_out_document(frame["doc_id"])).alias("trains"), "text")), "blocks")
+    state, bigrams = brown_lm.exchange(blocks)
+    totals = brown_lm._word_counts(blocks, state)
+    by_ending = brown_lm._ending_classes(totals)
+    # Each word in a text of its own, so that its hash and ending are known.
+    words = sorted({w for t in texts.values() for w in t.split()})
+    alone = brown_lm._blocks(spark.createDataFrame([(k, True, w) for k, w in enumerate(words)], "doc_id BIGINT, trains BOOLEAN, text STRING"))
+    hashes = {}
+    for b in alone.collect():
+        place = brown_lm._unpacked(bytes(b["words"]))
+        hashes |= {words[k]: (b["vocabulary"][p], b["endings"][p]) for k, p in zip(b["doc_ids"], place)}
+    held = {k: zlib.crc32(str(k).encode()) % 10 == 0 for k in texts}
+    count = collections.Counter(w for k, t in texts.items() if not held[k] for w in [*t.split(), None])
+    found = {r["word"]: r for r in totals.collect()}
+    assert {w: found[hashes[w][0]]["n"] for w in words if count[w]} == {w: count[w] for w in words if count[w]}
+    own = {w: found[hashes[w][0]]["class"] if count[w] else by_ending[hashes[w][1]] for w in words} | {None: brown_lm.END_CLASS}
+    pairs = collections.Counter(p for k, t in texts.items() if not held[k] for p in zip([brown_lm.START_CLASS, *(own[w] for w in t.split())], [own[w] for w in [*t.split(), None]]))
+    assert {(a, b): int(bigrams[a, b]) for a, b in zip(*np.nonzero(bigrams))} == pairs
+    emitted, kinds = collections.Counter(), collections.Counter()
+    for w, n in count.items():
+        emitted[own[w]] += n
+        kinds[own[w]] += 1
+    everything = sum(emitted[c] + 0.1 for c in range(brown_lm.CLASSES + 1))
+
+    def move(a, b):
+        seen = sum(x == a for x, _ in pairs) + 1
+        return (pairs[a, b] + seen * (emitted[b] + 0.1) / everything) / (sum(n for (x, _), n in pairs.items() if x == a) + seen)
+
+    for row in brown_lm._score(blocks, state, bigrams).collect():
+        listed = [*texts[row["doc_id"]].split(), None]
+        before = [brown_lm.START_CLASS, *(own[w] for w in listed)]
+        score = sum(np.log10(move(a, own[w]) * (count[w] + 0.1) / (emitted[own[w]] + 0.1 * (kinds[own[w]] + 1))) for a, w in zip(before, listed))
+        assert row["score"] == pytest.approx(score)
+
+
 # Pipeline
 
 
