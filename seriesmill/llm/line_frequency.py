@@ -1,7 +1,7 @@
 """Quality rules: counts within a text, and lines that too many documents of one host share.
 
 Lines are normalised and hashed, and the distinct documents of each host that hold a line are counted.
-Lines above the host's limit are removed, and a document that has too little left is rejected. All of
+Lines above the limit are removed, and a document that has too little left is rejected. All of
 it is DataFrame work: words and windows are arrays of the row, and only line hashes are shuffled.
 """
 
@@ -16,8 +16,8 @@ _SPACES = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
 _SPLIT = r"[\x20\x09-\x0D]+"
 WINDOW = 8
-#: A line goes where more than this many documents, and more than this share of the host's, have it.
-MIN_DOCS, MAX_SHARE = 5, 0.02
+#: A line goes where more than this many documents of the host have it, however large the host is.
+MIN_DOCS = 5
 #: A document is rejected if it loses lines and keeps fewer words, or a smaller share of them.
 MIN_WORDS, MIN_SHARE = 20, 0.3
 
@@ -95,11 +95,11 @@ def text_counts(docs: DataFrame) -> DataFrame:
     return counted.withColumn("base_failed", F.expr("n_words < 20 OR 100 * n_repeat_words > 30 * n_words"))
 
 
-def line_frequency_verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE) -> DataFrame:
+def line_frequency_verdicts(docs: DataFrame, host: str = "source", min_docs: int = MIN_DOCS, max_share: float = 0.0) -> DataFrame:
     """doc_id, the counts of ``text_counts``, n_lines_removed, n_words_left and kept for every row.
 
-    A line is removed where more than ``min_docs`` and more than ``max_share`` of the distinct
-    documents of its host hold it. A document is kept unless it fails the base rules, or loses lines
+    A line is removed where more than ``min_docs`` of the distinct documents of its host hold it, and
+    more than ``max_share`` of them if that is given: such a limit grows with the host. A document is kept unless it fails the base rules, or loses lines
     and is left with fewer than ``MIN_WORDS`` words or less than ``MIN_SHARE`` of them. A null text
     has no words; a null host is a host of its own; rows with a null doc_id count as one document.
     Repeated rows are returned each and count once.
@@ -112,8 +112,10 @@ def line_frequency_verdicts(docs: DataFrame, host: str = "source", min_docs: int
     known = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     held = rows.select("host_", known.alias("doc_"), F.explode(F.array_distinct("lines_.hash")).alias("hash"))
     n_docs = held.distinct().groupBy("host_", "hash").agg(F.count("*").alias("n"))
-    sizes = rows.select("host_", known.alias("doc_")).distinct().groupBy("host_").agg(F.count("*").alias("host_docs")).withColumnRenamed("host_", "of_host_")
-    frequent = n_docs.where(F.col("n") > min_docs).join(sizes, F.col("host_").eqNullSafe(F.col("of_host_"))).where(F.col("n") > F.col("host_docs") * max_share)
+    frequent = n_docs.where(F.col("n") > min_docs)
+    if max_share > 0:
+        sizes = rows.select("host_", known.alias("doc_")).distinct().groupBy("host_").agg(F.count("*").alias("host_docs")).withColumnRenamed("host_", "of_host_")
+        frequent = frequent.join(sizes, F.col("host_").eqNullSafe(F.col("of_host_"))).where(F.col("n") > F.col("host_docs") * max_share)
     frequent = frequent.select(F.col("host_").alias("of_host_"), F.col("hash").alias("of_hash_"))
     occurrences = rows.select("row_", "host_", F.explode("lines_").alias("line")).select("row_", "host_", "line.hash", "line.words")
     removed = occurrences.join(frequent, F.col("host_").eqNullSafe(F.col("of_host_")) & (F.col("hash") == F.col("of_hash_")), "left_semi")

@@ -178,6 +178,16 @@ def test_lines_that_many_documents_share_are_removed(spark):
 ALNUM = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 
+def test_removal_does_not_depend_on_the_size_of_the_host(spark):
+    def kept(others):
+        shared = "the same words on every page"
+        listed = [(k, f"{shared}\n{prose(40, 300 + k)}") for k in range(6)] + [(10, "x\ny")] * 2 + [(100 + k, prose(25, 400 + k)) for k in range(others)]
+        frame = spark.createDataFrame([(k, t, "host") for k, t in listed], "doc_id BIGINT, text STRING, source STRING")
+        return {r["doc_id"]: r["n_lines_removed"] for r in line_frequency.line_frequency_verdicts(frame).collect() if r["doc_id"] < 10}
+
+    assert kept(0) == kept(400) == dict.fromkeys(range(6), 1)
+
+
 def contaminated(items):
     windows = collections.defaultdict(set)
     for key, text in items:
