@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document that loses lines and keeps no visible character is left out: every line of it stands
     in another document.
     """
-    cleaned = dedup_lines(docs)
+    cleaned = dedup_lines(docs, short_lines=True)
     left = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)

@@ -26,8 +26,8 @@ from seriesmill.sources.tables import materialise
 SHINGLE, PERCENT = 7, 80
 #: 10 bands of 4 minima find a pair of similarity 0.8 with probability 0.995, one of 0.85 with 0.9994.
 BANDS, ROWS = 10, 4
-#: Shorter lines say too little to be told from ordinary text, and stay.
-MIN_CHARS = 16
+#: Shorter lines have no shingle; they can only be equal.
+MIN_CHARS = SHINGLE
 #: Words of 64 bits in a filter; false positives cost time only.
 FILTER_WORDS = 1 << 20
 
@@ -75,6 +75,14 @@ class Lines:
         self.first, self.length = kept[starts], kept[ends] - kept[starts]
         self.hash = span_hashes(self.chars, self.first, self.first + self.length).view(np.int64)
         self.long = np.flatnonzero(self.length >= MIN_CHARS)
+        self.short = np.flatnonzero((self.length > 0) & (self.length < MIN_CHARS))
+
+    def once(self, among: np.ndarray) -> np.ndarray:
+        """The given lines by row and hash, of equal ones in a row one."""
+        order = among[np.lexsort((self.hash[among], self.row[among]))]
+        row, ids = self.row[order], self.hash[order]
+        again = (row[1:] == row[:-1]) & (ids[1:] == ids[:-1])
+        return order[np.append(True, ~again)[: len(order)]]
 
     def shingles(self, only: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """32-bit hashes of the shingles of the given lines one after another, and where each line starts."""
@@ -113,23 +121,20 @@ def _listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
 
 
 def _signed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, ids (hashes of its distinct lines), keys (BANDS for each of them) per row."""
+    """doc_id, ids (hashes of its distinct lines), keys (BANDS for each of them), short (hashes of lines without shingles) per row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, rows, lines in _lines(batch.column(1)):
-                order = lines.long[np.lexsort((lines.hash[lines.long], lines.row[lines.long]))]
+                order, short = lines.once(lines.long), lines.once(lines.short)
                 row, ids = lines.row[order], lines.hash[order]
-                again = (row[1:] == row[:-1]) & (ids[1:] == ids[:-1])
-                once = np.append(True, ~again)[: len(order)]
-                row, ids = row[once], ids[once]
                 distinct, one, which = np.unique(ids, return_index=True, return_inverse=True)
-                keys = _band_keys(lines.signatures(order[once][one]))[which] if len(distinct) else np.zeros((0, BANDS), np.int64)
+                keys = _band_keys(lines.signatures(order[one]))[which] if len(distinct) else np.zeros((0, BANDS), np.int64)
                 counts = np.bincount(row, minlength=rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), _listed(ids, counts), _listed(keys.ravel(), counts * BANDS)], ["doc_id", "ids", "keys"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), _listed(ids, counts), _listed(keys.ravel(), counts * BANDS), _listed(lines.hash[short], np.bincount(lines.row[short], minlength=rows))], ["doc_id", "ids", "keys", "short"])
 
-    return materialise(docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, ids array<bigint>, keys array<bigint>"), "signed-lines")
+    return materialise(docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, ids array<bigint>, keys array<bigint>, short array<bigint>"), "signed-lines")
 
 
 def _entries(signed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
@@ -213,17 +218,19 @@ def line_components(docs: DataFrame, signed: DataFrame | None = None) -> DataFra
     return link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, short_lines: bool = False) -> DataFrame:
     """``docs`` with duplicate lines taken out of ``text``, and the columns n_lines, n_removed.
 
-    Lines of fewer than ``MIN_CHARS`` characters stay. A null text stays null and has no line; an
+    Lines of fewer than ``MIN_CHARS`` bytes stay, or with ``short_lines`` go where their normalised text
+    is equal; a line without any visible character always stays. A null text stays null and has no line; an
     empty one has one empty line. Rows of one doc_id are one document, whose repeated rows come out
     alike; null is a doc_id that comes after all others. Other columns pass through; existing columns
     named n_lines or n_removed are replaced.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])
     signed = _signed_lines(docs)
-    seen = signed.select("doc_id", F.explode("ids").alias("id"))
+    seen = signed.select("doc_id", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))
+    least = 1 if short_lines else MIN_CHARS
     owner_of = F.coalesce("doc_id", F.lit((1 << 63) - 1))
     labelled = materialise(
         seen.join(line_components(docs, signed), "id", "left").select("doc_id", "id", F.coalesce("component", "id").alias("label"), owner_of.alias("holder")), "labelled"
@@ -248,7 +255,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
                     label = {x["id"]: (x["label"], x["own"]) for x in known[r] or ()}
                     done = set()
                     for k in range(first_line[r], first_line[r + 1]):
-                        if lines.length[k] >= MIN_CHARS:
+                        if lines.length[k] >= least:
                             name, own = label.get(h := int(lines.hash[k]), (h, True))
                             drop[k] = not own or name in done
                             done.add(name)

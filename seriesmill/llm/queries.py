@@ -52,7 +52,7 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_fuzzy_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dedup_lines(_documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
+    return dedup_lines(_documents(spark, sf_dir), short_lines=True).select("doc_id", "n_lines", "n_removed", "text")
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -421,6 +421,14 @@ def test_fuzzy_lines(spark, docs, none):
     assert fuzzy_lines.dedup_lines(none).collect() == []
 
 
+def test_short_lines(spark):
+    texts = {1: "Home\nles.\n\n \nshop by name", 2: "home\nLES. \n\nshop  by name\nhome", 3: "ÉÉ\nnew", 4: "ÉÉ\nshop by game"}
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in fuzzy_lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING").repartition(3), short_lines=True).collect()}
+    assert got == {1: (texts[1], 0), 2: ("", 4), 3: (texts[3], 0), 4: ("shop by game", 1)}
+    plain = {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")).collect()}
+    assert plain == {1: 0, 2: 1, 3: 0, 4: 0}
+
+
 # 9
 
 
