@@ -26,7 +26,7 @@ from seriesmill.sources.tables import materialise
 
 #: Longest context, and the shortest that the models of either kind use.
 ORDER, FIRST_ORDER = 6, 3
-#: URLs of each kind (accepted, rejected, all) that the models are fitted on, at most; a fifth calibrates.
+#: URLs of either label that its model is fitted on, at most, less a fifth that only calibrates.
 TRAINING_URLS = 10_000
 #: A longer context counts once it was seen this often.
 MIN_CONTEXT = 2
@@ -163,42 +163,76 @@ class UrlFilter:
         return self.differences(texts) > self.limit
 
 
-def _calibrated_limit(accepted: np.ndarray) -> float:
-    """The smallest limit above 0 that blocks at most ``MAX_FALSE_BLOCKS`` of unseen accepted URLs."""
-    return max(0.0, float(np.quantile(accepted, 1 - MAX_FALSE_BLOCKS, method="higher")))
+def _ranked(values: DataFrame, rank: int) -> float:
+    """The value of this rank (0: the smallest) in the one column; ranges of values are counted, not sorted."""
+    d = F.col(values.columns[0])
+    while True:
+        low, high, n = values.agg(F.min(d), F.max(d), F.count(d)).first()
+        if low == high:
+            return low
+        if n <= 10_000:
+            return float(np.sort(values.toArrow()[0].to_numpy())[rank])
+        part = F.least(F.floor((d - low) / ((high - low) / 1024)), F.lit(1023))
+        table = values.groupBy(part.alias("part")).agg(F.count("*").alias("n")).orderBy("part").toArrow()
+        sums = np.cumsum(table["n"].to_numpy())
+        at = int(np.searchsorted(sums, rank, "right"))
+        rank -= int(sums[at - 1]) if at else 0
+        values = values.where(part == table["part"][at].as_py())
+
+
+def _calibrated_limit(unseen: DataFrame) -> float:
+    """The smallest limit above 0 that blocks at most ``MAX_FALSE_BLOCKS`` of unseen accepted URLs; 0 without any."""
+    n = unseen.count()
+    return max(0.0, _ranked(unseen, int(np.ceil((1 - MAX_FALSE_BLOCKS) * (n - 1))))) if n else 0.0
 
 
 def fit_url_filter(urls: DataFrame) -> UrlFilter | None:
     """The filter for rows (text, rejected: boolean, null where unknown); None unless both labels occur.
 
-    Fitted on at most ``TRAINING_URLS`` distinct texts of each kind, those of the smallest hashes.
+    The model of all URLs is counted on all distinct texts; it has the orders below ``FIRST_ORDER``, at
+    most 2**24 keys. Those of either label are fitted on at most ``TRAINING_URLS`` distinct texts, those
+    of the smallest hashes, without a fifth. The limit comes from all accepted texts not fitted on.
     """
-    keyed = urls.where("text <> ''").select("text", "rejected").distinct().withColumn("order", F.xxhash64("text"))
-    kinds = (keyed.where("NOT rejected"), keyed.where("rejected"), keyed.select("text", "order").distinct())
-    samples = [x.orderBy("order", "text").limit(TRAINING_URLS).select("text", F.lit(k).alias("kind"), (F.pmod("order", F.lit(5)) == 0).alias("held")) for k, x in enumerate(kinds)]
-    sample = materialise(samples[0].union(samples[1]).union(samples[2]), "url-sample")
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kind_of = np.asarray(batch.column(1))
-            for first, data, at in slices(batch.column(0), 1 << 20):
-                row = np.repeat(np.arange(len(at) - 1), np.diff(at) + 1)
-                for k, keys in enumerate(_gram_keys(data, at)):
-                    for kind in np.unique(kind_of).tolist():
-                        distinct, n = np.unique(keys[kind_of[first + row] == kind], return_counts=True)
-                        same = [pa.array(np.full(len(distinct), v, np.int32)) for v in (kind, k)]
-                        yield pa.RecordBatch.from_arrays([*same, pa.array(distinct), pa.array(n)], ["kind", "order", "key", "n"])
-
-    grams = sample.where("NOT held").select("text", "kind").mapInArrow(count, "kind int, order int, key bigint, n bigint")
-    # From a bounded number of URLs; they come as columns.
-    table = grams.groupBy("kind", "order", "key").agg(F.sum("n").alias("n")).toArrow()
-    kind, order, key, n = (table[c].to_numpy() for c in ("kind", "order", "key", "n"))
+    spark = urls.sparkSession
+    keyed = materialise(urls.where("text <> ''").select("text", "rejected").distinct().withColumn("order", F.xxhash64("text")), "urls")
+    held = F.pmod("order", F.lit(5)) == 0
+    labelled = (keyed.where("NOT rejected"), keyed.where("rejected"))
+    samples = [x.orderBy("order", "text").limit(TRAINING_URLS).select("text", "order", F.lit(k).alias("kind")) for k, x in enumerate(labelled)]
+    sample = materialise(samples[0].union(samples[1]), "url-sample")
+
+    def counted(texts: DataFrame, orders: range) -> DataFrame:
+        """kind, order, key, n of (text, kind): sums of what each task counts."""
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kind_of = np.asarray(batch.column(1))
+                for first, data, at in slices(batch.column(0), 1 << 20):
+                    row = np.repeat(np.arange(len(at) - 1), np.diff(at) + 1)
+                    keys = _gram_keys(data, at)
+                    for k in orders:
+                        for kind in np.unique(kind_of).tolist():
+                            distinct, n = np.unique(keys[k][kind_of[first + row] == kind], return_counts=True)
+                            same = [pa.array(np.full(len(distinct), v, np.int32)) for v in (kind, k)]
+                            yield pa.RecordBatch.from_arrays([*same, pa.array(distinct), pa.array(n)], ["kind", "order", "key", "n"])
+
+        grams = texts.select("text", "kind").mapInArrow(count, "kind int, order int, key bigint, n bigint")
+        return grams.groupBy("kind", "order", "key").agg(F.sum("n").alias("n"))
+
+    own = counted(sample.where(~held), range(ORDER + 1)).toArrow()
+    background = counted(keyed.select("text", F.lit(2).alias("kind")).distinct(), range(FIRST_ORDER)).toArrow()
+    kind, order, key, n = (np.concatenate([t[c].to_numpy() for t in (own, background)]) for c in ("kind", "order", "key", "n"))
     if not ((kind == 0).any() and (kind == 1).any()):
         return None
     found = UrlFilter(*[CharModel.of(order[kind == k], key[kind == k], n[kind == k]) for k in range(3)])
-    held = sample.where("held AND kind = 0").select("text").toArrow()["text"]
-    if len(held):
-        found.limit = _calibrated_limit(found.differences(held))
+    shared = spark.sparkContext.broadcast(found)
+
+    def differ(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array(shared.value.differences(batch.column(0)))], ["difference"])
+
+    last = sample.where("kind = 0").agg(F.max(F.struct("order", "text"))).first()[0]
+    beyond = (F.col("order") > last["order"]) | ((F.col("order") == last["order"]) & (F.col("text") > last["text"]))
+    found.limit = _calibrated_limit(materialise(labelled[0].where(held | beyond).select("text").mapInArrow(differ, "difference double"), "differences"))
     return found
 
 

@@ -133,6 +133,17 @@ def test_url_models_tell_hosts_apart(spark):
     assert brute == pytest.approx([(3 + 2 / 256) / 6, (1 + 2 / 256) / 6, (2 / 256) / 6])
 
 
+def test_background_and_limit_cover_all_urls(spark, monkeypatch):
+    monkeypatch.setattr(url_models, "TRAINING_URLS", 50)
+    listed = [(f"good{k}.com/a", False) for k in range(300)] + [(f"bad{k}.net/b", True) for k in range(300)] + [(f"other{k}.de/c", None) for k in range(300)]
+    model = url_models.fit_url_filter(spark.createDataFrame(listed, "text STRING, rejected BOOLEAN"))
+    keys, n = model.all_urls.grams[0]
+    assert dict(zip(keys.tolist(), n.tolist())) == collections.Counter(x for u, _ in listed for x in [*u.encode(), 1])
+    values = spark.createDataFrame([(x % 30_011 / 7,) for x in range(0, 40_000 * 17, 17)], "d DOUBLE")
+    ranked = sorted(r["d"] for r in values.collect())
+    assert [url_models._ranked(values, k) for k in (0, 20_000, 39_199, 39_999)] == [ranked[k] for k in (0, 20_000, 39_199, 39_999)]
+
+
 def test_urls_without_rows_or_labels(spark):
     empty = spark.createDataFrame([], "page_id BIGINT, url STRING")
     assert url_models.judge_urls(empty).collect() == []
