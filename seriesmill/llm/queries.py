@@ -9,10 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from seriesmill.llm.bootstrap_pii import find_personal_data
 from seriesmill.llm.brown_lm import score_texts
+from seriesmill.llm.filter_audit import text_filter_audit
 from seriesmill.llm.fuzzy_lines import dedup_lines
 from seriesmill.llm.line_frequency import line_frequency_verdicts
+from seriesmill.llm.oracle import ORACLE
 from seriesmill.llm.packing import pack
+from seriesmill.llm.pivot_index import near_duplicates
 from seriesmill.llm.prefix_join import jaccard_components
+from seriesmill.llm.source_divergence import source_divergence
 from seriesmill.llm.string_kernel import toxicity
 from seriesmill.llm.suffix_arrays import contamination
 from seriesmill.llm.token_counts import token_counts
@@ -63,6 +67,18 @@ def op10_brown_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_texts(_documents(spark, sf_dir))
 
 
+def op11_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_filter_audit(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_documents(spark, sf_dir))
+
+
+def op13_near_duplicate_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_models": op1_url_models,
     "op2_line_frequency": op2_line_frequency,
@@ -74,6 +90,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fuzzy_line_dedup": op8_fuzzy_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_brown_lm": op10_brown_lm,
+    "op11_filter_interaction": op11_filter_interaction,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_near_duplicate_vectors": op13_near_duplicate_vectors,
 }
 
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]
