@@ -351,6 +351,33 @@ ORACLE: dict[str, str] = {
         SELECT training_date, store, item, ds, {bounds()} FROM fc""",
 }
 
+
+
+def zero_filled(until: str) -> str:
+    """The closed form over a full grid of days: every day of a series from its first sale to ``until`` is there, with 0."""
+    return f"""grid AS (
+        SELECT store, item, CAST(unnest(generate_series(min(date), {until}, INTERVAL 1 DAY)) AS DATE) AS ds FROM train GROUP BY store, item),
+    obs AS (
+        SELECT g.store, g.item, ds, CAST(coalesce(sales, 0) AS DOUBLE) AS y
+        FROM grid g LEFT JOIN train t ON t.store = g.store AND t.item = g.item AND t.date = g.ds),
+    {model('obs', 'store, item', 's_', ahead('last_ds', 30))} SELECT store, item, ds, {bounds()} FROM s_fc"""
+
+
+ORACLE["moment_forecast"] = ORACLE["series_forecast"]
+ORACLE["zero_filled_forecast"] = f"WITH {TRAIN}, {zero_filled('max(date)')}"
+ORACLE["zero_filled_forecast_1000"] = f"WITH {sales('train', f'date < {CUT}', 50, 20)}, {zero_filled(f'{CUT} - INTERVAL 1 DAY')}"
+#: Only days that have sales are delivered.
+ORACLE["incremental_walk_forward"] = f"WITH {DELIVERED} {WALK_ROWS}".replace(
+    f"WHERE date >= {CUT})", "WHERE date BETWEEN DATE '2001-09-30' AND DATE '2001-10-06')", 1
+)
+LATER_CORRECTED = sales().replace(
+    "SELECT * FROM (", "SELECT date, store, item, CASE WHEN item = 1 AND date BETWEEN DATE '2001-10-02' AND DATE '2001-10-03' THEN sales + 1 ELSE sales END AS sales FROM (", 1
+)
+#: Every delivered day is a training date, and each forecast knows the sales as corrected.
+ORACLE["corrected_forecast_store"] = f"WITH {DELIVERED} {WALK_ROWS}".replace(sales(), LATER_CORRECTED, 1).replace(
+    f"WHERE date >= {CUT})", f"WHERE date >= {CUT} AND date < DATE '2001-10-07')", 1
+)
+
 # Forecasts that come back from the store.
 ORACLE |= {f"stored_forecast_{name}": ORACLE[f"walk_forward_{name}"] for name in ("actuals", "metrics")}
 # The grouped-map path restates the closed form.

@@ -17,12 +17,12 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql.utils import AnalysisException
 
 from seriesmill.functions.dates import date_range
-from seriesmill.operators import evaluate, explore, quality
+from seriesmill.operators import evaluate, explore, moments, quality
 from seriesmill.operators.allocate import store_share
 from seriesmill.operators.forecast import ForecastSpec, forecast
 from seriesmill.operators.forecast import forecast_components as components
 from seriesmill.operators.grouped import grouped_forecast, closed_form_model, weekday_mean_model
-from seriesmill.plans import layers, walk_forward
+from seriesmill.plans import layers, retrain, walk_forward
 from seriesmill.plans.strategies import allocated_forecast as top_down_forecast
 from seriesmill.plans.strategies import strategy_overview
 from seriesmill.session import shared_folder
@@ -33,6 +33,7 @@ from seriesmill.sources.sales import daily_sales, line_sales, read_lines, time_s
 from seriesmill.streaming import arrivals
 
 CUT = dt.date(2001, 10, 1)
+LAST_DAY = CUT - dt.timedelta(days=1)
 CUTOFFS = date_range("2001-09-30", "2001-10-07")
 #: Ends of the deliveries of the hold-out; the last one brings all that is left.
 DELIVERIES = (dt.date(2001, 10, 2), dt.date(2001, 10, 21), None)
@@ -178,6 +179,22 @@ def actual_vs_forecast_slice(spark, folder):
     return evaluate.actual_vs_forecast(forecast(sales, spec=HISTORY_AND_90), sales)
 
 
+@query
+def moment_forecast(spark, folder):
+    return moments.moment_forecast(train(spark, folder))
+
+
+@query
+def zero_filled_forecast(spark, folder):
+    return moments.moment_forecast(train(spark, folder), zero_fill=True)
+
+
+@query
+def zero_filled_forecast_1000(spark, folder):
+    """A thousand sparse series; zeros up to the day before the cut, whenever the last sale was."""
+    return moments.moment_forecast(daily_sales(spark, folder, end=CUT, n_stores=50, n_items=20), zero_fill=True, until=LAST_DAY)
+
+
 # Top-down
 
 
@@ -528,6 +545,36 @@ def enrichment_coverage(spark, folder):
     return quality.enrichment_coverage(enriched(spark, folder), ["part", "supplier", "orders"])
 
 
+# Retraining by deliveries
+
+
+@query
+def incremental_walk_forward(spark, folder):
+    """Day by day: a version of the sales lands, and the next day is forecast from stored moments."""
+    base = shared_folder(spark, "retrain")
+    sales = tables.materialise(daily_sales(spark, folder, end="2001-10-07"), "sales")
+    arrivals.seed(sales.where(F.col("date") < F.lit(CUTOFFS[0])), f"{base}/table")
+    for version, day in enumerate(CUTOFFS, 1):
+        rows = sales.where(F.col("date") == F.lit(day)).withColumn(tables.VERSION, F.lit(version).cast("bigint"))
+        tables.save_partition(rows, f"{base}/table", tables.VERSION)
+        retrain.train_on_version(spark, f"{base}/table", version, f"{base}/forecasts")
+    return tables.read_table(spark, f"{base}/forecasts")
+
+
+@query
+def corrected_forecast_store(spark, folder):
+    """The hold-out's first days are delivered, then item 1 of some of them once more with one unit more."""
+    base = shared_folder(spark, "retrain")
+    sales = tables.materialise(daily_sales(spark, folder, end="2001-10-07"), "sales")
+    arrivals.seed(sales.where(F.col("date") < F.lit(CUT)), f"{base}/table")
+    first = sales.where(F.col("date") >= F.lit(CUT))
+    again = first.where("item = 1 AND date BETWEEN '2001-10-02' AND '2001-10-03'").withColumn("sales", F.col("sales") + 1)
+    for delivery in (first, again):
+        delivery.coalesce(1).write.mode("append").parquet(f"{base}/in")
+        arrivals.run_arrivals(spark, f"{base}/in", f"{base}/table", f"{base}/checkpoint", f"{base}/forecasts")
+    return tables.read_table(spark, f"{base}/forecasts")
+
+
 # Stream and grouped map
 
 

@@ -183,11 +183,7 @@ def fit(
         group, rows = list(keys), _with_line(obs, keys, WHOLE)
     else:
         group, rows = ["training_date", *keys], _with_lines_at(obs, keys, cutoffs)
-    head = _quoted(group)
-    groups = ", ".join(head)
-    same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {WHOLE})"
-    same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {WHOLE})"
-    rows = rows.selectExpr(*head, "ds", "y", "slope", "intercept", "lowest", f"{_trend_sql('ds')} AS trend")
+    rows = rows.selectExpr(*_quoted(group), "ds", "y", "slope", "intercept", "lowest", f"{_trend_sql('ds')} AS trend")
 
     # Given the trend, a factor is the same for all days of one month and weekday. The moments of these
     # cells, 84 at most per series, therefore hold all that the indices and the residuals need.
@@ -203,6 +199,15 @@ def fit(
         ],
         *([F.collect_list("ds").alias("history")] if spec.include_history else []),
     )
+    return model_of_cells(cells, group, spec)
+
+
+def model_of_cells(cells: DataFrame, group: Sequence[str], spec: ForecastSpec) -> DataFrame:
+    """One row per ``group`` with the fitted model, from the moments of its (month, weekday) cells."""
+    head = _quoted(group)
+    groups = ", ".join(head)
+    same_weekday = f"(PARTITION BY {groups}, weekday ORDER BY month {WHOLE})"
+    same_month = f"(PARTITION BY {groups}, month ORDER BY weekday {WHOLE})"
     # Ratios of sums, not means of ratios: days on which the line is close to zero do not rule the index.
     weekly = f"greatest(coalesce(sum(n * mean_y) OVER {same_weekday} / nullif(sum(n * mean_trend) OVER {same_weekday}, 0), 1.0D), {INDEX_FLOOR}D)"
     yearly = f"coalesce(sum(n * mean_y) OVER {same_month} / nullif(sum(n * mean_trend * w) OVER {same_month}, 0), 1.0D)"

@@ -11,6 +11,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from seriesmill.operators.quality import dedup
 from seriesmill.session import shared_folder
@@ -22,6 +23,17 @@ def _is_path(target: str) -> bool:
     return "/" in target
 
 
+def exists(spark: SparkSession, target: str) -> bool:
+    """Whether there is such a table. Any other failure to read it is an error, not a missing table."""
+    try:
+        read_table(spark, target)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
+            return False
+        raise
+    return True
+
+
 def read_table(spark: SparkSession, target: str) -> DataFrame:
     """Resolve the table anew, so that files written since the last read are seen."""
     if _is_path(target):

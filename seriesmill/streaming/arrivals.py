@@ -1,4 +1,4 @@
-"""Daily deliveries as a stream: every file is taken in once, then all series are forecast again."""
+"""Daily deliveries as a stream: every file is taken in once, then all series are forecast from the new days."""
 
 from __future__ import annotations
 
@@ -6,14 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from seriesmill.operators.forecast import KEYS, ForecastSpec
 from seriesmill.operators.quality import enforce
-from seriesmill.plans.walk_forward import NEXT_DAY, store_forecasts, walk_forward
+from seriesmill.plans.retrain import train_on_version
+from seriesmill.plans.walk_forward import NEXT_DAY
 from seriesmill.sources.contract import SALES_CONTRACT, Contract
 from seriesmill.sources.sales import SALES_DDL
-from seriesmill.sources.tables import VERSION, latest_version, newest_version, read_table, save, save_partition
+from seriesmill.sources.tables import VERSION, exists, latest_version, newest_version, read_table, save, save_partition
 
 
 def seed(sales: DataFrame, target: str) -> None:
@@ -36,14 +36,9 @@ def _first_version(spark: SparkSession, table: str, checkpoint: str) -> int:
     over the versions that an earlier stream has landed.
     """
     note = f"{checkpoint.rstrip('/')}-first-version"
-    try:
+    if exists(spark, note):
         return spark.read.parquet(note).first()[0]
-    except AnalysisException:
-        pass
-    try:
-        newest = latest_version(read_table(spark, table)).first()[0] or 0
-    except AnalysisException:
-        newest = 0
+    newest = (latest_version(read_table(spark, table)).first()[0] or 0) if exists(spark, table) else 0
     save(spark.range(1).select(F.lit(int(newest)).cast("bigint").alias(VERSION)), note)
     return int(newest)
 
@@ -64,7 +59,8 @@ def run_arrivals(
     the same number and replaces its own partition, so every row counts once. Rows that break the
     contract go to ``<table>_quarantine`` under the same version. If ``forecasts`` names a table, all
     series are then forecast from every day that the batch brought, each from the sales up to it, and
-    stored by that training date.
+    stored by that training date. New days cost no look at the history (``train_on_version``), and a
+    day that was delivered again also redoes the later training dates that had seen it.
     """
     base = _first_version(spark, table, checkpoint)
 
@@ -73,10 +69,8 @@ def run_arrivals(
         good, bad = enforce(batch, contract)
         save_partition(good.withColumn(VERSION, version), table, VERSION)
         save_partition(bad.withColumn(VERSION, version), f"{table.rstrip('/')}_quarantine", VERSION)
-        if forecasts is not None:
-            days = [r[0] for r in good.select("date").distinct().collect()]  # the days of one delivery
-            if days:
-                store_forecasts(walk_forward(current_sales(spark, table), sorted(days), keys, spec), forecasts)
+        if forecasts is not None and exists(spark, table):
+            train_on_version(spark, table, base + batch_id + 1, forecasts, keys, spec)
 
     (
         spark.readStream.schema(SALES_DDL)
