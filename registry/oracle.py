@@ -129,7 +129,7 @@ WALK_ROWS = f"SELECT training_date, store, item, ds, {bounds()} FROM w_fc"
 PAIRS = f"""{WALK}, pairs AS (
         SELECT f.training_date, f.store, f.item, f.ds, f.yhat, f.yhat_lower, f.yhat_upper, s.sales AS y
         FROM w_fc f JOIN sales s ON f.ds = s.date AND f.store = s.store AND f.item = s.item)"""
-COVERAGE = f"""count(*) AS n, {r('avg((y - yhat) ** 2)', 'mse')}, {r('sqrt(avg((y - yhat) ** 2))', 'rmse')},
+COVERAGE = f"""count(*) AS n, count(*) FILTER (WHERE y IS NULL OR yhat IS NULL) AS n_null, {r('avg((y - yhat) ** 2)', 'mse')}, {r('sqrt(avg((y - yhat) ** 2))', 'rmse')},
        {r('avg(abs(y - yhat))', 'mae')},
        {r('avg(CASE WHEN yhat_lower < y AND y < yhat_upper THEN 1.0 ELSE 0.0 END)', 'accuracy')},
        {r('avg(CASE WHEN y < yhat_upper THEN 1.0 ELSE 0.0 END)', 'stocked')}"""
@@ -378,6 +378,77 @@ ORACLE["corrected_forecast_store"] = f"WITH {DELIVERED} {WALK_ROWS}".replace(sal
     f"WHERE date >= {CUT})", f"WHERE date >= {CUT} AND date < DATE '2001-10-07')", 1
 )
 
+NEXT = "CAST(training_date + INTERVAL 1 DAY AS DATE)"
+SHARES_AT = """shares AS (
+        SELECT training_date, item, store, sold AS store_item_sales, CAST(sum(sold) OVER (PARTITION BY training_date, item) AS BIGINT) AS item_sales
+        FROM (SELECT training_date, item, store, CAST(sum(sales) AS BIGINT) AS sold FROM sales JOIN cut ON date <= training_date GROUP BY ALL))"""
+BOTH_WALKED = f"""{WALK}, iwobs AS (
+        SELECT training_date, item, date AS ds, CAST(sum(sales) AS DOUBLE) AS y FROM sales JOIN cut ON date <= training_date GROUP BY ALL),
+    {model('iwobs', 'training_date, item', 'v_', NEXT)}, {SHARES_AT}, topdown AS (
+        SELECT training_date, store, item, ds, yhat * store_item_sales / item_sales AS yhat
+        FROM v_fc JOIN shares USING (training_date, item)),
+    both_at AS (
+        SELECT f.training_date, s.date, f.store, f.item, CAST(s.sales AS DOUBLE) AS y, f.yhat, t.yhat AS yhat_agg
+        FROM w_fc f JOIN topdown t ON f.training_date = t.training_date AND f.store = t.store AND f.item = t.item AND f.ds = t.ds
+        JOIN sales s ON s.date = f.ds AND s.store = f.store AND s.item = f.item)"""
+ORACLE["walk_forward_overview"] = f"WITH {BOTH_WALKED} SELECT training_date, date, store, item, y, {r('yhat', 'yhat')}, {r('yhat_agg', 'yhat_agg')} FROM both_at"
+STACKED_AT = """stacked AS (
+        SELECT training_date, date, store, item, y, yhat, 'store_item' AS model FROM both_at UNION ALL
+        SELECT training_date, date, store, item, y, yhat_agg, 'allocated' FROM both_at)"""
+ORACLE["walk_forward_strategy_metrics"] = f"""WITH {BOTH_WALKED}, {STACKED_AT}
+        SELECT training_date, model, count(*) AS n, CAST(0 AS BIGINT) AS n_null, {r('avg((y - yhat) ** 2)', 'mse')},
+               {r('sqrt(avg((y - yhat) ** 2))', 'rmse')}, {r('avg(abs(y - yhat))', 'mae')} FROM stacked GROUP BY training_date, model"""
+ORACLE["shares_at_cutoffs"] = f"""WITH {sales()}, {cutoffs('2001-09-30', '2001-10-06')}, {SHARES_AT}
+        SELECT training_date, item, store, {r('store_item_sales / item_sales', 'ratio')}, store_item_sales, item_sales FROM shares"""
+ORACLE["routed_forecast"] = f"""WITH {BOTH_WALKED}, {STACKED_AT}, late AS (SELECT training_date AS day FROM cut WHERE training_date >= DATE '2001-10-04'),
+    scores AS (SELECT day, store, item, model, sqrt(avg((y - yhat) ** 2)) AS rmse FROM stacked JOIN late ON date <= day GROUP BY ALL),
+    best AS (SELECT day, store, item, arg_min(model, (rmse, model)) AS model FROM scores GROUP BY ALL),
+    candidates AS (SELECT training_date, store, item, ds, yhat, 'store_item' AS model FROM w_fc UNION ALL SELECT *, 'allocated' FROM topdown)
+    SELECT c.training_date, c.store, c.item, c.ds, {r('yhat', 'yhat')}, c.model
+    FROM candidates c JOIN late ON c.training_date = day LEFT JOIN best b ON b.day = c.training_date AND b.store = c.store AND b.item = c.item
+    WHERE c.model = coalesce(b.model, 'store_item')"""
+
+SUNDAYS = """cut AS (SELECT CAST(unnest(generate_series(DATE '2001-06-03', DATE '2001-08-26', INTERVAL 7 DAY)) AS DATE) AS training_date),
+    cuts AS (SELECT * FROM cut WHERE training_date <> DATE '2001-07-29')"""
+RATIO = 101 / 99
+CALIBRATED = f"""{sales('all_sales')}, sales AS (SELECT * FROM all_sales WHERE date < DATE '2001-09-05'), {SUNDAYS}, wobs AS (
+        SELECT training_date, store, item, date AS ds, CAST(sales AS DOUBLE) AS y FROM sales JOIN cuts ON date <= training_date),
+    {model('wobs', 'training_date, store, item', 'w_', ahead('training_date', 7))}, pairs AS (
+        SELECT f.training_date, date_diff('day', f.training_date, f.ds) AS step, yhat, yhat_lower, yhat_upper, (yhat_upper - yhat_lower) / 2 AS margin, s.sales AS y
+        FROM w_fc f JOIN sales s ON f.ds = s.date AND f.store = s.store AND f.item = s.item),
+    ratios AS (SELECT step, (y - yhat) / margin AS z FROM pairs WHERE training_date < DATE '2001-08-01' AND margin <> 0),
+    buckets AS (SELECT step, CASE WHEN abs(z) < 1e-6 THEN 0 ELSE sign(z) * (ceil(ln(abs(z)) / ln({RATIO!r})) + 700) END AS b, count(*) AS n FROM ratios GROUP BY ALL),
+    ranked AS (
+        SELECT *, CASE WHEN b = 0 THEN 0.0 ELSE sign(b) * 2 * power({RATIO!r}, abs(b) - 700) / ({RATIO!r} + 1) END AS v,
+               sum(n) OVER (PARTITION BY step ORDER BY b) AS below, sum(n) OVER (PARTITION BY step) AS total FROM buckets),
+    quantiles AS (
+        SELECT step, min(CASE WHEN below >= floor(0.025 * total) + 1 THEN v END) AS lo, max(CASE WHEN total - below + n >= floor(0.025 * total) + 1 THEN v END) AS hi
+        FROM ranked GROUP BY step),
+    held AS (
+        SELECT p.*, coalesce(yhat + lo * margin, yhat_lower) AS c_lower, coalesce(yhat + hi * margin, yhat_upper) AS c_upper
+        FROM pairs p LEFT JOIN quantiles q ON p.step = q.step WHERE training_date > DATE '2001-08-01')"""
+ORACLE["calibrated_coverage"] = f"""WITH {CALIBRATED} SELECT CAST(step AS INTEGER) AS step, count(*) AS n,
+        {r('avg(CASE WHEN yhat_lower < y AND y < yhat_upper THEN 1.0 ELSE 0.0 END)', 'accuracy')},
+        {r('avg(CASE WHEN y < yhat_upper THEN 1.0 ELSE 0.0 END)', 'stocked')},
+        {r('avg(CASE WHEN c_lower < y AND y < c_upper THEN 1.0 ELSE 0.0 END)', 'calibrated_accuracy')},
+        {r('avg(CASE WHEN y < c_upper THEN 1.0 ELSE 0.0 END)', 'calibrated_stocked')} FROM held GROUP BY step"""
+ORACLE["changes_between_versions"] = f"""WITH {GROWN}
+        SELECT date, store, item, 'added' AS change, CAST(NULL AS BIGINT) AS before, sales AS after FROM grown WHERE arrival_version = 3
+        UNION ALL SELECT date, store, item, 'changed', sales, sales + 1 FROM grown WHERE arrival_version = 2 AND item = 1
+        UNION ALL SELECT date, store, item, 'removed', sales, NULL FROM grown WHERE arrival_version = 2 AND item = 2"""
+ORACLE["quarantined_by_every_rule"] = f"""WITH {sales()}, broken AS (
+        SELECT CASE WHEN store <> 5 THEN date END AS date, store, item, CASE item WHEN 2 THEN NULL WHEN 3 THEN '-' || sales WHEN 4 THEN sales || '.5'
+               WHEN 5 THEN '100000' ELSE CAST(sales AS VARCHAR) END AS sales FROM sales),
+    judged AS (
+        SELECT *, CASE WHEN date IS NULL THEN 'not_null:date' WHEN item = 4 THEN 'type:sales' WHEN sales IS NULL THEN 'not_null:sales'
+               WHEN CAST(sales AS DOUBLE) < 0 THEN 'low:sales' WHEN CAST(sales AS DOUBLE) > 100 THEN 'high:sales' END AS rule FROM broken)
+    SELECT * FROM judged WHERE rule IS NOT NULL"""
+ORACLE["forecast_without_missing_values"] = ORACLE["series_forecast"].replace(TRAIN, sales("train", f"date < {CUT} AND day(date) % 5 <> 0"), 1)
+ORACLE["allocation_of_unmatched_items"] = f"""WITH {TRAIN}, {ITEMS.replace('FROM train GROUP', 'FROM train WHERE item <> 1 GROUP')},
+    {SHARE.replace('FROM train GROUP', 'FROM train WHERE item <> 2 GROUP')}, alloc AS (
+        SELECT store, item, ds, yhat * ratio AS yhat FROM i_fc FULL OUTER JOIN share USING (item))
+    SELECT store, item, ds, {r('yhat', 'yhat')} FROM alloc"""
+
 # Forecasts that come back from the store.
 ORACLE |= {f"stored_forecast_{name}": ORACLE[f"walk_forward_{name}"] for name in ("actuals", "metrics")}
 # The grouped-map path restates the closed form.

@@ -17,12 +17,12 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql.utils import AnalysisException
 
 from seriesmill.functions.dates import date_range
-from seriesmill.operators import evaluate, explore, moments, quality
-from seriesmill.operators.allocate import store_share
+from seriesmill.operators import calibrate, evaluate, explore, moments, quality
+from seriesmill.operators.allocate import allocate, shares_at, store_share
 from seriesmill.operators.forecast import ForecastSpec, forecast
 from seriesmill.operators.forecast import forecast_components as components
 from seriesmill.operators.grouped import grouped_forecast, closed_form_model, weekday_mean_model
-from seriesmill.plans import layers, retrain, walk_forward
+from seriesmill.plans import layers, retrain, strategies, walk_forward
 from seriesmill.plans.strategies import allocated_forecast as top_down_forecast
 from seriesmill.plans.strategies import strategy_overview
 from seriesmill.session import shared_folder
@@ -33,6 +33,9 @@ from seriesmill.sources.sales import daily_sales, line_sales, read_lines, time_s
 from seriesmill.streaming import arrivals
 
 CUT = dt.date(2001, 10, 1)
+#: Cutoffs whose residuals are sketched, and later ones to measure the intervals on.
+SKETCHED = date_range("2001-06-03", "2001-07-29")[::7]
+HELD_OUT = date_range("2001-08-05", "2001-09-02")[::7]
 LAST_DAY = CUT - dt.timedelta(days=1)
 CUTOFFS = date_range("2001-09-30", "2001-10-07")
 #: Ends of the deliveries of the hold-out; the last one brings all that is left.
@@ -292,6 +295,10 @@ def walked_pairs(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.with_actuals(walk_forward.walk_forward(sales, CUTOFFS), sales)
 
 
+def both_walked(spark: SparkSession, folder: str) -> DataFrame:
+    return strategies.walk_forward_overview(tables.materialise(daily_sales(spark, folder, end="2001-10-08"), "sales"), CUTOFFS)
+
+
 @query
 def walk_forward_forecast(spark, folder):
     return walked(spark, folder)
@@ -335,6 +342,50 @@ def stored_forecast_metrics(spark, folder):
     return evaluate.coverage_metrics(stored_pairs(spark, folder), model=evaluate.PER_SERIES)
 
 
+@query
+def walk_forward_overview(spark, folder):
+    return both_walked(spark, folder)
+
+
+@query
+def walk_forward_strategy_metrics(spark, folder):
+    """Both strategies at every cutoff: errors by training date and strategy."""
+    stacked = both_walked(spark, folder).selectExpr(
+        "training_date", "y", f"stack(2, '{evaluate.PER_SERIES}', yhat, '{evaluate.TOP_DOWN}', yhat_agg) AS (model, yhat)"
+    )
+    return evaluate.error_metrics(stacked, ["training_date", "model"])
+
+
+@query
+def shares_at_cutoffs(spark, folder):
+    return shares_at(daily_sales(spark, folder, end="2001-10-07"), CUTOFFS)
+
+
+@query
+def routed_forecast(spark, folder):
+    """Three training dates, each series forecast by the strategy that had scored best until then."""
+    dates = CUTOFFS[-3:]
+    sales = tables.materialise(daily_sales(spark, folder, end="2001-10-08"), "sales")
+    scores = tables.materialise(strategies.walk_forward_overview(sales, CUTOFFS), "scores")
+    direct = walk_forward.walk_forward(sales, dates)
+    return evaluate.route(direct, strategies.allocated_walk_forward(sales, dates), evaluate.champions_at(scores, dates))
+
+
+@query
+def calibrated_coverage(spark, folder):
+    """Coverage by days ahead of the normal and the calibrated interval, on cutoffs that the residuals do not come from."""
+    sales = tables.materialise(daily_sales(spark, folder, end="2001-09-05"), "sales")
+    walked_week = walk_forward.walk_forward(sales, [*SKETCHED, *HELD_OUT], spec=ForecastSpec(h=7, origin="cutoff"))
+    pairs = tables.materialise(evaluate.with_actuals(walked_week, sales), "pairs")
+    # Two sketches, as two runs would leave them, merged.
+    parts = [calibrate.residual_sketch(pairs.where(F.col("training_date").isin(dates))) for dates in (SKETCHED[:5], SKETCHED[5:])]
+    quantiles = calibrate.sketch_quantiles(calibrate.merge_sketches(parts[0].union(parts[1])))
+    held_out = pairs.where(F.col("training_date").isin(HELD_OUT))
+    own = calibrate.coverage_by_step(calibrate.calibrated(held_out, quantiles))
+    own = own.select("step", F.col("accuracy").alias("calibrated_accuracy"), F.col("stocked").alias("calibrated_stocked"))
+    return calibrate.coverage_by_step(held_out).join(own, "step")
+
+
 # Tables, versions and the run ledger
 
 
@@ -398,6 +449,18 @@ def snapshot_sales(spark, folder):
     return tables.snapshot(grown_table(spark, folder), 3).drop(tables.VERSION)
 
 
+@query
+def changes_between_versions(spark, folder):
+    """Versions 2 and 3 of the growing table, where 3 also corrects item 1 of the day before and takes item 2 of it back."""
+    grown = walk_forward.version_arrivals(daily_sales(spark, folder, end="2001-10-07"), CUT)
+    second = grown.where(F.col(tables.VERSION) == 2).withColumn(tables.VERSION, F.lit(3).cast("bigint"))
+    corrected = second.where("item = 1").withColumn("sales", F.col("sales") + 1)
+    removed = second.where("item = 2").withColumn("sales", F.lit(None).cast("bigint"))
+    path = shared_folder(spark, "changes")
+    tables.save(grown.unionByName(corrected).unionByName(removed).unionByName(second.where("item = 3")), path, partition_by=[tables.VERSION])
+    return tables.version_changes(tables.read_table(spark, path), 2, 3)
+
+
 @query
 def run_ledger(spark, folder):
     params = walk_forward.run_parameters(walk_forward.NEXT_DAY)
@@ -449,6 +512,29 @@ def quarantined_sales(spark, folder):
     return quality.enforce(daily_sales(spark, folder), LIMITED)[1].withColumnRenamed("_rule", "rule")
 
 
+@query
+def quarantined_by_every_rule(spark, folder):
+    """Sales as text, with days, numbers and values that break each kind of rule."""
+    broken = """CASE WHEN item = 2 THEN NULL WHEN item = 3 THEN concat('-', sales) WHEN item = 4 THEN concat(sales, '.5')
+        WHEN item = 5 THEN '100000' ELSE CAST(sales AS STRING) END"""
+    rows = daily_sales(spark, folder).withColumns({"date": F.expr("CASE WHEN store <> 5 THEN date END"), "sales": F.expr(broken)})
+    return quality.enforce(rows, LIMITED)[1].withColumnRenamed("_rule", "rule")
+
+
+@query
+def forecast_without_missing_values(spark, folder):
+    """Sales of every fifth day are NULL: those days are not seen, as if they had no row."""
+    missing = F.when(F.dayofmonth("date") % 5 != 0, F.col("sales"))
+    return forecast(train(spark, folder).withColumn("sales", missing))
+
+
+@query
+def allocation_of_unmatched_items(spark, folder):
+    """A share without a forecast (item 1) and a forecast without a share (item 2)."""
+    sales = tables.materialise(train(spark, folder), "sales")
+    return allocate(forecast(sales.where("item <> 1"), ["item"]), store_share(sales.where("item <> 2")))
+
+
 def raw_lines(spark: SparkSession, folder: str) -> DataFrame:
     rows = line_sales(read_lines(spark, folder), keep=["l_orderkey", "l_linenumber"])
     return rows.withColumn("sales", F.col("sales").cast("bigint"))

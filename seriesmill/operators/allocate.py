@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from seriesmill.functions.dates import as_date
+
 
 def store_share(sales: DataFrame) -> DataFrame:
     """Share of each store in the sales of each item; NULL where the item never sold.
@@ -20,6 +25,36 @@ def store_share(sales: DataFrame) -> DataFrame:
     )
 
 
+def shares_at(sales: DataFrame, cutoffs: Sequence[dt.date | str]) -> DataFrame:
+    """``store_share`` of all sales up to each cutoff, with training_date; stores count from their first day on.
+
+    Sales are added up by the first cutoff that sees them. Of a store and item one row is left, with
+    its sums at all cutoffs as an array, and items are added up from these rows: what is shuffled has
+    as many rows as stores and items, however many cutoffs there are.
+    """
+    dates = sorted({as_date(c) for c in cutoffs})
+    days = F.array(*map(F.lit, dates))
+    bucket = F.size(F.filter(days, lambda c: c < F.col("date")))
+    seen = sales.where(F.col("date") <= F.lit(dates[-1])).groupBy("item", "store", bucket.alias("bucket")).agg(F.sum("sales").alias("sold"))
+
+    kind = seen.schema["sold"].dataType
+    buckets = F.collect_list(F.struct("bucket", F.coalesce("sold", F.lit(0).cast(kind)).alias("sold")))  # at most one entry a cutoff
+
+    def up_to(k: Column) -> Column:
+        known = F.filter("buckets", lambda b: b["bucket"] <= k)
+        return F.when(F.size(known) > 0, F.aggregate(known, F.lit(0).cast(kind), lambda total, b: (total + b["sold"]).cast(kind)))
+
+    sums = F.transform(F.sequence(F.lit(0), F.lit(len(dates) - 1)), up_to)
+    per_store = seen.groupBy("item", "store").agg(buckets.alias("buckets")).select("item", "store", sums.alias("sums"))
+    totals = [F.sum(F.element_at("sums", k + 1)).alias(f"total{k}") for k in range(len(dates))]
+    per_item = per_store.groupBy("item").agg(*totals).select("item", F.array(*[f"total{k}" for k in range(len(dates))]).alias("totals"))
+    rows = per_store.join(per_item, "item").select("item", "store", F.explode(F.arrays_zip(days.alias("training_date"), "sums", "totals")).alias("row"))
+    ratio = F.try_divide(F.col("row.sums").cast("double"), F.col("row.totals").cast("double"))
+    return rows.where("row.sums IS NOT NULL").select(
+        F.col("row.training_date").alias("training_date"), "item", "store", ratio.alias("ratio"), F.col("row.sums").alias("store_item_sales"), F.col("row.totals").alias("item_sales")
+    )
+
+
 def allocate(item_forecast: DataFrame, share: DataFrame) -> DataFrame:
     """Item forecast times store share: store, item, ds, yhat.
 

@@ -17,8 +17,13 @@ TOP_DOWN = "allocated"
 
 
 def with_actuals(forecasts: DataFrame, sales: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
-    """Forecast rows that have an actual, with it as ``y``."""
-    return forecasts.join(observations(sales, keys), [*keys, "ds"], "inner").select(*forecasts.columns, "y")
+    """Forecast rows that have an actual, with it as ``y``; beside a key of that name it is ``_y``."""
+    inner = [f"_key{n}" for n in range(len(keys))]
+    named = sales.select("date", "sales", *[F.col(f"`{k}`").alias(i) for k, i in zip(keys, inner)])
+    actual = observations(named, inner).withColumnsRenamed({"ds": "_ds", "y": "_y"})
+    same = [F.col(f"`{k}`") == F.col(i) for k, i in zip(keys, inner)]
+    joined = forecasts.join(actual, [*same, F.col("ds") == F.col("_ds")], "inner").drop("_ds", *inner)
+    return joined if "y" in forecasts.columns else joined.withColumnRenamed("_y", "y")
 
 
 def unscored(sales: DataFrame, forecasts: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -87,11 +92,14 @@ def coverage_metrics(pairs: DataFrame, by: Sequence[str] = KEYS, model: str | No
     """Errors plus interval coverage per group.
 
     ``accuracy`` is the share of actuals strictly inside the interval, ``stocked`` the share
-    strictly below its upper bound. A missing or NaN value on either side is a miss.
+    strictly below its upper bound. A missing or NaN value on either side is a miss; ``n`` counts
+    all pairs, and ``n_null`` those without a value or a forecast.
     """
     y, lower, upper = F.col("y"), F.col("yhat_lower"), F.col("yhat_upper")
+    scored = usable(y).isNotNull() & usable(F.col("yhat")).isNotNull()
     out = pairs.groupBy(*by).agg(
         F.count("*").alias("n"),
+        F.count_if(~scored).alias("n_null"),
         *_errors(),
         F.avg(inside_interval(y, lower, upper)).alias("accuracy"),
         F.avg(below_upper(y, upper)).alias("stocked"),
@@ -124,3 +132,30 @@ def strategy_wins(metrics: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
 def pooled_miss(overview: DataFrame, by: Sequence[str]) -> DataFrame:
     """Misses of both strategies added up over the horizon, so that days may offset each other."""
     return overview.groupBy(*by).agg(F.sum("miss").alias("miss"), F.sum("agg_miss").alias("agg_miss"))
+
+
+def _stacked(overview: DataFrame, keys: Sequence[str]) -> DataFrame:
+    strategies = F.expr(f"stack(2, '{PER_SERIES}', yhat, '{TOP_DOWN}', yhat_agg) AS (model, yhat)")
+    return overview.select(*keys, "date", "y", strategies)
+
+
+def champions_at(overview: DataFrame, dates: Sequence[dt.date | str], keys: Sequence[str] = KEYS) -> DataFrame:
+    """training_date, keys, model, rmse: the better strategy of each series, by all scores known on each of ``dates``.
+
+    ``overview`` holds stored forecasts of earlier training dates with their actuals. A score is known
+    once its day is over, so that no date sees an actual of its own future. A row counts at every
+    date behind it, before anything is shuffled.
+    """
+    days = F.array(*[F.lit(as_date(d)) for d in sorted({as_date(d) for d in dates})])
+    known = _stacked(overview, keys).withColumn("training_date", F.explode(F.filter(days, lambda d: d >= F.col("date"))))
+    return champion(error_metrics(known, ["training_date", *keys, "model"]), ["training_date", *keys])
+
+
+def route(direct: DataFrame, top_down: DataFrame, champions: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
+    """training_date, keys, ds, yhat, model: each series from its champion, once; without a score the direct forecast."""
+    group = ["training_date", *keys]
+    chosen = champions.select(*group, F.col("model").alias("champion"))
+    columns = [*group, "ds", "yhat"]
+    own = direct.select(*columns).join(chosen, group, "left").where(F.coalesce("champion", F.lit(PER_SERIES)) == PER_SERIES)
+    split = top_down.select(*columns).join(chosen.where(F.col("champion") == TOP_DOWN), group)
+    return own.select(*columns, F.lit(PER_SERIES).alias("model")).unionByName(split.select(*columns, F.lit(TOP_DOWN).alias("model")))

@@ -46,6 +46,9 @@ def grouped_forecast(
     those of ``spec`` inside the task; they are not part of the result.
     """
     n_partitions = n_partitions or task_count(sales.sparkSession)
+    # Neutral names in between, so that a key may be called like a column used inside.
+    outer, keys = list(keys), [f"_key{n}" for n in range(len(keys))]
+    sales = sales.select("date", "sales", *[F.col(f"`{k}`").alias(i) for k, i in zip(outer, keys)])
     if spec.origin == "cutoff" and cutoffs is None:
         raise ValueError("origin='cutoff' needs cutoffs")
     obs = observations(sales, keys).withColumn("y", F.col("y").cast("double"))
@@ -76,7 +79,8 @@ def grouped_forecast(
         return out
 
     constants = [F.lit(value).alias(name) for name, value in (literals or {}).items()]
-    return obs.groupBy(*group, *constants).applyInPandas(one_series, schema)
+    out = obs.groupBy(*group, *constants).applyInPandas(one_series, schema)
+    return out.withColumnsRenamed(dict(zip(keys, outer)))
 
 
 def _result(days: pd.DatetimeIndex, yhat: np.ndarray, residuals: np.ndarray, spec: ForecastSpec) -> pd.DataFrame:

@@ -156,3 +156,22 @@ def newest_version(df: DataFrame, keys: Sequence[str] = ("date", "store", "item"
     same = [df[k].eqNullSafe(F.col(f"_later_{k}")) for k in keys]
     held = later.select(*[F.col(k).alias(f"_later_{k}") for k in keys])
     return df.where(F.col(VERSION) == 0).join(held, same, "left_anti").unionByName(later)
+
+
+def version_changes(df: DataFrame, older: int, newer: int, keys: Sequence[str] = ("date", "store", "item")) -> DataFrame:
+    """keys, change, before, after: what the versions after ``older`` up to ``newer`` did to the sales.
+
+    A key is added, changed (other sales) or removed (its newest row has no sales); one that was
+    delivered again as it stood is no change. Only partitions up to ``newer`` are read, and of those
+    up to ``older`` only the keys that came again.
+    """
+    later = newest_version(df.where((F.col(VERSION) > older) & (F.col(VERSION) <= newer)), keys)
+    touched = later.select(*[F.col(k).alias(f"_new_{k}") for k in keys], F.col("sales").alias("after"))
+    known = df.where(F.col(VERSION) <= older)
+    again = known.join(touched, [known[k].eqNullSafe(touched[f"_new_{k}"]) for k in keys], "left_semi")
+    old = newest_version(again, keys).select(*[F.col(k).alias(f"_old_{k}") for k in keys], F.col("sales").alias("before"), F.lit(True).alias("_known"))
+    joined = touched.join(old, [touched[f"_new_{k}"].eqNullSafe(old[f"_old_{k}"]) for k in keys], "left")
+    had = F.col("_known").isNotNull() & F.col("before").isNotNull()
+    change = F.when(had & F.col("after").isNull(), "removed").when(~had & F.col("after").isNotNull(), "added")
+    change = change.when(had & ~F.col("before").eqNullSafe(F.col("after")), "changed")
+    return joined.select(*[F.col(f"_new_{k}").alias(k) for k in keys], change.alias("change"), "before", "after").where("change IS NOT NULL")
