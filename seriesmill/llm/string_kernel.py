@@ -32,6 +32,8 @@ TRAINING_DOCS = 4000
 #: Sentences of each training document that go into the fit: the closest to toxic landmarks.
 TRAINING_SENTENCES = 6
 CACHE = 1_000_000
+#: Bytes of text and number of words that are worked on at once; their arrays are some hundred times as large.
+SLICE, BLOCK = 256 << 10, 512
 
 _EDGE = 31  # code of the borders of a word
 _CODE = np.zeros(256, np.uint8)  # 5-bit codes; 0: not a letter
@@ -142,17 +144,26 @@ class Landmarks:
         matrix[row[ids], of] = weight
         return Landmarks(row, matrix)
 
-    def similarities(self, words: Words, which: np.ndarray) -> np.ndarray:
-        """Sharpened kernel of each word with each landmark."""
-        out = np.zeros((len(which), self.matrix.shape[1]), np.float32)
-        for k in range(0, len(which), 2048):
-            of, ids, weight = _subsequences(words, which[k : k + 2048])
+    def similarities(self, words: Words, which: np.ndarray, weights: np.ndarray | None = None) -> np.ndarray:
+        """Sharpened kernel of each word with each landmark; with ``weights`` of the landmarks, its weighted sum.
+
+        A word has some hundred subsequences, each a row of the matrix, so that few words go at a time.
+        """
+        out = np.zeros((len(which), self.matrix.shape[1]) if weights is None else len(which), np.float32 if weights is None else float)
+        for k in range(0, len(which), BLOCK):
+            some = which[k : k + BLOCK]
+            of, ids, weight = _subsequences(words, some)
             shared = self.row[ids] >= 0
             of, ids, weight = of[shared], ids[shared], weight[shared]
+            block = np.zeros((len(some), self.matrix.shape[1]), np.float32)
             if len(of):
                 heads = np.flatnonzero(np.diff(of, prepend=-1))
-                out[k + of[heads]] = np.add.reduceat(self.matrix[self.row[ids]] * weight[:, None].astype(np.float32), heads)
-        return out**SHARPNESS
+                terms = self.matrix[self.row[ids]]
+                terms *= weight[:, None].astype(np.float32)
+                block[of[heads]] = np.add.reduceat(terms, heads)
+            block **= SHARPNESS
+            out[k : k + BLOCK] = block if weights is None else block @ weights
+        return out
 
 
 @dataclass
@@ -176,7 +187,7 @@ class Machine:
         new = np.append(self.keys, U(0))[where] != distinct
         new |= where == len(self.keys)
         if new.any():
-            fresh = self.landmarks.similarities(words, first[new]) @ self.weights
+            fresh = self.landmarks.similarities(words, first[new], self.weights)
             self.keys, self.known = np.insert(self.keys, where[new], distinct[new]), np.insert(self.known, where[new], fresh)
             where = np.searchsorted(self.keys, distinct)
         return self.known[where[which]]
@@ -251,7 +262,7 @@ def _landmark_words(training: DataFrame) -> tuple[list[str], list[str]]:
         letters = np.frombuffer(_ALPHABET.encode(), np.uint8)
         for batch in batches:
             label = np.array(batch.column(0))
-            for first, data, at in slices(batch.column(1)):
+            for first, data, at in slices(batch.column(1), SLICE):
                 words = Words.of(data, at)
                 if not len(words.length):
                     continue
@@ -278,7 +289,7 @@ def _sentence_features(training: DataFrame, landmarks: Landmarks, toxic: int) ->
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bag, label = np.array(batch.column(0)), np.array(batch.column(1)).astype(np.int64)
-            for first, data, at in slices(batch.column(2)):
+            for first, data, at in slices(batch.column(2), SLICE):
                 words = Words.of(data, at)
                 sentences = len(words.sentence_row)
                 _, one, which = np.unique(words.hash, return_index=True, return_inverse=True)
@@ -304,7 +315,7 @@ def _margins(docs: DataFrame, machine: Machine, schema: str) -> DataFrame:
 
     def margin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [machine.margins(data, at) for _, data, at in slices(batch.column(1))]
+            parts = [machine.margins(data, at) for _, data, at in slices(batch.column(1), SLICE)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))], [batch.schema.names[0], "margin"])
 
     return docs.mapInArrow(margin, schema)
@@ -363,7 +374,7 @@ def score_toxicity(docs: DataFrame, machine: Machine | None) -> DataFrame:
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [shared.value.scores(shared.value.margins(data, at)) for _, data, at in slices(batch.column(1))]
+            parts = [shared.value.scores(shared.value.margins(data, at)) for _, data, at in slices(batch.column(1), SLICE)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(parts) if parts else np.zeros(0))], ["doc_id", "score"])
 
     return rows.mapInArrow(score, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, score double")
@@ -394,7 +405,7 @@ def drop_toxic(docs: DataFrame, machine: Machine | None) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [shared.value.scores(shared.value.margins(data, at)) for _, data, at in slices(batch.column(at_text))]
-            yield batch.filter(pa.array((np.concatenate(parts) if parts else np.zeros(0)) < 0.5))
+            for first, data, at in slices(batch.column(at_text), SLICE):
+                yield batch.slice(first, len(at) - 1).filter(pa.array(shared.value.scores(shared.value.margins(data, at)) < 0.5))
 
     return docs.mapInArrow(keep, docs.schema)
