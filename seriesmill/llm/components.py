@@ -59,7 +59,8 @@ def _heaviest(rows: DataFrame) -> DataFrame:
 def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], verify: Callable[[DataFrame], DataFrame], pivots: int = 2) -> DataFrame:
     """id, component of ids that links join; every two ids of one list (column key) are candidates.
 
-    ``may_link`` gets two rows of a list as structs and is false only where a link is impossible.
+    ``may_link`` gets two rows of a list as structs and is false only where a link is impossible. If
+    there is a column ``keys`` (all lists of the id), a pair that meets in several lists is made in the first only.
     ``verify`` turns pairs (a, b) into those that really link. Inside a list only pairs that lie in
     different components so far are tested: first all ids against one pivot, which settles lists of
     copies in time linear in their length, then those left against another pivot, then all pairs
@@ -90,6 +91,8 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
         open_pairs = left.join(placed, "key").where(F.col("of") != F.col("component"))
         if turn == pivots:
             open_pairs = open_pairs.where(F.col("left.id") < F.col("row.id"))
+            if "keys" in lists.columns:
+                open_pairs = open_pairs.where(F.array_min(F.array_intersect("left.keys", "row.keys")) == F.col("key"))
         open_pairs = open_pairs.where(may_link(F.col("left"), F.col("row")))
         pairs = materialise(open_pairs.select(F.least("left.id", "row.id").alias("a"), F.greatest("left.id", "row.id").alias("b")).distinct(), "pairs")
         if not pairs.isEmpty():

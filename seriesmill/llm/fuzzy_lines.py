@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.components import link_lists, within_reach
-from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, parity_sketch, slices, span_hashes
+from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, slices, span_hashes
 from seriesmill.sources.tables import materialise
 
 SHINGLE, PERCENT = 7, 80
@@ -30,6 +31,8 @@ BANDS, ROWS = 10, 4
 MIN_CHARS = SHINGLE
 #: Words of 64 bits in a filter; false positives cost time only.
 FILTER_WORDS = 1 << 20
+#: Shingles of verified lines that a task keeps.
+HELD_SHINGLES = 4 << 20
 
 _random = np.random.default_rng(8)
 _XOR = _random.integers(0, 1 << 32, BANDS * ROWS, np.uint32)
@@ -99,6 +102,25 @@ class Lines:
             out[:, k] = np.minimum.reduceat((low ^ _XOR[k]) * _ODD[k], starts)
         return out
 
+    def sets(self, only: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Number of distinct shingles of each of the given lines, and their parity sketch (``spans.parity_sketch``)."""
+        packed = _packed_shingles(self.chars)
+        sizes, sketches = np.zeros(len(only), np.int32), np.zeros((len(only), SKETCH_WORDS), np.int64)
+        for low in range(0, len(only), 1024):
+            some = only[low : low + 1024]
+            n = self.length[some] - SHINGLE + 1
+            of = np.repeat(np.arange(len(some)), n)
+            values = packed[np.repeat(self.first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())]
+            order = np.lexsort((values, of))
+            values, of = values[order], of[order]
+            new = np.append(True, (values[1:] != values[:-1]) | (of[1:] != of[:-1]))
+            values, of = values[new], of[new]
+            sizes[low : low + 1024] = np.bincount(of, minlength=len(some))
+            bits = of * (64 * SKETCH_WORDS) + (values * _SPREAD >> U(55)).astype(np.int64)
+            odd = (np.bincount(bits, minlength=64 * SKETCH_WORDS * len(some)) & 1).astype(np.uint8)
+            sketches[low : low + 1024] = np.packbits(odd, bitorder="little").view(np.int64).reshape(-1, SKETCH_WORDS)
+        return sizes, sketches
+
     def texts(self, only: np.ndarray) -> list[str]:
         return [self.chars[a : a + n].tobytes().decode() for a, n in zip(self.first[only], self.length[only])]
 
@@ -120,9 +142,13 @@ def _listed(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)), pa.array(values))
 
 
+def _holder() -> Column:
+    """The number by which a document is known and ordered: doc_id, or behind all of them one of the text where that is null."""
+    return F.coalesce(F.col("doc_id").cast("bigint"), F.xxhash64("text").bitwiseAND((1 << 61) - 1).bitwiseOR(F.lit(3 << 61)))
+
+
 def _signed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, ids (hashes of its distinct lines), keys (BANDS for each of them), short (hashes of lines without shingles) per row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    """holder, ids (hashes of its distinct lines), keys (BANDS for each of them), short (hashes of lines without shingles) per row."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -132,9 +158,9 @@ def _signed_lines(docs: DataFrame) -> DataFrame:
                 distinct, one, which = np.unique(ids, return_index=True, return_inverse=True)
                 keys = _band_keys(lines.signatures(order[one]))[which] if len(distinct) else np.zeros((0, BANDS), np.int64)
                 counts = np.bincount(row, minlength=rows)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), _listed(ids, counts), _listed(keys.ravel(), counts * BANDS), _listed(lines.hash[short], np.bincount(lines.row[short], minlength=rows))], ["doc_id", "ids", "keys", "short"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, rows), _listed(ids, counts), _listed(keys.ravel(), counts * BANDS), _listed(lines.hash[short], np.bincount(lines.row[short], minlength=rows))], ["holder", "ids", "keys", "short"])
 
-    return materialise(docs.select("doc_id", "text").mapInArrow(sign, f"doc_id {kind}, ids array<bigint>, keys array<bigint>, short array<bigint>"), "signed-lines")
+    return materialise(docs.select(_holder().alias("holder"), "text").mapInArrow(sign, "holder bigint, ids array<bigint>, keys array<bigint>, short array<bigint>"), "signed-lines")
 
 
 def _entries(signed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
@@ -179,11 +205,9 @@ def _line_texts(docs: DataFrame, ids: DataFrame) -> DataFrame:
                 _, one = np.unique(lines.hash[lines.long], return_index=True)
                 only = lines.long[one]
                 only = only[_in_filter(shared.value, lines.hash[only])]
-                texts = lines.texts(only)
-                sets = [_shingle_set(x) for x in texts]
-                sizes = pa.array(np.array([len(x) for x in sets], np.int32))
-                sketches = np.array([parity_sketch(x) for x in sets], np.int64).ravel()
-                yield pa.RecordBatch.from_arrays([pa.array(lines.hash[only]), sizes, _listed(sketches, np.full(len(only), SKETCH_WORDS)), pa.array(texts, pa.string())], ["id", "size", "sketch", "text"])
+                sizes, sketches = lines.sets(only)
+                columns = [pa.array(lines.hash[only]), pa.array(sizes), _listed(sketches.ravel(), np.full(len(only), SKETCH_WORDS)), pa.array(lines.texts(only), pa.string())]
+                yield pa.RecordBatch.from_arrays(columns, ["id", "size", "sketch", "text"])
 
     found = docs.select("text").mapInArrow(emit, "id bigint, size int, sketch array<bigint>, text string")
     return materialise(found.join(ids, "id", "left_semi").dropDuplicates(["id"]), "lines")
@@ -195,10 +219,29 @@ def _shingle_set(text: str) -> np.ndarray:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A pivot meets many lines one after another: its shingles are sorted once.
+        sets: dict[int, np.ndarray] = {}
+        held = 0
+
+        def of(line: int, text: pa.StringScalar) -> np.ndarray:
+            nonlocal held
+            if line not in sets:
+                if held > HELD_SHINGLES:
+                    sets.clear()
+                    held = 0
+                sets[line] = _shingle_set(text.as_py())
+                held += len(sets[line])
+            return sets[line]
+
         for batch in batches:
             kept = []
-            for k, (x, y) in enumerate(zip(map(_shingle_set, batch.column(2).to_pylist()), map(_shingle_set, batch.column(3).to_pylist()))):
-                shared = len(np.intersect1d(x, y, assume_unique=True))
+            a, b = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for k in range(len(batch)):
+                x, y = of(a[k], batch.column(2)[k]), of(b[k], batch.column(3)[k])
+                if len(x) > len(y):
+                    x, y = y, x
+                at = np.searchsorted(y, x)
+                shared = int((y[np.minimum(at, len(y) - 1)] == x).sum())
                 if 100 * shared >= PERCENT * (len(x) + len(y) - shared):
                     kept.append(k)
             yield batch.select(["a", "b"]).take(pa.array(kept, pa.int64()))
@@ -213,34 +256,61 @@ def line_components(docs: DataFrame, signed: DataFrame | None = None) -> DataFra
     shared = materialise(_entries(signed).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key"), "shared-keys")
     entries = materialise(_entries(signed, _filter_of(shared)).distinct().join(shared, "key"), "shared-entries")
     lines = _line_texts(docs, entries.select("id").distinct())
-    lists = entries.join(lines.select("id", "size", "sketch"), "id")
+    bands = entries.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most BANDS
+    lists = entries.join(lines.select("id", "size", "sketch").join(bands, "id"), "id")
     texts = lines.select("id", "text")
     return link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
 
 
-def dedup_lines(docs: DataFrame, short_lines: bool = False) -> DataFrame:
+def _dropped(lines: Lines, shared: pa.ListArray, least: int) -> np.ndarray:
+    """Which lines go: those of a label that another document keeps, and those whose label stood before in their text.
+
+    ``shared`` lists for each row the lines (id, label, own) that have company; any other line is its own label.
+    """
+    flat, of = shared.flatten(), np.repeat(np.arange(len(shared)), shared.value_lengths().fill_null(0).to_numpy())
+    ids, labels = (flat.field(c).to_numpy() for c in ("id", "label"))
+    own = np.array(flat.field("own"), bool)
+    whole = np.flatnonzero(lines.length >= least)
+
+    def in_row(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+        return mix(value.view(U) ^ mix(row.astype(U) + U(1)))
+
+    label, kept = lines.hash[whole].copy(), np.ones(len(whole), bool)
+    if len(ids):
+        known = in_row(of, ids)
+        order = np.argsort(known)
+        asked = in_row(lines.row[whole], lines.hash[whole])
+        at = np.minimum(np.searchsorted(known, asked, sorter=order), len(known) - 1)
+        hit = known[order[at]] == asked
+        label[hit], kept[hit] = labels[order[at[hit]]], own[order[at[hit]]]
+    first = np.zeros(len(whole), bool)
+    first[np.unique(in_row(lines.row[whole], label), return_index=True)[1]] = True
+    drop = np.zeros(len(lines.row), bool)
+    drop[whole] = ~(kept & first)
+    return drop
+
+
+def dedup_lines(docs: DataFrame, short_lines: bool = True) -> DataFrame:
     """``docs`` with duplicate lines taken out of ``text``, and the columns n_lines, n_removed.
 
-    Lines of fewer than ``MIN_CHARS`` bytes stay, or with ``short_lines`` go where their normalised text
-    is equal; a line without any visible character always stays. A null text stays null and has no line; an
-    empty one has one empty line. Rows of one doc_id are one document, whose repeated rows come out
-    alike; null is a doc_id that comes after all others. Other columns pass through; existing columns
-    named n_lines or n_removed are replaced.
+    Lines of fewer than ``MIN_CHARS`` bytes go where their normalised text is equal, or with
+    ``short_lines=False`` stay; a line without any visible character always stays. A null text stays
+    null and has no line; an empty one has one empty line. Rows of one doc_id (a whole number) are one
+    document, whose repeated rows come out alike; rows without a doc_id are documents by their text,
+    behind all others. Other columns pass through; existing columns named n_lines or n_removed are replaced.
     """
     docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])
     signed = _signed_lines(docs)
-    seen = signed.select("doc_id", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))
+    seen = signed.select("holder", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))
     least = 1 if short_lines else MIN_CHARS
-    owner_of = F.coalesce("doc_id", F.lit((1 << 63) - 1))
-    labelled = materialise(
-        seen.join(line_components(docs, signed), "id", "left").select("doc_id", "id", F.coalesce("component", "id").alias("label"), owner_of.alias("holder")), "labelled"
-    )
+    labelled = materialise(seen.join(line_components(docs, signed), "id", "left").select("holder", "id", F.coalesce("component", "id").alias("label")), "labelled")
     owners = labelled.groupBy("label").agg(F.min("holder").alias("owner"), F.max("holder").alias("other"), F.min("id").alias("one"), F.max("id").alias("another"))
     owners = owners.where("owner < other OR one < another").select("label", "owner")
-    shared = labelled.join(owners, "label").groupBy("doc_id").agg(F.collect_list(F.struct("id", "label", (F.col("owner") == F.col("holder")).alias("own"))).alias("shared_lines"))
-    shared = shared.select(F.col("doc_id").alias("_shared_doc_id"), F.col("shared_lines").alias("_shared_lines"))
-    joined = docs.join(shared, docs["doc_id"].eqNullSafe(shared["_shared_doc_id"]), "left").select(*docs.columns, "_shared_lines")
+    # Repeated rows of a document add nothing to the set of its shared lines.
+    shared = labelled.join(owners, "label").groupBy("holder").agg(F.collect_set(F.struct("id", "label", (F.col("owner") == F.col("holder")).alias("own"))).alias("lines"))
     names = docs.columns
+    spare = next(c for c in (f"shared_lines{n}" for n in range(len(names) + 1)) if c not in names)
+    joined = docs.join(shared.withColumnsRenamed({"holder": f"{spare}_of", "lines": spare}), _holder() == F.col(f"{spare}_of"), "left").select(*[F.col(f"`{c}`") for c in names], spare)
     at_text = names.index("text")
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields] + ["n_lines bigint", "n_removed bigint"]
 
@@ -248,24 +318,19 @@ def dedup_lines(docs: DataFrame, short_lines: bool = False) -> DataFrame:
         for batch in batches:
             for first, rows, lines in _lines(batch.column(at_text)):
                 part = batch.slice(first, rows)
-                drop = np.zeros(len(lines.row), bool)
-                known = part.column(len(names)).to_pylist()
-                first_line = np.searchsorted(lines.row, np.arange(rows + 1))
-                for r in range(rows):
-                    label = {x["id"]: (x["label"], x["own"]) for x in known[r] or ()}
-                    done = set()
-                    for k in range(first_line[r], first_line[r + 1]):
-                        if lines.length[k] >= least:
-                            name, own = label.get(h := int(lines.hash[k]), (h, True))
-                            drop[k] = not own or name in done
-                            done.add(name)
-                texts = []
-                for r, text in enumerate(part.column(at_text).to_pylist()):
-                    a, b = first_line[r], first_line[r + 1]
-                    texts.append(text if text is None or not drop[a:b].any() else "\n".join(x for x, gone in zip(text.split("\n"), drop[a:b]) if not gone))
-                null = np.array(part.column(at_text).is_null())
-                counts = np.where(null, 0, np.diff(first_line)), np.bincount(lines.row, drop, rows).astype(np.int64)
-                columns = [pa.array(texts, pa.string()) if k == at_text else part.column(k) for k in range(len(names))]
+                drop = _dropped(lines, part.column(len(names)), least)
+                texts = part.column(at_text)
+                removed = np.bincount(lines.row, drop, rows).astype(np.int64)
+                begins = np.searchsorted(lines.row, np.arange(rows + 1))
+                changed = np.flatnonzero(removed)
+                if len(changed):
+                    left = []
+                    for r in changed:
+                        gone = drop[begins[r] : begins[r + 1]]
+                        left.append("\n".join(x for x, g in zip(texts[r].as_py().split("\n"), gone) if not g))
+                    texts = pc.replace_with_mask(texts, pa.array(removed > 0), pa.array(left, texts.type))
+                counts = np.where(np.array(part.column(at_text).is_null()), 0, np.diff(begins)), removed
+                columns = [texts if k == at_text else part.column(k) for k in range(len(names))]
                 yield pa.RecordBatch.from_arrays([*columns, *map(pa.array, counts)], [*names, "n_lines", "n_removed"])
 
     return joined.mapInArrow(clean, ", ".join(fields))

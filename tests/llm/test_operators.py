@@ -396,13 +396,15 @@ def normal(line):
     return lower(re.sub(r"[\x20\t\x0b\x0c\r]+", " ", line)).strip(" ").encode()
 
 
-def deduplicated(texts):
-    sets = {}
+def deduplicated(texts, least=1):
+    """Lines of fewer bytes than a shingle have the empty set; they are only like themselves."""
+    sets, label = {}, {}
     for _, text in texts:
         for line in (text or "").split("\n"):
-            if len(x := normal(line)) >= fuzzy_lines.MIN_CHARS:
-                sets[x] = {x[k : k + 7] for k in range(len(x) - 6)}
-    label = {x: x for x in sets}
+            if len(x := normal(line)) >= least:
+                label[x] = x
+                if len(x) >= fuzzy_lines.MIN_CHARS:
+                    sets[x] = {x[k : k + 7] for k in range(len(x) - 6)}
     for _ in range(3):
         for a in sets:
             for b in sets:
@@ -425,6 +427,8 @@ def test_fuzzy_lines(spark, docs, none):
     frame = spark.createDataFrame([(k, t, "x") for k, t in texts], "doc_id BIGINT, text STRING, label STRING")
     got = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(frame).collect()}
     assert got == deduplicated(texts)
+    got = {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(frame, short_lines=False).collect()}
+    assert got == deduplicated(texts, fuzzy_lines.MIN_CHARS)
     again = by_id(fuzzy_lines.dedup_lines(docs))
     assert {k: len(v) for k, v in again.items()} == COUNT_OF
     assert set(again[0][0]) == {*docs.columns, "n_lines", "n_removed"}
@@ -436,10 +440,31 @@ def test_short_lines(spark):
     texts = {1: "Home\nles.\n\n \nshop by name", 2: "home\nLES. \n\nshop  by name\nhome", 3: "ÉÉ\nnew", 4: "ÉÉ\nshop by game"}
     got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in fuzzy_lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING").repartition(3), short_lines=True).collect()}
     assert got == {1: (texts[1], 0), 2: ("", 4), 3: (texts[3], 0), 4: ("shop by game", 1)}
-    plain = {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")).collect()}
+    plain = {r["doc_id"]: r["n_removed"] for r in fuzzy_lines.dedup_lines(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING"), short_lines=False).collect()}
     assert plain == {1: 0, 2: 1, 3: 0, 4: 0}
 
 
+def test_lines_of_documents_without_an_id(spark):
+    """Rows without a doc_id are documents by their text: they come last, and of a line that they share one stays."""
+    line = "a line that all of them have"
+    rows = [(None, f"{line}\nfirst own text here"), (None, f"second own text here\n{line}"), (None, f"second own text here\n{line}"), (7, line), (None, None), (None, "")]
+    rows = [(k, t, "x", 1, 2) for k, t in rows]
+    frame = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, shared_lines0 STRING, `holder` INT, n_removed INT").repartition(3)
+    got = sorted((str(r["doc_id"]), str(r["text"]), r["n_removed"], r["shared_lines0"]) for r in fuzzy_lines.dedup_lines(frame).collect())
+    one, two = "first own text here", "second own text here"
+    assert got == sorted([("None", one, 1, "x"), ("None", two, 1, "x"), ("None", two, 1, "x"), ("7", line, 0, "x"), ("None", "None", 0, "x"), ("None", "", 0, "x")])
+    alone = [r["n_removed"] for r in fuzzy_lines.dedup_lines(frame.where("doc_id IS NULL")).collect()]
+    assert sorted(alone) in ([0, 0, 0, 0, 1], [0, 0, 0, 1, 1])
+
+
+def test_many_like_lines_meet_once(spark):
+    """A large group of lines that are all alike, and lines that share bands with it by chance only."""
+    base = prose(40, 77)
+    texts = [(k, changed(base, k) + f"\nunlike {prose(6, 5000 + k)}") for k in range(120)]
+    frame = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").repartition(4)
+    assert {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(frame).collect()} == deduplicated(texts)
+
+
 # 9
 
 
