@@ -20,7 +20,10 @@ from seriesmill.sources.tables import materialise
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below 0.5; the machine learns from ``docs`` and the labels of ``sf_dir``."""
+    """Documents that score below 0.5; the machine learns from ``docs`` and the labels of ``sf_dir``.
+
+    A null text scores like an empty one; repeated rows score alike; other columns pass through.
+    """
     return drop_toxic(docs, fit_on_labels(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
@@ -28,9 +31,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines, ``n_chars`` counted anew where lines went.
 
     A document that loses lines and keeps no visible character is left out: every line of it stands
-    in another document.
+    in another document. A null text has no lines and stays; repeated rows come out alike.
     """
-    cleaned = dedup_lines(docs, short_lines=True)
+    cleaned = dedup_lines(docs)
     left = cleaned.where((F.col("n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         counted = F.length("text").cast(docs.schema["n_chars"].dataType)
@@ -39,17 +42,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: five-word shingles, similarity 0.8 or more."""
+    """One document of each group of similar ones: five-word shingles, similarity 0.8 or more.
+
+    Documents without words are like nothing and stay; of repeated rows of a doc_id one stays.
+    """
     return keep_one_per_component(docs, n=5, percent=80)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of whose words less than a twentieth lies in benchmark windows."""
+    """Documents of whose words less than a twentieth lies in benchmark windows; those without words stay."""
     return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Sequences of at most 1024 tokens."""
+    """Sequences of at most 1024 tokens; every row is a document, one without text its end token."""
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
