@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.components import link_lists, within_reach
-from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, slices, span_hashes
+from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, slices, small_batches, span_hashes
 from seriesmill.sources.tables import materialise
 
 SHINGLE, PERCENT = 7, 80
@@ -299,6 +299,7 @@ def dedup_lines(docs: DataFrame, short_lines: bool = True) -> DataFrame:
     document, whose repeated rows come out alike; rows without a doc_id are documents by their text,
     behind all others. Other columns pass through; existing columns named n_lines or n_removed are replaced.
     """
+    small_batches(docs.sparkSession)
     docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])
     signed = _signed_lines(docs)
     seen = signed.select("holder", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))

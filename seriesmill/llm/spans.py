@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -23,6 +24,21 @@ SPACES = bytes([0x20, *range(0x09, 0x0E)])
 SLICE_BYTES = 2 << 20
 
 
+#: Rows of one batch of texts on its way to Python, and back.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Let the session send texts in batches of at most ``BATCH_ROWS`` rows.
+
+    A batch is held several times at once, by the JVM on its way out, by Python, and by the JVM on
+    its way back; work on it goes by slices anyway. A smaller setting of the user's stays.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def byte_table(separators: bytes) -> np.ndarray:
     """256 flags: True for bytes that belong to words."""
     table = np.ones(256, bool)
@@ -79,7 +95,7 @@ def word_spans(data: np.ndarray, at: np.ndarray, table: np.ndarray) -> tuple[np.
 def _power(kind: str, n: int) -> np.ndarray:
     have = _powers.get(kind)
     if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 1)
+        size = 1 << max(18, n.bit_length())
         base = _BASE if kind == "up" else pow(_BASE, -1, 1 << 64)
         have = np.full(size, base, U)
         have[0] = 1

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seriesmill.llm.spans import LOWER, SPACED, U, slices, span_hashes, word_spans
+from seriesmill.llm.spans import LOWER, SPACED, U, slices, small_batches, span_hashes, word_spans
 from seriesmill.sources.tables import materialise
 
 DECAY, SPAN, SHARPNESS = 0.7, 6, 2
@@ -323,6 +323,7 @@ def _margins(docs: DataFrame, machine: Machine, schema: str) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame) -> Machine | None:
     """The machine for documents (doc_id, text) and labels (doc_id, label 0 or 1; one row each); None unless both labels occur."""
+    small_batches(docs.sparkSession)
     sample, totals = _sample(docs, labels.where("label IN (0, 1)").withColumn("label", F.col("label").cast("bigint")))
     training = sample.where("part <> 0")
     if len(training.select("label").distinct().collect()) < 2:
