@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +18,8 @@ from seriesmill.operators.quality import dedup
 from seriesmill.session import shared_folder
 
 VERSION = "arrival_version"
+#: Where the tables of ``materialise`` lie.
+_FOLDERS: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
 def _is_path(target: str) -> bool:
@@ -75,11 +78,33 @@ def materialise(df: DataFrame, purpose: str) -> DataFrame:
 
     For an intermediate that several branches of a plan need: each would otherwise repeat its scans,
     since filters that Spark infers differ from branch to branch and keep it from reusing a shuffle.
-    The written table outlives lost executors.
+    The written table outlives lost executors. It stays until ``discard``.
     """
     path = shared_folder(df.sparkSession, purpose)
     save(df, path)
-    return read_table(df.sparkSession, path)
+    out = read_table(df.sparkSession, path)
+    _FOLDERS[out] = path
+    return out
+
+
+def same_folder(view: DataFrame, table: DataFrame) -> DataFrame:
+    """``view`` of a materialised ``table``, which ``discard`` then takes for it."""
+    if table in _FOLDERS:
+        _FOLDERS[view] = _FOLDERS[table]
+    return view
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what ``materialise`` wrote for these; nothing that is still to be computed may read it.
+
+    A table that was not materialised, or is gone, is left alone.
+    """
+    for table in tables:
+        path = _FOLDERS.pop(table, None)
+        if path is not None:
+            spark = table.sparkSession
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 @contextmanager

@@ -188,3 +188,16 @@ def test_run_parameters_tell_settings_keys_and_models_apart():
     spec = walk_forward.NEXT_DAY
     variants = [walk_forward.run_parameters(s, k, m) for s in (spec, replace(spec, weekly=False), replace(spec, yearly=False)) for k in (("store", "item"), ("item",)) for m in ("closed_form", "weekday_mean")]
     assert len({tuple(sorted(v.items())) for v in variants}) == 12
+
+
+def test_discarded_tables_are_gone_and_others_stay(spark):
+    import os
+
+    one, two = (tables.materialise(spark.range(3), "scratch") for _ in range(2))
+    path = lambda df: df.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    first, second = path(one), path(two)
+    view = tables.same_folder(one.where("id > 0"), one)
+    assert view.count() == 2
+    tables.discard(view, spark.range(2))
+    assert not os.path.exists(first) and os.path.exists(second) and two.count() == 3
+    tables.discard(one)  # already gone
