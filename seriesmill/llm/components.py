@@ -7,31 +7,34 @@ a task, not the run.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.spans import SKETCH_WORDS
-from seriesmill.sources.tables import materialise
+from seriesmill.sources.tables import discard, materialise, same_folder
 
 
 def components(links: DataFrame) -> DataFrame:
     """id, component (smallest id reachable) for every id of the links (a, b).
 
-    Every node takes the smallest label around it, then the label of its label, until nothing
+    The result is a written table (``discard`` it). Every node takes the smallest label around it, then the label of its label, until nothing
     changes: stars take one round, and a chain of n nodes about log n. Ids of one component meet
     only as rows of joins, which adaptive execution splits if one component is very large.
     """
     both = materialise(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).where("a != b").distinct(), "links")
     labels = both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.col("a")).alias("component"))
     while True:
-        labels = labels.select("id", "component")
         around = both.join(labels.select(F.col("id").alias("b"), "component"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("around"))
         near = labels.join(around, "id").select("id", F.col("component").alias("before"), F.least("component", "around").alias("near"))
         step = near.join(labels.select(F.col("id").alias("near"), F.col("component").alias("far")), "near", "left")
-        labels = materialise(step.select("id", "before", F.coalesce("far", "near").alias("component")), "labels")
-        if labels.where("before != component").isEmpty():
-            return labels.select("id", "component")
+        written = materialise(step.select("id", "before", F.coalesce("far", "near").alias("component")), "labels")
+        discard(labels)
+        if written.where("before != component").isEmpty():
+            discard(both)
+            return same_folder(written.select("id", "component"), written)
+        labels = same_folder(written.select("id", "component"), written)
 
 
 def within_reach(x: Column, y: Column, percent: int) -> Column:
@@ -65,15 +68,17 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
     different components so far are tested: first all ids against one pivot, which settles lists of
     copies in time linear in their length, then those left against another pivot, then all pairs
     still open. No link between components is lost, since in the end every candidate pair was
-    tested or lies in one component.
+    tested or lies in one component. Tables on the way are deleted as soon as the next one is written.
     """
-    lists = materialise(lists, "lists")
+    given = lists = materialise(lists, "lists")
     # An id of long lists is close to many others: the original among its copies makes the best pivot.
     lengths = lists.groupBy("key").agg(F.count("*").alias("length"))
     weights = lists.join(lengths, "key").groupBy("id").agg(F.sum("length").alias("weight"))
     lists = materialise(lists.join(weights, "id"), "weighted-lists")
+    discard(given)
     row = F.struct(*[c for c in lists.columns if c != "key"])
-    links = known = None
+    founds: list[DataFrame] = []
+    known = None
     for turn in range(pivots + 1):
         placed = lists.select("key", row.alias("row"), F.col("id").alias("component"))
         if known is not None:
@@ -95,8 +100,13 @@ def link_lists(lists: DataFrame, may_link: Callable[[Column, Column], Column], v
                 open_pairs = open_pairs.where(F.array_min(F.array_intersect("left.keys", "row.keys")) == F.col("key"))
         open_pairs = open_pairs.where(may_link(F.col("left"), F.col("row")))
         pairs = materialise(open_pairs.select(F.least("left.id", "row.id").alias("a"), F.greatest("left.id", "row.id").alias("b")).distinct(), "pairs")
+        discard(placed)
         if not pairs.isEmpty():
-            found = materialise(verify(pairs), "found")
-            links = found if links is None else links.union(found)
-            known = components(links)
-    return known if known is not None else lists.select("id", F.col("id").alias("component")).limit(0)
+            founds.append(materialise(verify(pairs), "found"))
+            before, known = known, components(reduce(DataFrame.union, founds))
+            if before is not None:
+                discard(before)
+        discard(pairs)
+    discard(lists, *founds)
+    kind = lists.schema["id"].dataType.simpleString()
+    return known if known is not None else lists.sparkSession.createDataFrame([], f"id {kind}, component {kind}")

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.components import link_lists, within_reach
 from seriesmill.llm.spans import LOWER, SKETCH_WORDS, SPACED, U, mix, slices, small_batches, span_hashes
-from seriesmill.sources.tables import materialise
+from seriesmill.sources.tables import discard, materialise
 
 SHINGLE, PERCENT = 7, 80
 #: 10 bands of 4 minima find a pair of similarity 0.8 with probability 0.995, one of 0.85 with 0.9994.
@@ -259,7 +259,9 @@ def line_components(docs: DataFrame, signed: DataFrame | None = None) -> DataFra
     bands = entries.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most BANDS
     lists = entries.join(lines.select("id", "size", "sketch").join(bands, "id"), "id")
     texts = lines.select("id", "text")
-    return link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
+    linked = link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
+    discard(shared, entries, lines)
+    return linked
 
 
 def _dropped(lines: Lines, shared: pa.ListArray, least: int) -> np.ndarray:
@@ -304,7 +306,9 @@ def dedup_lines(docs: DataFrame, short_lines: bool = True) -> DataFrame:
     signed = _signed_lines(docs)
     seen = signed.select("holder", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))
     least = 1 if short_lines else MIN_CHARS
-    labelled = materialise(seen.join(line_components(docs, signed), "id", "left").select("holder", "id", F.coalesce("component", "id").alias("label")), "labelled")
+    linked = line_components(docs, signed)
+    labelled = materialise(seen.join(linked, "id", "left").select("holder", "id", F.coalesce("component", "id").alias("label")), "labelled")
+    discard(signed, linked)
     owners = labelled.groupBy("label").agg(F.min("holder").alias("owner"), F.max("holder").alias("other"), F.min("id").alias("one"), F.max("id").alias("another"))
     owners = owners.where("owner < other OR one < another").select("label", "owner")
     # Repeated rows of a document add nothing to the set of its shared lines.

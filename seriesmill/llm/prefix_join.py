@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.components import link_lists, within_reach
 from seriesmill.llm.spans import LOWER, SPACED, U, mix, parity_sketch, shingles, slices, span_hashes, word_spans
-from seriesmill.sources.tables import materialise
+from seriesmill.sources.tables import discard, materialise
 
 #: Counters of word frequencies, broadcast as one byte each.
 COUNTERS = 1 << 20
@@ -148,7 +148,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
     shingle. Two documents link where 100 * shared >= percent * union. A text without words, or null,
     has no shingle and is a component of its own. A row without doc_id links with nothing and has no
     component. Repeated rows are all returned; a doc_id with several texts stands for all of them.
-    doc_id must be a whole number; columns other than doc_id and text are not read.
+    The result is a written table. doc_id must be a whole number; columns other than doc_id and text are not read.
     """
     table = _prefix_table(docs, n, percent)
     full = table.where("size > 0 AND doc_id IS NOT NULL")
@@ -172,10 +172,15 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFr
         most = F.least(x["place"], y["place"]) + F.least(x["size"] - x["place"], y["size"] - y["place"])
         return within_reach(x, y, percent) & ((100 + percent) * most >= percent * (x["size"] + y["size"]))
 
+    discard(members)
     linked = link_lists(lists.join(sets.select("id", "sketch").dropDuplicates(["id"]), "id"), may_link, lambda pairs: _verified(pairs, sets, percent))
+    discard(lists)
     whole = equal.join(linked, "id", "left").select("sig1", "sig2", F.coalesce("component", "id").alias("component"))
     rows = table.select("doc_id", "size", "sig1", "sig2").join(whole, ["sig1", "sig2"], "left")
-    return rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    rows = rows.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"))
+    result = materialise(rows, "components")
+    discard(table, equal, sets, linked)
+    return result
 
 
 def keep_one_per_component(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
