@@ -449,6 +449,54 @@ ORACLE["allocation_of_unmatched_items"] = f"""WITH {TRAIN}, {ITEMS.replace('FROM
         SELECT store, item, ds, yhat * ratio AS yhat FROM i_fc FULL OUTER JOIN share USING (item))
     SELECT store, item, ds, {r('yhat', 'yhat')} FROM alloc"""
 
+PROMOTIONS = """promotions AS (
+        SELECT item, min(day) AS s, min(day) + 6 AS e, count(*) AS n_orders FROM (
+            SELECT CAST(o_custkey % 10 + 1 AS INTEGER) AS item, CAST(o_orderdate AS DATE) AS day, o_orderpriority AS p FROM orders)
+        GROUP BY item, date_trunc('month', day){more})"""
+ORACLE["sales_in_promotions"] = f"""WITH {sales()}, {PROMOTIONS.format(more='')}
+    SELECT sales.*, n_orders, s IS NOT NULL AS has_promotion
+    FROM sales LEFT JOIN promotions p ON p.item = sales.item AND date BETWEEN s AND least(e, last_day(s))"""
+ORACLE["overlapping_promotions"] = f"""WITH {sales()}, {PROMOTIONS.format(more=', p')}
+    SELECT date, store, sales.item, sales, count(s) AS n_promotion
+    FROM sales LEFT JOIN promotions p ON p.item = sales.item AND date BETWEEN s AND e GROUP BY ALL"""
+STRATA = f"""{sales(n_stores=10, n_items=50)}, volumes AS (
+        SELECT store, item, CAST(sum(sales) AS DOUBLE) AS volume FROM sales GROUP BY store, item),
+    bucketed AS (SELECT *, CAST(ceil(ln(volume) / ln({RATIO!r})) AS INTEGER) AS bucket FROM volumes),
+    strata AS (
+        SELECT b.*, CAST(floor(5.0 * (SELECT count(*) FROM bucketed o WHERE o.bucket < b.bucket) / (SELECT count(*) FROM bucketed)) AS INTEGER) AS stratum
+        FROM bucketed b),
+    chosen AS (SELECT * FROM strata QUALIFY row_number() OVER (PARTITION BY stratum ORDER BY md5('|' || store || '|' || item), store, item) <= 20)"""
+ORACLE["representative_sales"] = f"WITH {STRATA} SELECT sales.* FROM sales JOIN chosen USING (store, item)"
+ORACLE["representative_strata"] = f"""WITH {STRATA}, whole AS (
+        SELECT stratum, count(*) AS n_series, sum(volume) AS volume, count(*) * (max(volume) - min(volume)) AS bound FROM strata GROUP BY stratum),
+    kept AS (SELECT stratum, count(*) AS n_kept, sum(volume) AS v FROM chosen GROUP BY stratum)
+    SELECT stratum, n_series, n_kept, {r('n_series / n_kept', 'weight')}, {r('volume', 'volume')}, {r('v * n_series / n_kept', 'estimate')}, {r('bound', 'bound')}
+    FROM whole JOIN kept USING (stratum)"""
+DRIFT = f"""{GROWN}, sided AS (SELECT *, arrival_version = 3 AS late FROM grown WHERE arrival_version <= 3), long AS (
+        SELECT late, unnest(['store', 'item', 'sales', 'date']) AS c,
+               unnest([store, item, sales, date_diff('day', DATE '1970-01-01', date)]) AS v FROM sided),
+    ordered AS (
+        SELECT late, c, v, row_number() OVER (PARTITION BY late, c ORDER BY v) AS k, count(*) OVER (PARTITION BY late, c) AS n FROM long),
+    near AS (SELECT late, c, k, n, 2 * power({RATIO!r}, ceil(ln(v) / ln({RATIO!r}))) / ({RATIO!r} + 1) AS v FROM ordered WHERE c <> 'date'),
+    measured AS (
+        SELECT late, c, 'rows' AS metric, CAST(count(*) AS DOUBLE) AS v FROM long GROUP BY late, c
+        UNION ALL SELECT late, c, 'null_share', 0.0 FROM long GROUP BY late, c
+        UNION ALL SELECT late, c, 'distinct', count(DISTINCT v) FROM long WHERE c <> 'date' GROUP BY late, c
+        UNION ALL SELECT late, c, 'min', min(v) FROM long GROUP BY late, c
+        UNION ALL SELECT late, c, 'max', max(v) FROM long GROUP BY late, c
+        UNION ALL SELECT late, c, 'p5', v FROM near WHERE k = floor(0.05 * (n - 1)) + 1
+        UNION ALL SELECT late, c, 'p50', v FROM near WHERE k = floor(0.5 * (n - 1)) + 1
+        UNION ALL SELECT late, c, 'p95', v FROM near WHERE k = floor(0.95 * (n - 1)) + 1),
+    drift AS (
+        SELECT c AS "column", metric, b.v AS before, a.v AS after, CASE WHEN a.v = b.v THEN 0.0 ELSE (a.v - b.v) / abs(nullif(b.v, 0)) END AS change
+        FROM (SELECT * FROM measured WHERE NOT late) b FULL JOIN (SELECT * FROM measured WHERE late) a USING (c, metric))"""
+ORACLE["version_drift"] = f"WITH {DRIFT} SELECT \"column\", metric, {r('before', 'before')}, {r('after', 'after')}, {r('change', 'change')} FROM drift"
+ORACLE["version_drift_alerts"] = f"""WITH {DRIFT}, rules AS (
+        SELECT * FROM (VALUES ('sales', 'p50', -0.1, 0.1), ('sales', 'null_share', NULL, 0.0), ('item', 'distinct', 0.0, NULL), ('sales', 'mean', NULL, NULL)) t(c, m, l, h))
+    SELECT c AS "column", m AS metric, {r('change', 'value')}, CAST(l AS DOUBLE) AS low, CAST(h AS DOUBLE) AS high,
+           coalesce(change < l, false) OR coalesce(change > h, false) OR change IS NULL AS breached
+    FROM rules LEFT JOIN drift ON "column" = c AND metric = m"""
+
 # Forecasts that come back from the store.
 ORACLE |= {f"stored_forecast_{name}": ORACLE[f"walk_forward_{name}"] for name in ("actuals", "metrics")}
 # The grouped-map path restates the closed form.

@@ -17,7 +17,7 @@ from pyspark.sql.types import DoubleType
 from pyspark.sql.utils import AnalysisException
 
 from seriesmill.functions.dates import date_range
-from seriesmill.operators import calibrate, evaluate, explore, moments, quality
+from seriesmill.operators import calibrate, evaluate, explore, moments, periods, profiles, quality, representative
 from seriesmill.operators.allocate import allocate, shares_at, store_share
 from seriesmill.operators.forecast import ForecastSpec, forecast
 from seriesmill.operators.forecast import forecast_components as components
@@ -631,6 +631,71 @@ def enrichment_coverage(spark, folder):
     return quality.enrichment_coverage(enriched(spark, folder), ["part", "supplier", "orders"])
 
 
+def promotions(spark: SparkSession, folder: str, *by: str) -> DataFrame:
+    """A week from the first order of each month, by item and whatever else."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet").select(
+        (F.col("o_custkey") % 10 + 1).cast("int").alias("item"), F.col("o_orderdate").cast("date").alias("day"), *by
+    )
+    return orders.groupBy("item", *by, F.trunc("day", "month").alias("month")).agg(
+        F.min("day").alias("start"), F.date_add(F.min("day"), 6).alias("end"), F.count("*").alias("n_orders")
+    ).drop("month")
+
+
+@query
+def sales_in_promotions(spark, folder):
+    """Promotions end with their month, so that no two of an item overlap."""
+    weeks = promotions(spark, folder).withColumn("end", F.least("end", F.last_day("start")))
+    return periods.enrich_with_periods(daily_sales(spark, folder), periods.Periods("promotion", weeks, ("item",)))
+
+
+@query
+def overlapping_promotions(spark, folder):
+    weeks = promotions(spark, folder, "o_orderpriority")
+    return periods.count_periods(daily_sales(spark, folder), periods.Periods("promotion", weeks, ("item",)))
+
+
+def stratified(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    series = representative.series_strata(daily_sales(spark, folder, n_stores=10, n_items=50), strata=5)
+    return series, representative.representative_series(series, per_stratum=20)
+
+
+@query
+def representative_sales(spark, folder):
+    sales = daily_sales(spark, folder, n_stores=10, n_items=50)
+    return representative.representative_copy(sales, stratified(spark, folder)[1])
+
+
+@query
+def representative_strata(spark, folder):
+    return representative.stratum_report(*stratified(spark, folder))
+
+
+def drifted(spark: SparkSession, folder: str) -> DataFrame:
+    """States of the growing table are stored version by version; version 3 is compared with what came before."""
+    path = shared_folder(spark, "states")
+    grown = grown_table(spark, folder)
+    for part in (F.col(tables.VERSION) <= 2, F.col(tables.VERSION) > 2):
+        tables.save_partition(profiles.profile_state(grown.where(part), ["store", "item", "sales", "date"]), path, tables.VERSION)
+    return profiles.drift(tables.read_table(spark, path), 3).where("NOT (`column` = 'date' AND metric = 'distinct')")
+
+
+@query
+def version_drift(spark, folder):
+    """Distinct days are left out: their sketched number is near the exact one, not equal to it (tested elsewhere)."""
+    return drifted(spark, folder)
+
+
+@query
+def version_drift_alerts(spark, folder):
+    rules = [
+        quality.AlertRule("sales", "p50", low=-0.1, high=0.1),
+        quality.AlertRule("sales", "null_share", high=0),
+        quality.AlertRule("item", "distinct", low=0),
+        quality.AlertRule("sales", "mean"),
+    ]
+    return profiles.drift_alerts(drifted(spark, folder), rules)
+
+
 # Retraining by deliveries
 
 

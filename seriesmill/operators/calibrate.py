@@ -21,9 +21,14 @@ GAMMA = (1 + ERROR) / (1 - ERROR)
 OFFSET = math.ceil(-math.log(SMALLEST) / math.log(GAMMA)) + 1
 
 _RATIO = "(CAST(y AS DOUBLE) - yhat) / nullif((yhat_upper - yhat_lower) / 2, 0)"
-_BUCKET = f"""CAST(CASE WHEN abs(ratio) < {SMALLEST}D THEN 0
-    ELSE sign(ratio) * (ceil(ln(abs(ratio)) / {math.log(GAMMA)!r}D) + {OFFSET}) END AS INT)"""
-_VALUE = f"CASE WHEN bucket = 0 THEN 0.0D ELSE sign(bucket) * 2 * power({GAMMA!r}D, abs(bucket) - {OFFSET}) / ({GAMMA!r}D + 1) END"
+#: Middle of a bucket.
+BUCKET_VALUE = f"CASE WHEN bucket = 0 THEN 0.0D ELSE sign(bucket) * 2 * power({GAMMA!r}D, abs(bucket) - {OFFSET}) / ({GAMMA!r}D + 1) END"
+
+
+def bucket_sql(number: str) -> str:
+    """The bucket of a finite number, as SQL."""
+    return f"""CAST(CASE WHEN abs({number}) < {SMALLEST}D THEN 0
+        ELSE sign({number}) * (ceil(ln(abs({number})) / {math.log(GAMMA)!r}D) + {OFFSET}) END AS INT)"""
 
 
 def residual_sketch(pairs: DataFrame) -> DataFrame:
@@ -32,7 +37,7 @@ def residual_sketch(pairs: DataFrame) -> DataFrame:
     Pairs without a value, a forecast or a margin are left out.
     """
     steps = pairs.selectExpr("datediff(ds, training_date) AS step", f"{_RATIO} AS ratio").where("ratio IS NOT NULL AND NOT isnan(ratio)")
-    return steps.selectExpr("step", f"{_BUCKET} AS bucket").groupBy("step", "bucket").agg(F.count("*").alias("n"))
+    return steps.selectExpr("step", f"{bucket_sql('ratio')} AS bucket").groupBy("step", "bucket").agg(F.count("*").alias("n"))
 
 
 def merge_sketches(sketches: DataFrame) -> DataFrame:
@@ -51,7 +56,7 @@ def sketch_quantiles(sketch: DataFrame, level: float = 0.95) -> DataFrame:
         "step", "bucket", "n",
         F.sum("n").over(by_bucket).alias("below"),
         F.sum("n").over(Window.partitionBy("step")).alias("total"),
-    ).withColumn("value", F.expr(_VALUE))
+    ).withColumn("value", F.expr(BUCKET_VALUE))
     rank = F.greatest(F.floor(F.lit(share) * F.col("total")), F.lit(0)) + 1  # from either end
     return counted.groupBy("step").agg(
         F.min(F.when(F.col("below") >= rank, F.struct("bucket", "value")))["value"].alias("lower"),
