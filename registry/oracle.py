@@ -501,6 +501,7 @@ ORACLE["version_drift_alerts"] = f"""WITH {DRIFT}, rules AS (
 ORACLE |= {f"stored_forecast_{name}": ORACLE[f"walk_forward_{name}"] for name in ("actuals", "metrics")}
 # The grouped-map path restates the closed form.
 ORACLE |= {f"grouped_map_{name}": ORACLE[f"series_{name}"] for name in ("forecast", "forecast_500")}
+ORACLE["grouped_map_walk_forward_by_cost"] = ORACLE["grouped_map_walk_forward"]
 # The aggregates of the clean layer are the plain ones over the corrected sales.
 ORACLE |= {
     f"layered_{name}": ORACLE[name].replace(f"WITH {sales()}", f"WITH {CORRECTED}, sales AS (SELECT * FROM newest)", 1)

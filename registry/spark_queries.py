@@ -783,3 +783,15 @@ def grouped_map_walk_forward(spark, folder):
         weekday_mean_model,
         cutoffs=CUTOFFS,
     )
+
+
+@query
+def grouped_map_walk_forward_by_cost(spark, folder):
+    return grouped_forecast(
+        daily_sales(spark, folder, end="2001-10-07"),
+        ["store", "item"],
+        walk_forward.NEXT_DAY,
+        weekday_mean_model,
+        cutoffs=CUTOFFS,
+        cost="n",
+    )

@@ -25,6 +25,7 @@ from seriesmill.operators.forecast import (
     task_count,
     up_to_cutoffs,
 )
+from seriesmill.operators.placement import TASK, place_by_cost
 
 # (history with ds and y by day, days to predict, settings) -> ds, yhat, yhat_lower, yhat_upper
 FitPredict = Callable[[pd.DataFrame, pd.DatetimeIndex, ForecastSpec], pd.DataFrame]
@@ -39,11 +40,16 @@ def grouped_forecast(
     n_partitions: int | None = None,
     cutoffs: Sequence[dt.date | str] | None = None,
     literals: Mapping[str, object] | None = None,
+    cost: str | None = None,
 ) -> DataFrame:
     """Run ``fit_predict`` once per series (and cutoff): keys, ds, yhat, yhat_lower, yhat_upper.
 
     ``literals`` are settings by name that ride along as constant grouping columns and replace
     those of ``spec`` inside the task; they are not part of the result.
+
+    Series are spread by hash, all cutoffs of one in one task. ``cost``, as SQL over ``n`` (days of a series up to
+    its cutoff), spreads series and cutoffs one by one so that tasks cost about the same; it pays where few series
+    cost much more than others, since rows are then moved once per cutoff.
     """
     n_partitions = n_partitions or task_count(sales.sparkSession)
     # Neutral names in between, so that a key may be called like a column used inside.
@@ -54,10 +60,13 @@ def grouped_forecast(
     obs = observations(sales, keys).withColumn("y", F.col("y").cast("double"))
     group = list(keys)
     if cutoffs is None:
-        obs = obs.repartition(n_partitions, *keys)
+        obs = obs.repartition(n_partitions, *keys) if cost is None else obs
     else:
         obs = up_to_cutoffs(obs, keys, cutoffs, n_partitions)
         group = ["training_date", *keys]
+    task = []
+    if cost is not None:
+        obs, task = place_by_cost(obs, group, n_partitions, cost), [TASK]
     names = list(literals or {})
     schema = StructType(
         [obs.schema[g] for g in group]
@@ -66,6 +75,7 @@ def grouped_forecast(
     )
 
     def one_series(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        key = key[len(task):]
         settings = dataclasses.replace(spec, **dict(zip(names, key[len(group):])))
         history = rows[["ds", "y"]].assign(ds=pd.to_datetime(rows["ds"])).sort_values("ds", ignore_index=True)
         first = pd.Timestamp(key[0]) if settings.origin == "cutoff" else history["ds"].iloc[-1]
@@ -79,7 +89,7 @@ def grouped_forecast(
         return out
 
     constants = [F.lit(value).alias(name) for name, value in (literals or {}).items()]
-    out = obs.groupBy(*group, *constants).applyInPandas(one_series, schema)
+    out = obs.groupBy(*task, *group, *constants).applyInPandas(one_series, schema)
     return out.withColumnsRenamed(dict(zip(keys, outer)))
 
 
