@@ -133,7 +133,7 @@ def _blocks(bench: DataFrame, window: int) -> list:
     """The benchmark as broadcasts of at most about ``BLOCK_WORDS`` words, read one block at a time."""
     context = bench.sparkSession.sparkContext
     rows = bench.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text IS NOT NULL")
-    sized = rows.withColumn("words", F.size(F.split("text", "[^0-9A-Za-z]+")))
+    sized = rows.withColumn("words", F.regexp_count("text", F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")))
     total = sized.agg(F.sum("words")).first()[0] or 0
     number = -(-total // BLOCK_WORDS) or 1
     out = []

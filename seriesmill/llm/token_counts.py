@@ -5,13 +5,15 @@ that overlap. Near its cut a chunk may be tokenized wrongly, so two neighbours a
 boundary that is proven stable: a word starts there after white space in both encodings (words are
 split at white space before anything is merged, so nothing left of it can change what follows), and
 the whole word before it has the same ids at the same offsets in both. Where an overlap has no such
-boundary it is doubled, and in the end the two chunks become one.
+boundary it is doubled, and in the end the two chunks become one that goes on to the next white space,
+so that a run without any is encoded once, however long it is.
 
 Other documents are encoded by distinct segments, see ``segments``.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,6 +25,7 @@ from seriesmill.llm.segments import segment_encoder
 from seriesmill.llm.spans import slices
 
 _WHITE = " \t\n\r\x0b\x0c"
+_GAP = re.compile(f"[{_WHITE}]+")
 CHUNK, OVERLAP = 16_384, 256
 #: Texts of more bytes than this go through overlapping chunks.
 HUGE_BYTES = 32_768
@@ -74,12 +77,15 @@ def count_in_chunks(text: str, tokenizer, chunk: int = CHUNK, overlap: int = OVE
             if left is None:
                 left = right
                 continue
+            if right.end <= left.end:
+                continue  # a joined chunk reaches beyond this one; the first that ends behind it overlaps it
             width, at = overlap, _splice_point(left, right)
             while at is None or at < done:
                 width *= 2
                 if left.end - width <= done:
-                    # Nothing to hold on to: both chunks become one, from the last splice on.
-                    right, at = encode([(done, right.end)])[0], done
+                    # Nothing to hold on to: both chunks become one, from the last splice to behind the next gap.
+                    gap = _GAP.search(text, right.end)
+                    right, at = encode([(done, min(n, gap.end() + overlap) if gap else n)])[0], done
                     break
                 right = encode([(left.end - width, right.end)])[0]
                 at = _splice_point(left, right)
