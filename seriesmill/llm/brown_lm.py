@@ -13,9 +13,11 @@ undone and tried with fewer words at once. Rounds go on until one raises the lik
 the class bigrams by less than ``TOLERANCE``. A word that training text does not have takes the class
 that most training words of its ending have.
 
-The counts of a word's neighbours meet in one task by word, one row per word and block; the task chooses
-with nothing but the bigrams of classes at hand, and sends the moves back to the blocks that have the
-word. Only these bigrams, of fixed size, and the classes of endings reach the driver.
+Which words stand beside each word is counted once, first in blocks, and dealt to parts by word: a table
+that stays where it is. A part keeps the class of every word that it has, chooses for its own words
+with nothing but the bigrams of classes at hand, and sends those that move, as a hash and a class, to
+the parts where they are neighbours. A frequent word lies in all parts; its counts of classes are summed and it is
+moved by the driver, which has these, the bigrams and the classes of endings, all of fixed size.
 
 Text is read into blocks of documents with the block's own vocabulary. Word counts are summed by word
 and return to each block as numbers in the order of its vocabulary, so that scoring needs no table of
@@ -30,27 +32,28 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark import StorageLevel, TaskContext
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from seriesmill.llm.spans import LOWER, SPACED, U, mix, slices, span_hashes, word_spans
-from seriesmill.sources.tables import materialise
+from seriesmill.session import shared_folder
+from seriesmill.sources.tables import discard, materialise
 
 ENDINGS, CLASSES = 4096, 64
 #: The end of a text and what stands before its first word, each a class of its own.
 END_CLASS, START_CLASS = CLASSES, CLASSES + 1
 WIDE = CLASSES + 2
-#: Neighbours of a word in a block: class before, or WIDE and the class behind, and how often.
-CELL = np.dtype([("cell", "u1"), ("n", "<u4")])
-MOVE = np.dtype([("place", "<u4"), ("class", "u1")])
+MOVE = np.dtype([("word", "<i8"), ("class", "u1")])
+#: A word with more than one in FREQUENT of all tokens, as blocks where it is frequent count it, is spread over all parts.
+FREQUENT = 128
 #: A round that raises the mean log-likelihood of a token (natural logarithm) by less than this is the last.
 TOLERANCE = 0.002
 #: Words of a half that move at once: all, or a quarter as many after moves that lower the likelihood together, down to this share.
 LEAST_SHARE = 1 / 16
 ADD = 0.1
 BLOCK_BYTES = 8 << 20
-END_HASH = np.int64(0x454E44)
+END_HASH, START_HASH = np.int64(0x454E44), np.int64(0x535441)
 
 
 def held_out_document(doc_id) -> F.Column:
@@ -93,7 +96,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
             for first, data, at in slices(batch.column(2), BLOCK_BYTES):
                 rows = len(at) - 1
                 keys, endings, row = [], [], []
-                for low, part, inner in _parts(data, at):
+                for low, part, inner in _runs(data, at):
                     lower = LOWER[part]
                     starts, ends, of = word_spans(lower, inner, SPACED)
                     keys.append(span_hashes(lower, starts, ends).view(np.int64))
@@ -120,7 +123,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "trains", "text").mapInArrow(build, schema)
 
 
-def _parts(data: np.ndarray, at: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _runs(data: np.ndarray, at: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of a slice."""
     first, rows = 0, len(at) - 1
     while first < rows:
@@ -142,165 +145,296 @@ def _sequence(words: np.ndarray, lengths: np.ndarray, end: int) -> tuple[np.ndar
     return tokens, first
 
 
-def _classes(batch: pa.RecordBatch, k: int) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("classes")[k].as_py()), np.uint8).astype(np.int64)
+def start_class(words: np.ndarray) -> np.ndarray:
+    """An even spread over all classes."""
+    return (mix(words.astype(U) + U(3)) % U(CLASSES)).astype(np.int64)
+
+
+def _in_turn(words: np.ndarray, half: int, share: float, turn: int) -> np.ndarray:
+    """Which words may move: those of a half, or another share of them each turn."""
+    spread = mix(words.view(U) + U(7))
+    return (spread % U(2) == half) & ((mix(spread + U(turn)) >> U(44)).astype(float) < share * (1 << 20)) & (words != END_HASH) & (words != START_HASH)
 
 
-def _binaries(values: np.ndarray, first: np.ndarray) -> pa.Array:
-    """A row of bytes for each run of values that begins at ``first``."""
-    at = (np.append(first, len(values)) * values.dtype.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(at), pa.py_buffer(values.tobytes())])
+def _partitions(spark) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _stored(block: int, classes: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(classes.astype(np.uint8).tobytes())], pa.binary())], ["block", "classes"])
+def delete_folder(spark, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def start_class(words: np.ndarray) -> np.ndarray:
-    """An even spread over all classes."""
-    return (mix(words.astype(U) + U(3)) % U(CLASSES)).astype(np.int64)
+def _part_keys(spark, n: int) -> np.ndarray:
+    """For each of ``n`` partitions one number that hash partitioning sends there."""
+    found = spark.range(32 * n).groupBy(F.pmod(F.hash("id"), F.lit(n)).alias("partition")).agg(F.min("id").alias("key")).orderBy("partition").toArrow()
+    return found["key"].to_numpy()
 
 
-def _first_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k, block in enumerate(batch.column("block").to_pylist()):
-            classes = start_class(_values(batch.column("vocabulary"), k))
-            classes[-1] = END_CLASS
-            yield _stored(block, classes)
+def _home(words: np.ndarray, parts: int) -> np.ndarray:
+    return (mix(words.view(U) + U(11)) % U(parts)).astype(np.int64)
+
+
+def _frequent_words(blocks: DataFrame) -> np.ndarray:
+    """Hashes in order: the end of a text, and words that blocks where they are frequent make frequent in all; at most FREQUENT + 1.
+
+    A word with more than two in FREQUENT of all training tokens is surely one of them.
+    """
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words, n = _values(batch.column("vocabulary"), k), _values(batch.column("counts"), k)
+                often = np.flatnonzero(n * FREQUENT > n.sum())
+                yield pa.RecordBatch.from_arrays([pa.array(words[often]), pa.array(n[often])], ["word", "n"])
+
+    tokens = blocks.select(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n")).agg(F.sum("n")).first()[0] or 0
+    counted = blocks.select("vocabulary", "counts").mapInArrow(emit, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    return np.unique(np.append(counted.where(F.col("n") * FREQUENT > tokens).select("word").toArrow()["word"].to_numpy(), END_HASH))
+
+
+_EDGES = "part bigint, words binary, own binary, beside binary, n binary"
+
+
+def _edge_row(part: int, words: np.ndarray, own: np.ndarray, beside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    row = [words.tobytes(), *map(_packed, (own, beside, n))]
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], ["part", "words", "own", "beside", "n"])
+
 
+def _edges_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
+    """Words in order; of each edge the place of the word, twice that of the one beside it and 1 if that is behind, and how often."""
+    words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
+    return words, *(_unpacked(batch.column(c)[k].as_py()) for c in ("own", "beside", "n"))
 
-def _training(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
-    """Classes by place; of the training tokens: place, place before, which are first, class, class before."""
-    classes, lengths = _classes(batch, k), _values(batch.column("lengths"), k)
-    tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, len(classes) - 1)
-    train = np.repeat(_values(batch.column("trains"), k), lengths + 1)
-    own, last = classes[tokens], np.append(0, tokens[:-1])
-    before = np.where(first, START_CLASS, classes[last])
-    return classes, *(x[train] for x in (tokens, last, first, own, before))
 
+def _parts(blocks: DataFrame, keys: np.ndarray, frequent: np.ndarray) -> tuple[DataFrame, str, str]:
+    """A table of every training word with what stands beside it, a row per part, stored by part; its name and folder.
 
-def _bigrams(blocks: DataFrame) -> np.ndarray:
-    """Class bigrams of the training text; rows: class before."""
+    A word lies in one part with all its neighbours, but a frequent one, and the end of a text, in that
+    of each neighbour. Pairs of words are counted in each block before they are sent.
+    """
+    spark = blocks.sparkSession
+    number = _partitions(spark)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                vocabulary, lengths = _values(batch.column("vocabulary"), k), _values(batch.column("lengths"), k)
+                start = len(vocabulary)
+                tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, start - 1)
+                last = np.append(start, tokens[:-1])
+                last[first] = start
+                train = np.repeat(_values(batch.column("trains"), k), lengths + 1)
+                pairs, n = np.unique(last[train].astype(np.int64) * (start + 1) + tokens[train], return_counts=True)
+                left, right = np.divmod(pairs, start + 1)
+                words = np.append(vocabulary, START_HASH)
+                order = np.argsort(words)
+                words, rank = words[order], np.argsort(order)
+                left, right, start = rank[left], rank[right], rank[start]
+                behind = left != start
+                own, beside, n = np.append(right, left[behind]), np.append(2 * left, 2 * right[behind] + 1), np.append(n, n[behind])
+                home = _home(words, len(keys))
+                part = np.where(np.isin(words, frequent)[own], home[beside >> 1], home[own])
+                by_part = np.argsort(part, kind="stable")
+                own, beside, n = own[by_part], beside[by_part], n[by_part]
+                bounds = np.searchsorted(part[by_part], np.arange(len(keys) + 1))
+                place = np.zeros(len(words), np.int64)
+                for p in np.flatnonzero(np.diff(bounds)):
+                    a, b = bounds[p], bounds[p + 1]
+                    used = np.zeros(len(words), bool)
+                    used[own[a:b]] = used[beside[a:b] >> 1] = True
+                    here = np.flatnonzero(used)
+                    place[here] = np.arange(len(here))
+                    yield _edge_row(keys[p], words[here], place[own[a:b]], 2 * place[beside[a:b] >> 1] + (beside[a:b] & 1), n[a:b])
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: dict[int, list[pa.RecordBatch]] = {}
+        for batch in batches:
+            for k, part in enumerate(batch.column("part").to_pylist()):
+                pieces.setdefault(part, []).append(batch.slice(k, 1))
+        for part, rows in pieces.items():
+            words = np.unique(np.concatenate([np.frombuffer(r.column("words")[0].as_buffer(), np.int64) for r in rows]))
+            keyed, numbers = [], []
+            for r in rows:
+                there, own, beside, n = _edges_of(r, 0)
+                place = np.searchsorted(words, there)
+                keyed.append(place[own] * (2 * len(words)) + 2 * place[beside >> 1] + (beside & 1))
+                numbers.append(n)
+            edges, which = np.unique(np.concatenate(keyed), return_inverse=True)
+            own, beside = np.divmod(edges, 2 * len(words))
+            yield _edge_row(part, words, own, beside, np.bincount(which, np.concatenate(numbers)).astype(np.int64))
+
+    sent = blocks.select("trains", "lengths", "words", "vocabulary").mapInArrow(send, _EDGES)
+    path = shared_folder(spark, "word-neighbours")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    gathered = sent.repartition(number, "part").mapInArrow(gather, _EDGES)
+    gathered.write.format("parquet").bucketBy(number, "part").sortBy("part").option("path", path).saveAsTable(name)
+    return spark.table(name), name, path
+
+
+def _stored(part: int, classes: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(classes.astype(np.uint8).tobytes())], pa.binary())], ["part", "classes"])
+
+
+def _classes(batch: pa.RecordBatch, k: int) -> np.ndarray:
+    return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("classes")[k].as_py()), np.uint8).astype(np.int64)
+
+
+def _first_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for k, part in enumerate(batch.column("part").to_pylist()):
+            words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
+            yield _stored(part, np.select([words == END_HASH, words == START_HASH], [END_CLASS, START_CLASS], start_class(words)))
+
+
+def _tally(at: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Class bigrams of the training text (rows: class before), and for each frequent word the classes before and behind it."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WIDE * WIDE, np.int64)
+        total = np.zeros(WIDE * WIDE + len(frequent) * 2 * WIDE, np.int64)
         for batch in batches:
             for k in range(batch.num_rows):
-                *_, own, before = _training(batch, k)
-                total += np.bincount(before * WIDE + own, minlength=WIDE * WIDE)
+                words, own, beside, n = _edges_of(batch, k)
+                classes = _classes(batch, k)
+                near, before = classes[beside >> 1], beside & 1 == 0
+                total[: WIDE * WIDE] += np.bincount(near[before] * WIDE + classes[own[before]], n[before], WIDE * WIDE).astype(np.int64)
+                at_word = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
+                often = (frequent[at_word] == words)[own]
+                cell = (at_word[own[often]] * 2 + (beside[often] & 1)) * WIDE + near[often]
+                total[WIDE * WIDE :] += np.bincount(cell, n[often], len(frequent) * 2 * WIDE).astype(np.int64)
         cells = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
 
-    table = blocks.select("trains", "lengths", "words", "classes").mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(WIDE * WIDE)
+    table = at.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out = np.zeros(WIDE * WIDE + len(frequent) * 2 * WIDE)
     out[table["cell"].to_numpy()] = table["n"].to_numpy()
-    return out.reshape(WIDE, WIDE)
+    return out[: WIDE * WIDE].reshape(WIDE, WIDE), out[WIDE * WIDE :].reshape(-1, 2, WIDE)
 
 
-def _neighbours(blocks: DataFrame, half: int, share: float = 1, turn: int = 0) -> DataFrame:
-    """word, block, place, own (class), cells for every training word of a half and block, or another share of them each turn."""
+def _empty_classes(bigrams: np.ndarray) -> np.ndarray:
+    """A class of its own would suit every word, so that all words at once would leave for an empty one."""
+    return ~bigrams[:CLASSES].any(axis=1)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, block in enumerate(batch.column("block").to_pylist()):
-                vocabulary = _values(batch.column("vocabulary"), k)
-                classes, tokens, last, first, own, before = _training(batch, k)
-                spread_words = mix(vocabulary.view(U) + U(7))
-                moves = (spread_words % U(2) == half) & ((mix(spread_words + U(turn)) >> U(44)).astype(float) < share * (1 << 20))
-                moves[-1] = False
-                left, right = moves[tokens], moves[last] & ~first
-                keys = np.append(tokens[left] * (2 * WIDE) + before[left], last[right].astype(np.int64) * (2 * WIDE) + WIDE + own[right])
-                keys, n = np.unique(keys, return_counts=True)
-                place, at = np.unique(keys // (2 * WIDE), return_index=True)
-                cells = np.zeros(len(keys), CELL)
-                cells["cell"], cells["n"] = keys % (2 * WIDE), n
-                yield pa.RecordBatch.from_arrays([pa.array(vocabulary[place]), pa.array(np.full(len(place), block)), pa.array(place.astype(np.int32)), pa.array(classes[place].astype(np.int16)), _binaries(cells, at)], ["word", "block", "place", "own", "cells"])
-
-    return blocks.select("block", "trains", "lengths", "words", "vocabulary", "classes").mapInArrow(spread, "word bigint, block bigint, place int, own smallint, cells binary")
-
-
-def _moves(neighbours: DataFrame, bigrams: np.ndarray) -> DataFrame:
-    """block, moves of the words that change their class; all rows of a word meet in one task."""
-    spark = neighbours.sparkSession
-    shared = spark.sparkContext.broadcast(bigrams)
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = pa.Table.from_batches(list(batches)) if (batches := list(batches)) else None
-        if table is None or not table.num_rows:
-            return
-        word, block, place, own = (table[c].to_numpy() for c in ("word", "block", "place", "own"))
-        lengths = np.concatenate([np.diff(np.frombuffer(c.buffers()[1], np.int32)[c.offset : c.offset + len(c) + 1]) for c in table["cells"].chunks]) // CELL.itemsize
-        cells = np.concatenate([np.frombuffer(b"".join(c.to_pylist()), CELL) for c in table["cells"].chunks])
-        words, one, which = np.unique(word, return_index=True, return_inverse=True)
-        of = np.repeat(which, lengths)
-        order = np.argsort(of, kind="stable")
-        of, cells = of[order], cells[order]
-        new = np.zeros(len(words), np.int64)
-        # A class of its own would suit every word, so that all words at once would leave for an empty one.
-        empty = ~shared.value[:CLASSES].any(axis=1)
-        for k in range(0, len(words), 1024):
-            a, b = np.searchsorted(of, [k, k + 1024])
-            size = min(1024, len(words) - k)
-            counts = np.bincount((of[a:b] - k) * (2 * WIDE) + cells["cell"][a:b], cells["n"][a:b], size * 2 * WIDE).reshape(size, 2, WIDE)
-            new[k : k + size] = best_classes(counts[:, 0], counts[:, 1], own[one[k : k + size]].astype(np.int64), shared.value, empty)
-        changed = np.flatnonzero(new[which] != own)
-        changed = changed[np.argsort(block[changed], kind="stable")]
-        to, at = np.unique(block[changed], return_index=True)
-        moves = np.zeros(len(changed), MOVE)
-        moves["place"], moves["class"] = place[changed], new[which[changed]]
-        yield pa.RecordBatch.from_arrays([pa.array(to), _binaries(moves, at)], ["block", "moves"])
-
-    return neighbours.repartition(_partitions(spark), "word").mapInArrow(choose, "block bigint, moves binary")
 
+def _moves(at: DataFrame, bigrams: np.ndarray, keys: np.ndarray, frequent: np.ndarray, half: int, share: float, turn: int) -> DataFrame:
+    """part, moves of the words that change their class, for each part that has them."""
+    shared = at.sparkSession.sparkContext.broadcast(bigrams)
 
-def _partitions(spark) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = _empty_classes(shared.value)
+        for batch in batches:
+            for k, part in enumerate(batch.column("part").to_pylist()):
+                words, own, beside, n = _edges_of(batch, k)
+                classes = _classes(batch, k)
+                here = int(np.flatnonzero(keys == part)[0])
+                home, often = _home(words, len(keys)), np.isin(words, frequent)
+                movers = np.flatnonzero((home == here) & ~often & _in_turn(words, half, share, turn))
+                new = classes.copy()
+                for low in range(0, len(movers), 1024):
+                    some = movers[low : low + 1024]
+                    a, b = np.searchsorted(own, [some[0], some[-1] + 1])
+                    row = np.full(some[-1] + 1 - some[0], -1)
+                    row[some - some[0]] = np.arange(len(some))
+                    row = row[own[a:b] - some[0]]
+                    used = row >= 0
+                    near = beside[a:b][used]
+                    cell = (row[used] * 2 + (near & 1)) * WIDE + classes[near >> 1]
+                    counts = np.bincount(cell, n[a:b][used], len(some) * 2 * WIDE).reshape(-1, 2, WIDE)
+                    new[some] = best_classes(counts[:, 0], counts[:, 1], classes[some], shared.value, empty)
+                changed = new != classes
+                # Edges go both ways: who stands beside a word has it among its own neighbours. Frequent words have it here; the start of a text has none.
+                to = np.where(often | (words == START_HASH), here, home)
+                edges = np.flatnonzero(changed[own])
+                sent = np.unique(np.append(to[beside[edges] >> 1] * len(words) + own[edges], here * len(words) + np.flatnonzero(changed)))
+                target, place = np.divmod(sent, len(words))
+                moves = np.zeros(len(sent), MOVE)
+                moves["word"], moves["class"] = words[place], new[place]
+                target, first = np.unique(target, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[target]), pa.array([x.tobytes() for x in np.split(moves, first[1:])] if len(first) else [], pa.binary())], ["part", "moves"])
+
+    return at.mapInArrow(choose, "part bigint, moves binary")
+
+
+def _moved(words: DataFrame, state: DataFrame, moves: DataFrame, frequent: np.ndarray, own: np.ndarray) -> DataFrame:
+    """part, classes of the next state; ``own`` are the classes of the frequent words there."""
 
-def _moved(state: DataFrame, moves: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, block in enumerate(batch.column("block").to_pylist()):
-                classes = _classes(batch, k)
+            for k, part in enumerate(batch.column("part").to_pylist()):
+                words, classes = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64), _classes(batch, k)
                 for data in batch.column("moves")[k].as_py() or ():
                     moves = np.frombuffer(data, MOVE)
-                    classes[moves["place"]] = moves["class"]
-                yield _stored(block, classes)
+                    classes[np.searchsorted(words, moves["word"])] = moves["class"]
+                at = np.minimum(np.searchsorted(words, frequent), len(words) - 1)
+                hit = words[at] == frequent
+                classes[at[hit]] = own[hit]
+                yield _stored(part, classes)
 
-    # At most one row for each block and task; block numbers are unique, so that no key is large.
-    gathered = moves.groupBy("block").agg(F.collect_list("moves").alias("moves"))
-    return materialise(state.join(gathered, "block", "left").mapInArrow(apply, "block bigint, classes binary"), "word-classes")
+    # At most one row from each part; all moves of a part are fewer than its words.
+    gathered = moves.groupBy("part").agg(F.collect_list("moves").alias("moves"))
+    return materialise(words.join(state, "part").join(gathered, "part", "left").mapInArrow(apply, "part bigint, classes binary"), "word-classes")
 
 
 def exchange(blocks: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """block and classes by place, and the class bigrams, of the greatest likelihood that was reached.
+    """word and class of every training word, and the class bigrams, of the greatest likelihood that was reached.
 
-    The blocks are dealt by number once and stay so on local disks; what is lost is dealt again.
+    The neighbours of words are counted and dealt to parts once, in a table of the shared folder that is
+    stored by part; a turn reads it there and moves nothing but classes.
     """
     spark = blocks.sparkSession
-    state = materialise(blocks.select("block", "vocabulary").mapInArrow(_first_classes, "block bigint, classes binary"), "word-classes")
-    dealt = blocks.select("block", "trains", "lengths", "words", "vocabulary").repartition(_partitions(spark), "block").persist(StorageLevel.DISK_ONLY)
-    at = dealt.join(state, "block")
-    bigrams = _bigrams(at)
+    keys, frequent = _part_keys(spark, _partitions(spark)), _frequent_words(blocks)
+    parts, name, path = _parts(blocks, keys, frequent)
+    try:
+        state, own, bigrams = _exchanged(parts, keys, frequent)
+
+        def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k, part in enumerate(batch.column("part").to_pylist()):
+                    words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
+                    single = (keys[_home(words, len(keys))] == part) & ~np.isin(words, frequent) & (words != START_HASH)
+                    yield pa.RecordBatch.from_arrays([pa.array(words[single]), pa.array(_classes(batch, k)[single].astype(np.int16))], ["word", "class"])
+
+        single = parts.select("part", "words").join(state, "part").mapInArrow(listed, "word bigint, class smallint")
+        others = spark.createDataFrame([(int(w), int(c)) for w, c in zip(frequent, own)], "word bigint, class smallint")
+        found = materialise(single.union(others), "classes-of-words")
+        discard(state)
+        return found, bigrams
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        delete_folder(spark, path)
+
+
+def _exchanged(parts: DataFrame, keys: np.ndarray, frequent: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """State by part, classes of the frequent words, class bigrams."""
+    words = parts.select("part", "words")
+    state = materialise(words.mapInArrow(_first_classes, "part bigint, classes binary"), "word-classes")
+    own = np.where(frequent == END_HASH, END_CLASS, start_class(frequent))
+    bigrams, beside = _tally(parts.join(state, "part"), frequent)
     most = before = class_information(bigrams)
     half, share, turn = 0, 1.0, 0
-    while True:
+    while bigrams.any():
         turn += 1
-        moved = _moved(state, _moves(_neighbours(at, half, share, turn), bigrams))
-        there = dealt.join(moved, "block")
-        found = _bigrams(there)
+        at = parts.join(state, "part")
+        movers = np.flatnonzero(_in_turn(frequent, half, share, turn))
+        next_own = own.copy()
+        next_own[movers] = best_classes(beside[movers, 0], beside[movers, 1], own[movers], bigrams, _empty_classes(bigrams))
+        moved = _moved(words, state, _moves(at, bigrams, keys, frequent, half, share, turn), frequent, next_own)
+        found, around = _tally(parts.join(moved, "part"), frequent)
         if (now := class_information(found)) > most:
-            state, at, bigrams, most = moved, there, found, now
-        elif share > LEAST_SHARE:
-            # Together the moves did harm: none of them is made, and fewer words move at once.
-            share /= 4
-            continue
+            discard(state)
+            state, own, bigrams, beside, most = moved, next_own, found, around, now
+        else:
+            discard(moved)
+            if share > LEAST_SHARE:
+                # Together the moves did harm: none of them is made, and fewer words move at once.
+                share /= 4
+                continue
         if half:
             if most - before < TOLERANCE:
-                dealt.unpersist()
-                return state, bigrams
+                break
             before = most
         half, share = 1 - half, 1.0
+    return state, own, bigrams
 
 
 def _entropy(n: np.ndarray) -> np.ndarray:
@@ -373,7 +507,7 @@ def score_texts(docs: DataFrame) -> DataFrame:
     return _score(blocks, *exchange(blocks))
 
 
-def _word_counts(blocks: DataFrame, state: DataFrame) -> DataFrame:
+def _word_counts(blocks: DataFrame, classes: DataFrame) -> DataFrame:
     """word, n, ending, class of every training word, the end of a text included."""
 
     def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -381,10 +515,11 @@ def _word_counts(blocks: DataFrame, state: DataFrame) -> DataFrame:
             for k in range(batch.num_rows):
                 word, n, ending = (_values(batch.column(c), k) for c in ("vocabulary", "counts", "endings"))
                 used = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(x[used]) for x in (word, n, ending, _classes(batch, k).astype(np.int16))], ["word", "n", "ending", "class"])
+                yield pa.RecordBatch.from_arrays([pa.array(x[used]) for x in (word, n, ending)], ["word", "n", "ending"])
 
-    rows = blocks.select("block", "vocabulary", "counts", "endings").join(state, "block").mapInArrow(unfold, "word bigint, n bigint, ending smallint, class smallint")
-    return materialise(rows.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"), F.max("class").alias("class")), "word-counts")
+    rows = blocks.select("vocabulary", "counts", "endings").mapInArrow(unfold, "word bigint, n bigint, ending smallint")
+    summed = rows.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"))
+    return materialise(summed.join(classes, "word"), "word-counts")
 
 
 def _ending_classes(totals: DataFrame) -> np.ndarray:
@@ -395,9 +530,9 @@ def _ending_classes(totals: DataFrame) -> np.ndarray:
     return np.where(votes.any(axis=1), votes.argmax(axis=1), start_class(np.arange(ENDINGS)))
 
 
-def _score(blocks: DataFrame, state: DataFrame, bigrams: np.ndarray) -> DataFrame:
+def _score(blocks: DataFrame, classes: DataFrame, bigrams: np.ndarray) -> DataFrame:
     spark = blocks.sparkSession
-    totals = _word_counts(blocks, state)
+    totals = _word_counts(blocks, classes)
     # For each class the training tokens and distinct words.
     sums = totals.groupBy("class").agg(F.sum("n").alias("tokens"), F.count("*").alias("types")).toArrow()
     emitted, kinds = np.zeros(WIDE), np.zeros(WIDE)
@@ -411,12 +546,12 @@ def _score(blocks: DataFrame, state: DataFrame, bigrams: np.ndarray) -> DataFram
     tables = spark.sparkContext.broadcast((moves, np.log10(emitted + ADD * (kinds + 1)), _ending_classes(totals)))
     base_below = np.log10(train_tokens + ADD * (types + 1))
 
-    # A block hears of a word where training text of other blocks has it, too.
-    words = blocks.select("block", F.posexplode(F.arrays_zip("vocabulary", "counts")).alias("place", "w")).select("block", "place", F.col("w.vocabulary").alias("word"), F.col("w.counts").alias("own"))
-    found = words.join(totals.select("word", "n", "class"), "word").where("n <> own")
+    # A block hears of every word that training text has.
+    words = blocks.select("block", F.posexplode("vocabulary").alias("place", "word"))
+    found = words.join(totals.select("word", "n", "class"), "word")
     returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n", "class")).alias("known"))
     # Block numbers are unique, so that no key is large.
-    joined = blocks.drop("vocabulary").join(state, "block").join(returned, "block", "left")
+    joined = blocks.drop("vocabulary", "counts").join(returned, "block", "left")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
 
@@ -424,8 +559,8 @@ def _score(blocks: DataFrame, state: DataFrame, bigrams: np.ndarray) -> DataFram
         moves, below, by_ending = tables.value
         for batch in batches:
             for k in range(batch.num_rows):
-                n = _values(batch.column("counts"), k).astype(float)
-                own = np.where(n > 0, _classes(batch, k), by_ending[_values(batch.column("endings"), k)])
+                own = by_ending[_values(batch.column("endings"), k)]
+                n = np.zeros(len(own))
                 known = batch.column("known")[k].values
                 if known is not None:
                     place = np.asarray(known.field("place"))
