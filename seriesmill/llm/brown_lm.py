@@ -38,13 +38,12 @@ from pyspark.sql import functions as F
 
 from seriesmill.llm.spans import LOWER, SPACED, U, mix, slices, span_hashes, word_spans
 from seriesmill.session import shared_folder
-from seriesmill.sources.tables import discard, materialise
+from seriesmill.sources.tables import discard, materialise, same_folder
 
 ENDINGS, CLASSES = 4096, 64
 #: The end of a text and what stands before its first word, each a class of its own.
 END_CLASS, START_CLASS = CLASSES, CLASSES + 1
 WIDE = CLASSES + 2
-MOVE = np.dtype([("word", "<i8"), ("class", "u1")])
 #: A word with more than one in FREQUENT of all tokens, as blocks where it is frequent count it, is spread over all parts.
 FREQUENT = 128
 #: A round that raises the mean log-likelihood of a token (natural logarithm) by less than this is the last.
@@ -53,6 +52,10 @@ TOLERANCE = 0.002
 LEAST_SHARE = 1 / 16
 ADD = 0.1
 BLOCK_BYTES = 8 << 20
+#: Tokens for each part of the exchange, as long as there are no more parts than shuffle partitions.
+PART_TOKENS = 1 << 20
+#: Tokens of whole documents that are scored at once.
+SCORED_TOKENS = 1 << 17
 END_HASH, START_HASH = np.int64(0x454E44), np.int64(0x535441)
 
 
@@ -77,7 +80,11 @@ def _packed(places: np.ndarray) -> bytes:
 
 def _unpacked(data: bytes) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int32)
+    out = planes[0].astype(np.uint32)
+    for k in (1, 2, 3):
+        if planes[k].any():
+            out |= planes[k].astype(np.uint32) << np.uint32(8 * k)
+    return out.view(np.int32)
 
 
 def _blocks(docs: DataFrame) -> DataFrame:
@@ -103,7 +110,10 @@ def _blocks(docs: DataFrame) -> DataFrame:
                     endings.append(_ending(lower, starts, ends))
                     row.append(of + low)
                 keys, endings, row = np.concatenate(keys), np.concatenate(endings), np.concatenate(row)
-                vocabulary, one, place = np.unique(keys, return_index=True, return_inverse=True)
+                order, at_first = _equal(keys)
+                one = order[at_first]
+                vocabulary, place = keys[one], np.empty(len(keys), np.int64)
+                place[order] = np.repeat(np.arange(len(one)), np.diff(at_first, append=len(keys)))
                 by_frequency = np.argsort(-np.bincount(place, minlength=len(vocabulary)), kind="stable")
                 vocabulary, one = vocabulary[by_frequency], one[by_frequency]
                 rank = np.empty(len(vocabulary), np.int32)
@@ -123,7 +133,7 @@ def _blocks(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "trains", "text").mapInArrow(build, schema)
 
 
-def _runs(data: np.ndarray, at: np.ndarray, limit: int = 2 << 20) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def _runs(data: np.ndarray, at: np.ndarray, limit: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets) of runs of rows of a slice."""
     first, rows = 0, len(at) - 1
     while first < rows:
@@ -171,6 +181,14 @@ def _part_keys(spark, n: int) -> np.ndarray:
     return found["key"].to_numpy()
 
 
+def _keys_for(blocks: DataFrame) -> np.ndarray:
+    """Keys of parts, a partition each: as many as tokens ask for, since each part may send moves to each other."""
+    spark = blocks.sparkSession
+    tokens = blocks.select(F.aggregate("lengths", F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n")).agg(F.sum("n")).first()[0] or 0
+    number = _partitions(spark)
+    return _part_keys(spark, number)[: max(1, min(number, -(-tokens // PART_TOKENS)))]
+
+
 def _home(words: np.ndarray, parts: int) -> np.ndarray:
     return (mix(words.view(U) + U(11)) % U(parts)).astype(np.int64)
 
@@ -193,122 +211,265 @@ def _frequent_words(blocks: DataFrame) -> np.ndarray:
     return np.unique(np.append(counted.where(F.col("n") * FREQUENT > tokens).select("word").toArrow()["word"].to_numpy(), END_HASH))
 
 
-_EDGES = "part bigint, words binary, own binary, beside binary, n binary"
+def _rows(schema: str, rows: list[tuple]) -> dict[str, list]:
+    """Columns by name; a schema's fields are named and typed as in Spark's DDL."""
+    return {field.split()[0]: [row[k] for row in rows] for k, field in enumerate(schema.split(", "))}
+
+
+_KINDS = {"bigint": pa.int64(), "binary": pa.binary(), "array<bigint>": pa.list_(pa.int64())}
+
+
+def _table(schema: str, rows: list[tuple]) -> pa.Table:
+    return pa.table(_rows(schema, rows), pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, schema.split(", "))]))
+
+
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict(_rows(schema, rows), pa.schema([(name, _KINDS[kind]) for name, kind in map(str.split, schema.split(", "))]))
+
+
+def _numbers(column: pa.Array, k: int, kind=np.int64) -> np.ndarray:
+    data = column[k].as_py()
+    return np.frombuffer(b"" if data is None else data, kind)
+
+
+_ASKED = "part bigint, block bigint, words binary, places binary, n binary, endings binary"
+
+
+def _asked(blocks: DataFrame, keys: np.ndarray, known: bool) -> DataFrame:
+    """Of each block the words that each part is home to, with their places there; ``known``: only those of training text."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, block in enumerate(batch.column("block").to_pylist()):
+                words, n, endings = (_values(batch.column(c), k) for c in ("vocabulary", "counts", "endings"))
+                home = np.where(n > 0, _home(words, len(keys)), -1) if known else _home(words, len(keys))
+                order = np.argsort(home, kind="stable")
+                bounds = np.searchsorted(home[order], np.arange(len(keys) + 1))
+                rows = []
+                for p in np.flatnonzero(np.diff(bounds)):
+                    at = order[bounds[p] : bounds[p + 1]]
+                    rows.append((keys[p], block, words[at].tobytes(), _packed(at), _packed(n[at]), endings[at].tobytes()))
+                yield _batch(_ASKED, rows)
+
+    return blocks.select("block", "vocabulary", "counts", "endings").mapInArrow(send, _ASKED)
+
+
+_NUMBERED = "part bigint, block bigint, places binary, numbers binary, words binary, n binary, endings binary"
+
+
+def _numbered(blocks: DataFrame, keys: np.ndarray) -> DataFrame:
+    """The training words of a part, with their numbers and counts, in a row without a block, and of each block the numbers there.
+
+    A number tells the part that is home to the word, and its first class; 0 is the start of a text.
+    Words that training text has more often have smaller ones. Numbers stand for places, 64 bits for
+    a word are sent but once a block.
+    """
+    parts = len(keys)
+
+    def number(key: tuple, table: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        here = int(np.flatnonzero(keys == part)[0])
+        asked = table.combine_chunks().to_batches()[0]
+        blocks = asked.column("block").to_pylist()
+        of = [_numbers(asked.column("words"), k) for k in range(len(blocks))]
+        order, first = _equal(words := np.concatenate(of))
+        n = np.add.reduceat(np.concatenate([_unpacked(asked.column("n")[k].as_py()) for k in range(len(blocks))]).astype(np.int64)[order], first)
+        endings = np.concatenate([_numbers(asked.column("endings"), k, np.int16) for k in range(len(blocks))])[order[first]]
+        words = words[order[first]]
+        # Of each first class the most frequent word is the first.
+        kind = start_class(words)
+        by_class = np.lexsort((-n, kind))
+        rank = np.empty(len(words), np.int64)
+        rank[by_class] = np.arange(len(words)) - np.searchsorted(kind[by_class], kind[by_class])
+        numbers = 1 + (rank * CLASSES + kind) * parts + here
+        rows = []
+        for k, block in enumerate(blocks):
+            found = numbers[np.searchsorted(words, of[k])]
+            rows.append((part, block, asked.column("places")[k].as_py(), _packed(found // parts), None, None, None))
+        by_number = np.argsort(numbers)
+        rows.append((part, None, None, _gaps(numbers[by_number]), words[by_number].tobytes(), n[by_number].tobytes(), endings[by_number].tobytes()))
+        return _table(_NUMBERED, rows)
+
+    return materialise(_asked(blocks, keys, True).groupBy("part").applyInArrow(number, _NUMBERED), "word-numbers")
+
+
+def _equal(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the values, and where equal ones begin in it."""
+    order = np.argsort(values)
+    ordered = values[order]
+    return order, np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+
+
+def _gaps(numbers: np.ndarray) -> bytes:
+    """Rising numbers, packed by what each has more than the one before."""
+    return _packed(np.diff(numbers, prepend=0))
+
+
+def _risen(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data).view(np.uint32), dtype=np.int64)
 
 
-def _edge_row(part: int, words: np.ndarray, own: np.ndarray, beside: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
-    row = [words.tobytes(), *map(_packed, (own, beside, n))]
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), *(pa.array([x], pa.binary()) for x in row)], ["part", "words", "own", "beside", "n"])
+def _home_of(numbers: np.ndarray, parts: int) -> np.ndarray:
+    return (numbers - 1) % parts
+
+
+def _first_class(numbers: np.ndarray, parts: int, end: int) -> np.ndarray:
+    return np.select([numbers == 0, numbers == end], [START_CLASS, END_CLASS], (numbers - 1) // parts % CLASSES)
+
+
+def _frequent_numbers(numbered: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers of the frequent words of training text, rising, and that of the end of a text (-1 if there is no training text)."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                words = _numbers(batch.column("words"), k)
+                often = np.isin(words, frequent)
+                yield pa.RecordBatch.from_arrays([pa.array(words[often]), pa.array(_risen(batch.column("numbers")[k].as_py())[often])], ["word", "number"])
+
+    table = numbered.where("block IS NULL").select("words", "numbers").mapInArrow(find, "word bigint, number bigint").toArrow().sort_by("number")
+    words, numbers = (table[c].to_numpy() for c in ("word", "number"))
+    return words, numbers, int(numbers[words == END_HASH][0]) if len(numbers) else -1
+
+
+_EDGES = "part bigint, words binary, numbers binary, own binary, beside binary, n binary"
 
 
 def _edges_of(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, ...]:
-    """Words in order; of each edge the place of the word, twice that of the one beside it and 1 if that is behind, and how often."""
-    words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
-    return words, *(_unpacked(batch.column(c)[k].as_py()) for c in ("own", "beside", "n"))
+    """Numbers of words, rising; of each edge the place of the word, twice that of the one beside it and 1 if that is behind, and how often."""
+    return _risen(batch.column("numbers")[k].as_py()), *(_unpacked(batch.column(c)[k].as_py()) for c in ("own", "beside", "n"))
 
 
-def _parts(blocks: DataFrame, keys: np.ndarray, frequent: np.ndarray) -> tuple[DataFrame, str, str]:
+def _parts(blocks: DataFrame, numbered: DataFrame, keys: np.ndarray, often: np.ndarray) -> tuple[DataFrame, str, str]:
     """A table of every training word with what stands beside it, a row per part, stored by part; its name and folder.
 
-    A word lies in one part with all its neighbours, but a frequent one, and the end of a text, in that
-    of each neighbour. Pairs of words are counted in each block before they are sent.
+    A word lies in one part with all its neighbours, but a frequent one (``often``: their numbers), and
+    the end of a text, in that of each neighbour. Pairs of words are counted in each block before they
+    are sent. ``words`` has the hashes of the words that the part is home to.
     """
     spark = blocks.sparkSession
-    number = _partitions(spark)
+    parts = len(keys)
+    sent_schema = _EDGES.replace("words binary, ", "")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                vocabulary, lengths = _values(batch.column("vocabulary"), k), _values(batch.column("lengths"), k)
-                start = len(vocabulary)
-                tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, start - 1)
-                last = np.append(start, tokens[:-1])
-                last[first] = start
+                lengths, size = _values(batch.column("lengths"), k), batch.column("size")[k].as_py()
+                number = np.zeros(size + 1, np.int64)
+                known = batch.column("known")[k].values
+                for j, part in enumerate(known.field("part").to_pylist()):
+                    here = int(np.flatnonzero(keys == part)[0])
+                    found = _unpacked(known.field("numbers")[j].as_py()).view(np.uint32).astype(np.int64) * parts
+                    number[_unpacked(known.field("places")[j].as_py())] = found + (here + 1 if here + 1 < parts else 0)
+                tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, size - 1)
+                last = np.append(size, tokens[:-1])
+                last[first] = size
                 train = np.repeat(_values(batch.column("trains"), k), lengths + 1)
-                pairs, n = np.unique(last[train].astype(np.int64) * (start + 1) + tokens[train], return_counts=True)
-                left, right = np.divmod(pairs, start + 1)
-                words = np.append(vocabulary, START_HASH)
-                order = np.argsort(words)
-                words, rank = words[order], np.argsort(order)
-                left, right, start = rank[left], rank[right], rank[start]
+                pairs, n = np.unique(last[train].astype(np.int64) * (size + 1) + tokens[train], return_counts=True)
+                left, right = np.divmod(pairs, size + 1)
+                order = np.argsort(number, kind="stable")
+                number, rank = number[order], np.argsort(order)
+                left, right, start = rank[left], rank[right], rank[size]
                 behind = left != start
                 own, beside, n = np.append(right, left[behind]), np.append(2 * left, 2 * right[behind] + 1), np.append(n, n[behind])
-                home = _home(words, len(keys))
-                part = np.where(np.isin(words, frequent)[own], home[beside >> 1], home[own])
+                home = _home_of(number, parts)
+                part = np.where(np.isin(number, often)[own], home[beside >> 1], home[own])
+                # The end of a text that is empty stands beside nothing but the start, which has no part.
+                part = np.where(beside >> 1 == start, home[own], part)
                 by_part = np.argsort(part, kind="stable")
                 own, beside, n = own[by_part], beside[by_part], n[by_part]
-                bounds = np.searchsorted(part[by_part], np.arange(len(keys) + 1))
-                place = np.zeros(len(words), np.int64)
+                bounds = np.searchsorted(part[by_part], np.arange(parts + 1))
+                place = np.zeros(len(number), np.int64)
                 for p in np.flatnonzero(np.diff(bounds)):
                     a, b = bounds[p], bounds[p + 1]
-                    used = np.zeros(len(words), bool)
+                    used = np.zeros(len(number), bool)
                     used[own[a:b]] = used[beside[a:b] >> 1] = True
                     here = np.flatnonzero(used)
                     place[here] = np.arange(len(here))
-                    yield _edge_row(keys[p], words[here], place[own[a:b]], 2 * place[beside[a:b] >> 1] + (beside[a:b] & 1), n[a:b])
-
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: dict[int, list[pa.RecordBatch]] = {}
-        for batch in batches:
-            for k, part in enumerate(batch.column("part").to_pylist()):
-                pieces.setdefault(part, []).append(batch.slice(k, 1))
-        for part, rows in pieces.items():
-            words = np.unique(np.concatenate([np.frombuffer(r.column("words")[0].as_buffer(), np.int64) for r in rows]))
-            keyed, numbers = [], []
-            for r in rows:
-                there, own, beside, n = _edges_of(r, 0)
-                place = np.searchsorted(words, there)
-                keyed.append(place[own] * (2 * len(words)) + 2 * place[beside >> 1] + (beside & 1))
-                numbers.append(n)
-            edges, which = np.unique(np.concatenate(keyed), return_inverse=True)
-            own, beside = np.divmod(edges, 2 * len(words))
-            yield _edge_row(part, words, own, beside, np.bincount(which, np.concatenate(numbers)).astype(np.int64))
-
-    sent = blocks.select("trains", "lengths", "words", "vocabulary").mapInArrow(send, _EDGES)
+                    yield _batch(sent_schema, [(keys[p], _gaps(number[here]), _packed(place[own[a:b]]), _packed(2 * place[beside[a:b] >> 1] + (beside[a:b] & 1)), _packed(n[a:b]))])
+
+    def gather(key: tuple, table: pa.Table, own_words: pa.Table) -> pa.Table:
+        part = key[0].as_py()
+        if not len(table):
+            return _table(_EDGES, [])
+        here = int(np.flatnonzero(keys == part)[0])
+        rows = table.combine_chunks().to_batches()[0]
+        numbers = np.unique(np.concatenate([_risen(rows.column("numbers")[k].as_py()) for k in range(len(rows))]))
+        keyed, counts = [], []
+        for k in range(len(rows)):
+            there, own, beside, n = _edges_of(rows, k)
+            place = np.searchsorted(numbers, there)
+            keyed.append(place[own] * (2 * len(numbers)) + 2 * place[beside >> 1] + (beside & 1))
+            counts.append(n)
+        keyed = np.concatenate(keyed)
+        order, first = _equal(keyed)
+        own, beside = np.divmod(keyed[order[first]], 2 * len(numbers))
+        n = np.add.reduceat(np.concatenate(counts)[order], first, dtype=np.int64)
+        dictionary = own_words.combine_chunks().to_batches()[0]
+        at_home = numbers[(numbers > 0) & (_home_of(numbers, parts) == here)]
+        words = _numbers(dictionary.column("words"), 0)[np.searchsorted(_risen(dictionary.column("numbers")[0].as_py()), at_home)] if len(at_home) else at_home
+        return _table(_EDGES, [(part, words.tobytes(), _gaps(numbers), *map(_packed, (own, beside, n)))])
+
+    replies = numbered.where("block IS NOT NULL").groupBy("block").agg(F.collect_list(F.struct("part", "places", "numbers")).alias("known"))
+    asked = blocks.select("block", "trains", "lengths", "words", F.size("vocabulary").alias("size")).join(replies, "block")
+    sent = asked.mapInArrow(send, sent_schema)
     path = shared_folder(spark, "word-neighbours")
     name = path.rsplit("/", 1)[-1].replace("-", "_")
-    gathered = sent.repartition(number, "part").mapInArrow(gather, _EDGES)
-    gathered.write.format("parquet").bucketBy(number, "part").sortBy("part").option("path", path).saveAsTable(name)
+    dictionary = numbered.where("block IS NULL").select("part", "numbers", "words")
+    gathered = sent.groupBy("part").cogroup(dictionary.groupBy("part")).applyInArrow(gather, _EDGES)
+    number = _partitions(spark)
+    gathered.repartition(number, "part").write.format("parquet").bucketBy(number, "part").sortBy("part").option("path", path).saveAsTable(name)
     return spark.table(name), name, path
 
 
-def _stored(part: int, classes: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([zstandard.ZstdCompressor(level=3).compress(classes.astype(np.uint8).tobytes())], pa.binary())], ["part", "classes"])
+def _stored(classes: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(classes.astype(np.uint8).tobytes())
 
 
 def _classes(batch: pa.RecordBatch, k: int) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(batch.column("classes")[k].as_py()), np.uint8).astype(np.int64)
 
 
-def _first_classes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for k, part in enumerate(batch.column("part").to_pylist()):
-            words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
-            yield _stored(part, np.select([words == END_HASH, words == START_HASH], [END_CLASS, START_CLASS], start_class(words)))
+_STATE = "part bigint, classes binary, cells array<bigint>, n array<bigint>"
 
 
-def _tally(at: DataFrame, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Class bigrams of the training text (rows: class before), and for each frequent word the classes before and behind it."""
+def _state(rows: DataFrame, parts: int, often: np.ndarray, own: np.ndarray, end: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """Classes of each part after its ``moves``, or at first; class bigrams of the training text (rows: class before), and for each frequent word the classes before and behind it.
+
+    ``often`` are the numbers of the frequent words and ``own`` their classes.
+    """
+    size = WIDE * WIDE + len(often) * 2 * WIDE
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(WIDE * WIDE + len(frequent) * 2 * WIDE, np.int64)
         for batch in batches:
-            for k in range(batch.num_rows):
-                words, own, beside, n = _edges_of(batch, k)
-                classes = _classes(batch, k)
+            for k, part in enumerate(batch.column("part").to_pylist()):
+                numbers, place, beside, n = _edges_of(batch, k)
+                if "moves" in batch.schema.names:
+                    classes = _classes(batch, k)
+                    for moves in batch.column("moves")[k].as_py() or ():
+                        classes[np.searchsorted(numbers, _risen(moves["numbers"]))] = np.frombuffer(moves["classes"], np.uint8)
+                else:
+                    classes = _first_class(numbers, parts, end)
+                at = np.minimum(np.searchsorted(numbers, often), len(numbers) - 1)
+                hit = numbers[at] == often
+                classes[at[hit]] = own[hit]
+                word = np.full(len(numbers), -1)
+                word[at[hit]] = np.flatnonzero(hit)
                 near, before = classes[beside >> 1], beside & 1 == 0
-                total[: WIDE * WIDE] += np.bincount(near[before] * WIDE + classes[own[before]], n[before], WIDE * WIDE).astype(np.int64)
-                at_word = np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)
-                often = (frequent[at_word] == words)[own]
-                cell = (at_word[own[often]] * 2 + (beside[often] & 1)) * WIDE + near[often]
-                total[WIDE * WIDE :] += np.bincount(cell, n[often], len(frequent) * 2 * WIDE).astype(np.int64)
-        cells = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(cells), pa.array(total[cells])], ["cell", "n"])
-
-    table = at.mapInArrow(count, "cell bigint, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out = np.zeros(WIDE * WIDE + len(frequent) * 2 * WIDE)
-    out[table["cell"].to_numpy()] = table["n"].to_numpy()
-    return out[: WIDE * WIDE].reshape(WIDE, WIDE), out[WIDE * WIDE :].reshape(-1, 2, WIDE)
+                total = np.zeros(size)
+                total[: WIDE * WIDE] = np.bincount(near[before] * WIDE + classes[place[before]], n[before], WIDE * WIDE)
+                of = word[place]
+                edges = np.flatnonzero(of >= 0)
+                cell = (of[edges] * 2 + (beside[edges] & 1)) * WIDE + near[edges]
+                total[WIDE * WIDE :] = np.bincount(cell, n[edges], size - WIDE * WIDE)
+                cells = np.flatnonzero(total)
+                yield _batch(_STATE, [(part, _stored(classes), cells, total[cells].astype(np.int64))])
+
+    written = materialise(rows.mapInArrow(count, _STATE), "word-classes")
+    summed = written.select(F.explode(F.arrays_zip("cells", "n")).alias("x")).groupBy("x.cells").agg(F.sum("x.n").alias("n")).toArrow()
+    out = np.zeros(size)
+    out[summed["cells"].to_numpy()] = summed["n"].to_numpy()
+    return same_folder(written.select("part", "classes"), written), out[: WIDE * WIDE].reshape(WIDE, WIDE), out[WIDE * WIDE :].reshape(-1, 2, WIDE)
 
 
 def _empty_classes(bigrams: np.ndarray) -> np.ndarray:
@@ -316,23 +477,27 @@ def _empty_classes(bigrams: np.ndarray) -> np.ndarray:
     return ~bigrams[:CLASSES].any(axis=1)
 
 
-def _moves(at: DataFrame, bigrams: np.ndarray, keys: np.ndarray, frequent: np.ndarray, half: int, share: float, turn: int) -> DataFrame:
-    """part, moves of the words that change their class, for each part that has them."""
+_MOVES = "part bigint, numbers binary, classes binary"
+
+
+def _moves(at: DataFrame, bigrams: np.ndarray, keys: np.ndarray, often: np.ndarray, half: int, share: float, turn: int) -> DataFrame:
+    """part, numbers and classes of the words that change their class, for each part that has them."""
     shared = at.sparkSession.sparkContext.broadcast(bigrams)
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = _empty_classes(shared.value)
         for batch in batches:
             for k, part in enumerate(batch.column("part").to_pylist()):
-                words, own, beside, n = _edges_of(batch, k)
+                numbers, own, beside, n = _edges_of(batch, k)
                 classes = _classes(batch, k)
                 here = int(np.flatnonzero(keys == part)[0])
-                home, often = _home(words, len(keys)), np.isin(words, frequent)
-                movers = np.flatnonzero((home == here) & ~often & _in_turn(words, half, share, turn))
+                home, frequent = _home_of(numbers, len(keys)), np.isin(numbers, often)
+                at_home = np.flatnonzero((home == here) & (numbers > 0))
+                movers = at_home[_in_turn(_numbers(batch.column("words"), k), half, share, turn) & ~frequent[at_home]]
                 new = classes.copy()
                 for low in range(0, len(movers), 1024):
                     some = movers[low : low + 1024]
-                    a, b = np.searchsorted(own, [some[0], some[-1] + 1])
+                    a, b = np.searchsorted(own, np.array([some[0], some[-1] + 1], own.dtype))
                     row = np.full(some[-1] + 1 - some[0], -1)
                     row[some - some[0]] = np.arange(len(some))
                     row = row[own[a:b] - some[0]]
@@ -343,83 +508,74 @@ def _moves(at: DataFrame, bigrams: np.ndarray, keys: np.ndarray, frequent: np.nd
                     new[some] = best_classes(counts[:, 0], counts[:, 1], classes[some], shared.value, empty)
                 changed = new != classes
                 # Edges go both ways: who stands beside a word has it among its own neighbours. Frequent words have it here; the start of a text has none.
-                to = np.where(often | (words == START_HASH), here, home)
+                to = np.where(frequent | (numbers == 0), here, home)
                 edges = np.flatnonzero(changed[own])
-                sent = np.unique(np.append(to[beside[edges] >> 1] * len(words) + own[edges], here * len(words) + np.flatnonzero(changed)))
-                target, place = np.divmod(sent, len(words))
-                moves = np.zeros(len(sent), MOVE)
-                moves["word"], moves["class"] = words[place], new[place]
+                sent = np.unique(np.append(to[beside[edges] >> 1] * len(numbers) + own[edges], here * len(numbers) + np.flatnonzero(changed)))
+                target, place = np.divmod(sent, len(numbers))
                 target, first = np.unique(target, return_index=True)
-                yield pa.RecordBatch.from_arrays([pa.array(keys[target]), pa.array([x.tobytes() for x in np.split(moves, first[1:])] if len(first) else [], pa.binary())], ["part", "moves"])
-
-    return at.mapInArrow(choose, "part bigint, moves binary")
-
+                rows = [(keys[p], _gaps(numbers[x]), new[x].astype(np.uint8).tobytes()) for p, x in zip(target, np.split(place, first[1:]))]
+                yield _batch(_MOVES, rows)
 
-def _moved(words: DataFrame, state: DataFrame, moves: DataFrame, frequent: np.ndarray, own: np.ndarray) -> DataFrame:
-    """part, classes of the next state; ``own`` are the classes of the frequent words there."""
+    return at.mapInArrow(choose, _MOVES)
 
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, part in enumerate(batch.column("part").to_pylist()):
-                words, classes = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64), _classes(batch, k)
-                for data in batch.column("moves")[k].as_py() or ():
-                    moves = np.frombuffer(data, MOVE)
-                    classes[np.searchsorted(words, moves["word"])] = moves["class"]
-                at = np.minimum(np.searchsorted(words, frequent), len(words) - 1)
-                hit = words[at] == frequent
-                classes[at[hit]] = own[hit]
-                yield _stored(part, classes)
 
-    # At most one row from each part; all moves of a part are fewer than its words.
-    gathered = moves.groupBy("part").agg(F.collect_list("moves").alias("moves"))
-    return materialise(words.join(state, "part").join(gathered, "part", "left").mapInArrow(apply, "part bigint, classes binary"), "word-classes")
+_CLASSED = "part bigint, word bigint, n bigint, ending smallint, class smallint"
 
 
 def exchange(blocks: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """word and class of every training word, and the class bigrams, of the greatest likelihood that was reached.
+    """part, word, n, ending and class of every training word, and the class bigrams, of the greatest likelihood that was reached.
 
-    The neighbours of words are counted and dealt to parts once, in a table of the shared folder that is
-    stored by part; a turn reads it there and moves nothing but classes.
+    Words are numbered by part, and their neighbours are counted and dealt to parts, once, in a table of
+    the shared folder that is stored by part; a turn reads it there and moves nothing but classes.
     """
     spark = blocks.sparkSession
-    keys, frequent = _part_keys(spark, _partitions(spark)), _frequent_words(blocks)
-    parts, name, path = _parts(blocks, keys, frequent)
+    keys = _keys_for(blocks)
+    numbered = _numbered(blocks, keys)
+    words, often, end = _frequent_numbers(numbered, _frequent_words(blocks))
+    parts, name, path = _parts(blocks, numbered, keys, often)
     try:
-        state, own, bigrams = _exchanged(parts, keys, frequent)
+        state, own, bigrams = _exchanged(parts, keys, words, often, end)
 
         def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for k, part in enumerate(batch.column("part").to_pylist()):
-                    words = np.frombuffer(batch.column("words")[k].as_buffer(), np.int64)
-                    single = (keys[_home(words, len(keys))] == part) & ~np.isin(words, frequent) & (words != START_HASH)
-                    yield pa.RecordBatch.from_arrays([pa.array(words[single]), pa.array(_classes(batch, k)[single].astype(np.int16))], ["word", "class"])
-
-        single = parts.select("part", "words").join(state, "part").mapInArrow(listed, "word bigint, class smallint")
-        others = spark.createDataFrame([(int(w), int(c)) for w, c in zip(frequent, own)], "word bigint, class smallint")
-        found = materialise(single.union(others), "classes-of-words")
-        discard(state)
-        return found, bigrams
+                    numbers, found = _risen(batch.column("numbers")[k].as_py()), np.zeros(0, np.int64)
+                    classes = _first_class(numbers, len(keys), end)
+                    if batch.column("classes")[k].is_valid:
+                        found = _risen(batch.column("found")[k].as_py())
+                        at = np.minimum(np.searchsorted(found, numbers), len(found) - 1)
+                        classes = np.where(found[at] == numbers, _classes(batch, k)[at], classes)
+                    at = np.minimum(np.searchsorted(often, numbers), len(often) - 1)
+                    classes = np.where(often[at] == numbers, own[at], classes)
+                    columns = [np.full(len(numbers), part), _numbers(batch.column("words"), k), _numbers(batch.column("n"), k), _numbers(batch.column("endings"), k, np.int16), classes.astype(np.int16)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["part", "word", "n", "ending", "class"])
+
+        dictionary = numbered.where("block IS NULL").select("part", "numbers", "words", "n", "endings")
+        placed = parts.select("part", F.col("numbers").alias("found")).join(state, "part")
+        out = materialise(dictionary.join(placed, "part", "left").mapInArrow(listed, _CLASSED), "classes-of-words")
+        discard(state, numbered)
+        return out, bigrams
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         delete_folder(spark, path)
 
 
-def _exchanged(parts: DataFrame, keys: np.ndarray, frequent: np.ndarray) -> tuple[DataFrame, np.ndarray, np.ndarray]:
-    """State by part, classes of the frequent words, class bigrams."""
-    words = parts.select("part", "words")
-    state = materialise(words.mapInArrow(_first_classes, "part bigint, classes binary"), "word-classes")
-    own = np.where(frequent == END_HASH, END_CLASS, start_class(frequent))
-    bigrams, beside = _tally(parts.join(state, "part"), frequent)
+def _exchanged(parts: DataFrame, keys: np.ndarray, frequent: np.ndarray, often: np.ndarray, end: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """State by part, classes of the frequent words (their hashes and numbers), class bigrams."""
+    edges = parts.drop("words")
+    own = _first_class(often, len(keys), end)
+    state, bigrams, beside = _state(edges, len(keys), often, own, end)
     most = before = class_information(bigrams)
     half, share, turn = 0, 1.0, 0
     while bigrams.any():
         turn += 1
-        at = parts.join(state, "part")
         movers = np.flatnonzero(_in_turn(frequent, half, share, turn))
         next_own = own.copy()
         next_own[movers] = best_classes(beside[movers, 0], beside[movers, 1], own[movers], bigrams, _empty_classes(bigrams))
-        moved = _moved(words, state, _moves(at, bigrams, keys, frequent, half, share, turn), frequent, next_own)
-        found, around = _tally(parts.join(moved, "part"), frequent)
+        # At most one row from each part; all moves of a part are fewer than its words.
+        moves = _moves(parts.join(state, "part"), bigrams, keys, often, half, share, turn)
+        gathered = moves.groupBy("part").agg(F.collect_list(F.struct("numbers", "classes")).alias("moves"))
+        moved, found, around = _state(edges.join(state, "part").join(gathered, "part", "left"), len(keys), often, next_own, end)
         if (now := class_information(found)) > most:
             discard(state)
             state, own, bigrams, beside, most = moved, next_own, found, around, now
@@ -441,6 +597,10 @@ def _entropy(n: np.ndarray) -> np.ndarray:
     return n * np.log(np.maximum(n, 1))
 
 
+def _gain(base: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return _entropy(base + n) - _entropy(base)
+
+
 def class_information(bigrams: np.ndarray) -> float:
     """What class bigrams (rows: class before) add to the mean log-likelihood of a token over its frequency."""
     total = bigrams.sum()
@@ -460,34 +620,50 @@ def best_classes(left: np.ndarray, right: np.ndarray, classes: np.ndarray, bigra
 
 
 def _best(left: np.ndarray, right: np.ndarray, own: np.ndarray, bigrams: np.ndarray, barred: np.ndarray | None) -> np.ndarray:
-    rows, every = np.arange(len(own)), np.arange(CLASSES)
+    rows = np.arange(len(own))
 
     def side(counts: np.ndarray, other: np.ndarray, cells: np.ndarray) -> np.ndarray:
         """Gain by row and class in the cells (class beside, own class), without those of a class beside itself."""
         row, beside = np.nonzero(counts)
-        n = counts[row, beside][:, None]
+        n = counts[row, beside]
+        # Many words have the same number beside the same class.
+        one, which = np.unique(beside + n * WIDE, return_index=True, return_inverse=True)[1:]
+        gain = _gain(cells[beside[one], :CLASSES], n[one][:, None])[which]
         # The word taken out of its class, then added to each.
-        base = cells[beside, :CLASSES]
-        same = beside == own[row]
-        base[same] -= other[row[same], :CLASSES]
-        base[np.arange(len(row)), own[row]] -= n[:, 0]
-        gain = _entropy(base + n) - _entropy(base)
-        gain[beside[:, None] == every] = 0
+        at = np.arange(len(row))
+        gain[at, np.minimum(own[row], CLASSES - 1)] = _gain(cells[beside, own[row]] - n, n)
+        same = np.flatnonzero(beside == own[row])
+        base = cells[beside[same], :CLASSES] - other[row[same], :CLASSES]
+        base[np.arange(len(same)), own[row[same]]] -= n[same]
+        gain[same] = _gain(base, n[same][:, None])
+        inner = np.flatnonzero(beside < CLASSES)
+        gain[inner, beside[inner]] = 0
         out = np.zeros((len(own), CLASSES))
         used, first = np.unique(row, return_index=True)
-        out[used] = np.add.reduceat(gain, first) if len(row) else 0
+        # Most words have few neighbours: their sums are made one cell of each at a time, which is faster.
+        length = np.diff(first, append=len(row))
+        few = np.flatnonzero(length <= 8)
+        out[used[few]] = gain[first[few]]
+        for k in range(1, 8):
+            few = few[length[few] > k]
+            out[used[few]] += gain[first[few] + k]
+        many = length > 8
+        if many.any():
+            inside = np.repeat(many, length)
+            out[used[many]] = np.add.reduceat(gain[inside], np.cumsum(length[many]) - length[many])
         return out
 
     gain = side(left, right, bigrams) + side(right, left, bigrams.T)
     both = (left + right)[:, :CLASSES]
-    alone = np.tile(np.diag(bigrams)[:CLASSES], (len(own), 1))
-    alone[rows, own] -= both[rows, own]
-    gain += _entropy(alone + both) - _entropy(alone)
+    row, inner = np.nonzero(both)
+    n = both[row, inner]
+    gain[row, inner] += _gain(np.diag(bigrams)[inner] - np.where(inner == own[row], n, 0), n)
     for axis, counts in ((0, left), (1, right)):
-        size = counts.sum(axis=1, keepdims=True)
-        margin = np.tile(bigrams.sum(axis=axis)[:CLASSES], (len(own), 1))
-        margin[rows, own] -= size[:, 0]
-        gain -= _entropy(margin + size) - _entropy(margin)
+        size, margin = counts.sum(axis=1), bigrams.sum(axis=axis)[:CLASSES]
+        sizes, which = np.unique(size, return_inverse=True)
+        added = _gain(margin[None, :], sizes[:, None])[which]
+        added[rows, own] = _gain(margin[own] - size, size)
+        gain -= added
     if barred is not None:
         gain[:, barred] = -np.inf
     return np.where((left + right).any(axis=1), gain.argmax(axis=1), own)
@@ -508,18 +684,8 @@ def score_texts(docs: DataFrame) -> DataFrame:
 
 
 def _word_counts(blocks: DataFrame, classes: DataFrame) -> DataFrame:
-    """word, n, ending, class of every training word, the end of a text included."""
-
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                word, n, ending = (_values(batch.column(c), k) for c in ("vocabulary", "counts", "endings"))
-                used = n > 0
-                yield pa.RecordBatch.from_arrays([pa.array(x[used]) for x in (word, n, ending)], ["word", "n", "ending"])
-
-    rows = blocks.select("vocabulary", "counts", "endings").mapInArrow(unfold, "word bigint, n bigint, ending smallint")
-    summed = rows.groupBy("word").agg(F.sum("n").alias("n"), F.max("ending").alias("ending"))
-    return materialise(summed.join(classes, "word"), "word-counts")
+    """part, word, n, ending, class of every training word of the blocks, the end of a text included: the exchange counts them."""
+    return classes
 
 
 def _ending_classes(totals: DataFrame) -> np.ndarray:
@@ -547,9 +713,23 @@ def _score(blocks: DataFrame, classes: DataFrame, bigrams: np.ndarray) -> DataFr
     base_below = np.log10(train_tokens + ADD * (types + 1))
 
     # A block hears of every word that training text has.
-    words = blocks.select("block", F.posexplode("vocabulary").alias("place", "word"))
-    found = words.join(totals.select("word", "n", "class"), "word")
-    returned = found.groupBy("block").agg(F.collect_list(F.struct("place", "n", "class")).alias("known"))
+    keys = _keys_for(blocks)
+    told = "block bigint, places binary, n binary, classes binary"
+
+    def tell(key: tuple, table: pa.Table, known: pa.Table) -> pa.Table:
+        asked, rows = table.combine_chunks().to_batches(), []
+        words, n, of = (known[c].to_numpy() for c in ("word", "n", "class"))
+        order = np.argsort(words)
+        for k, block in enumerate(asked[0].column("block").to_pylist() if asked and len(words) else ()):
+            own = _numbers(asked[0].column("words"), k)
+            at = order[np.minimum(np.searchsorted(words, own, sorter=order), len(words) - 1)]
+            hit = words[at] == own
+            rows.append((block, _packed(_unpacked(asked[0].column("places")[k].as_py())[hit]), n[at[hit]].tobytes(), of[at[hit]].astype(np.uint8).tobytes()))
+        return _table(told, rows)
+
+    asked = _asked(blocks, keys, False).select("part", "block", "words", "places")
+    answers = asked.groupBy("part").cogroup(totals.select("part", "word", "n", "class").groupBy("part")).applyInArrow(tell, told)
+    returned = answers.groupBy("block").agg(F.collect_list(F.struct("places", "n", "classes")).alias("known"))
     # Block numbers are unique, so that no key is large.
     joined = blocks.drop("vocabulary", "counts").join(returned, "block", "left")
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
@@ -562,22 +742,26 @@ def _score(blocks: DataFrame, classes: DataFrame, bigrams: np.ndarray) -> DataFr
                 own = by_ending[_values(batch.column("endings"), k)]
                 n = np.zeros(len(own))
                 known = batch.column("known")[k].values
-                if known is not None:
-                    place = np.asarray(known.field("place"))
-                    n[place] = np.asarray(known.field("n"))
-                    own[place] = np.asarray(known.field("class"))
+                for j in range(0 if known is None else len(known)):
+                    place = _unpacked(known.field("places")[j].as_py())
+                    n[place], own[place] = _numbers(known.field("n"), j), _numbers(known.field("classes"), j, np.uint8)
                 own[-1] = END_CLASS
                 above = np.log10(n + ADD)
                 base, emission = above - base_below, above - below[own]
-                lengths = _values(batch.column("lengths"), k)
-                tokens, first = _sequence(_unpacked(batch.column("words")[k].as_py()), lengths, len(n) - 1)
-                of = np.repeat(np.arange(len(lengths)), lengths + 1)
-                now = own[tokens]
-                before = np.append(START_CLASS, now[:-1])
-                before[first] = START_CLASS
-                rows = len(lengths)
-                add = partial(np.bincount, of, minlength=rows)
-                columns = [add(), add(weights=n[tokens] > 0).astype(np.int64), np.full(rows, train_tokens), add(weights=base[tokens]), add(weights=emission[tokens] + moves[before, now])]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_ids")[k].values, pa.array(~_values(batch.column("trains"), k)), *map(pa.array, columns)], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                places, lengths, low = _unpacked(batch.column("words")[k].as_py()), _values(batch.column("lengths"), k), 0
+                ids, held = batch.column("doc_ids")[k].values, ~_values(batch.column("trains"), k)
+                stops = np.append(0, np.cumsum(lengths, dtype=np.int64))
+                while low < len(lengths):
+                    # Some whole documents at once, so that what is held for each token stays small.
+                    high = max(low + 1, int(np.searchsorted(stops, stops[low] + SCORED_TOKENS, "right")) - 1)
+                    tokens, first = _sequence(places[stops[low] : stops[high]], lengths[low:high], len(n) - 1)
+                    of = np.repeat(np.arange(high - low), lengths[low:high] + 1)
+                    now = own[tokens]
+                    before = np.append(START_CLASS, now[:-1])
+                    before[first] = START_CLASS
+                    add = partial(np.bincount, of, minlength=high - low)
+                    columns = [add(), add(weights=n[tokens] > 0).astype(np.int64), np.full(high - low, train_tokens), add(weights=base[tokens]), add(weights=emission[tokens] + moves[before, now])]
+                    yield pa.RecordBatch.from_arrays([ids.slice(low, high - low), *map(pa.array, (held[low:high], *columns))], ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+                    low = high
 
     return joined.mapInArrow(score, schema)

@@ -623,6 +623,32 @@ def test_scores_equal_those_of_plain_python(spark, seed):
         assert row["score"] == pytest.approx(score)
 
 
+def test_parts_send_no_more_where_there_are_more_partitions(spark, monkeypatch):
+    """Every part may send to every other: with a part for each partition, messages grow with the square of partitions."""
+    frame = spark.createDataFrame(in_turn(120, groups=3, words=15, length=20), "doc_id BIGINT, text STRING")
+    blocks = brown_lm.materialise(brown_lm._blocks(frame.selectExpr("doc_id", "true AS trains", "text")), "blocks")
+    sent, moves = [], brown_lm._moves
+    monkeypatch.setattr(brown_lm, "_moves", lambda *args: sent.append(moves(*args).count()) or moves(*args))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    tables = []
+    try:
+        for partitions in (before, "24"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            classes, bigrams = brown_lm.exchange(blocks)
+            tables.append((sorted(tuple(r) for r in classes.select("word", "class").collect()), bigrams.tolist()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert tables[0] == tables[1]
+    assert max(sent) <= 1
+
+
+def test_documents_are_scored_some_at_a_time(spark, monkeypatch):
+    frame = spark.createDataFrame([*in_turn(60, groups=3, words=15, length=20), (1_000, None), (1_001, "")], "doc_id BIGINT, text STRING").repartition(1)
+    whole = sorted(map(tuple, brown_lm.score_texts(frame).collect()))
+    monkeypatch.setattr(brown_lm, "SCORED_TOKENS", 45)
+    assert sorted(map(tuple, brown_lm.score_texts(frame).collect())) == whole
+
+
 # Pipeline
 
 
