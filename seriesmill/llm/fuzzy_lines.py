@@ -5,8 +5,9 @@ minima of permuted shingle hashes; bands of them propose pairs, which are verifi
 similarity of their shingles, and links are joined to components. One line of each component stays:
 the first in the document with the smallest doc_id.
 
-Most band keys belong to one line. Filters of fixed size over the shared keys, and over the lines that
-have them, keep all others where they are: only lines with a possible partner travel with their text.
+Most band keys belong to one line, and most lines stand in one document. Keys and lines are dealt by hash
+in packs of arrays, and only those that meet another become rows. A filter of fixed size over the lines
+that have shared keys keeps all others where they are: only lines with a possible partner travel with their text.
 Of two lines in one band, sizes and sketches of their shingles are compared before their texts.
 """
 
@@ -31,6 +32,8 @@ BANDS, ROWS = 10, 4
 MIN_CHARS = SHINGLE
 #: Words of 64 bits in a filter; false positives cost time only.
 FILTER_WORDS = 1 << 20
+#: Lines for each part among which their band keys are dealt, as long as there are no more parts than shuffle partitions.
+PART_LINES = 1 << 15
 #: Shingles of verified lines that a task keeps.
 HELD_SHINGLES = 4 << 20
 
@@ -68,14 +71,15 @@ class Lines:
         opens = starts[starts < ends]
         keep[opens] = ~space[opens]
         keep[breaks] = False
-        kept = np.append(0, np.cumsum(keep))
+        places = np.flatnonzero(keep)
+        first, stop = np.searchsorted(places, starts), np.searchsorted(places, ends)
         # The one left over at the end of a line goes, too.
-        filled = np.flatnonzero(kept[ends] > kept[starts])
-        last = np.flatnonzero(keep)[kept[ends[filled]] - 1]
-        keep[last[space[last]]] = False
-        kept = np.append(0, np.cumsum(keep))
+        last = places[stop[stop > first] - 1]
+        over = last[space[last]]
+        keep[over] = False
         self.chars = np.where(space, np.uint8(32), LOWER[data])[keep]
-        self.first, self.length = kept[starts], kept[ends] - kept[starts]
+        self.first = first - np.searchsorted(over, starts)
+        self.length = stop - np.searchsorted(over, ends) - self.first
         self.hash = span_hashes(self.chars, self.first, self.first + self.length).view(np.int64)
         self.long = np.flatnonzero(self.length >= MIN_CHARS)
         self.short = np.flatnonzero((self.length > 0) & (self.length < MIN_CHARS))
@@ -106,19 +110,19 @@ class Lines:
         """Number of distinct shingles of each of the given lines, and their parity sketch (``spans.parity_sketch``)."""
         packed = _packed_shingles(self.chars)
         sizes, sketches = np.zeros(len(only), np.int32), np.zeros((len(only), SKETCH_WORDS), np.int64)
-        for low in range(0, len(only), 1024):
-            some = only[low : low + 1024]
+        # A shingle has 56 bits: those of 256 lines are sorted as one number each, line first.
+        for low in range(0, len(only), 256):
+            some = only[low : low + 256]
             n = self.length[some] - SHINGLE + 1
             of = np.repeat(np.arange(len(some)), n)
             values = packed[np.repeat(self.first[some] - np.cumsum(n) + n, n) + np.arange(n.sum())]
-            order = np.lexsort((values, of))
-            values, of = values[order], of[order]
-            new = np.append(True, (values[1:] != values[:-1]) | (of[1:] != of[:-1]))
-            values, of = values[new], of[new]
-            sizes[low : low + 1024] = np.bincount(of, minlength=len(some))
+            both = np.sort(of.astype(U) << U(56) | values)
+            both = both[np.append(True, both[1:] != both[:-1])]
+            values, of = both & U((1 << 56) - 1), (both >> U(56)).astype(np.int64)
+            sizes[low : low + 256] = np.bincount(of, minlength=len(some))
             bits = of * (64 * SKETCH_WORDS) + (values * _SPREAD >> U(55)).astype(np.int64)
             odd = (np.bincount(bits, minlength=64 * SKETCH_WORDS * len(some)) & 1).astype(np.uint8)
-            sketches[low : low + 1024] = np.packbits(odd, bitorder="little").view(np.int64).reshape(-1, SKETCH_WORDS)
+            sketches[low : low + 256] = np.packbits(odd, bitorder="little").view(np.int64).reshape(-1, SKETCH_WORDS)
         return sizes, sketches
 
     def texts(self, only: np.ndarray) -> list[str]:
@@ -163,21 +167,102 @@ def _signed_lines(docs: DataFrame) -> DataFrame:
     return materialise(docs.select(_holder().alias("holder"), "text").mapInArrow(sign, "holder bigint, ids array<bigint>, keys array<bigint>, short array<bigint>"), "signed-lines")
 
 
-def _entries(signed: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
-    """key, id for every band of every line, or of those that the filter ``bits`` lets through."""
-    shared = None if bits is None else signed.sparkSession.sparkContext.broadcast(bits)
+def _parts(signed: DataFrame) -> int:
+    """Among how many parts lines are dealt by hash: a partition each, but no more than their number asks for."""
+    spark = signed.sparkSession
+    lines = signed.agg(F.sum(F.size("ids") + F.size("short"))).first()[0] or 0
+    return max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), 1 << 16, -(-lines // PART_LINES)))
 
-    def unfold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _dealt(hashes: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each part that has some of these hashes, and which; ``_part`` says the same of a column."""
+    part = ((hashes.view(U) >> U(40)) % U(parts)).astype(np.uint16)
+    order = np.argsort(part, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(part[order])) + 1) if len(order) else ():
+        yield int(part[some[0]]), some
+
+
+def _part(hashes: str, parts: int) -> Column:
+    return F.shiftrightunsigned(hashes, 40) % parts
+
+
+def _packs(first: np.ndarray, second: np.ndarray, parts: int) -> pa.RecordBatch:
+    """A row for each part of the hashes ``first``, with those and what belongs to them."""
+    rows = [(part, first[some].tobytes(), second[some].tobytes()) for part, some in _dealt(first, parts)]
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.int64(), pa.binary(), pa.binary()))], ["part", "first", "second"])
+
+
+_PACKS = "part bigint, first binary, second binary"
+
+
+def _unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.frombuffer(b"".join(table[c].to_pylist()), np.int64) for c in ("first", "second"))
+
+
+def _with_company(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Which entries have a ``first`` that stands with two or more different ``second``."""
+    order = np.argsort(first)
+    ordered, beside = first[order], second[order]
+    begins = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    if not len(begins):
+        return np.zeros(0, np.int64)
+    several = np.minimum.reduceat(beside, begins) < np.maximum.reduceat(beside, begins)
+    return order[np.repeat(several, np.diff(begins, append=len(ordered)))]
+
+
+def _entries(signed: DataFrame, parts: int) -> DataFrame:
+    """key, id for every band key that two or more lines have; keys of the same lines are one.
+
+    Lines that are similar share several bands: they would be compared, and weighed, in a list for each.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = (np.asarray(batch.column(k).flatten()) for k in (0, 1))
             ids, one = np.unique(ids, return_index=True)
-            ids, keys = np.repeat(ids, BANDS), keys.reshape(-1, BANDS)[one].ravel()
-            if shared is not None:
-                hit = _in_filter(shared.value, keys)
-                ids, keys = ids[hit], keys[hit]
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ids)], ["key", "id"])
+            yield _packs(keys.reshape(-1, BANDS)[one].ravel(), np.repeat(ids, BANDS), parts)
+
+    def meet(table: pa.Table) -> pa.Table:
+        keys, ids = _unpacked(table)
+        shared = _with_company(keys, ids)
+        shared = shared[np.lexsort((ids[shared], keys[shared]))]
+        keys, ids = keys[shared], ids[shared]
+        new = np.append(True, (keys[1:] != keys[:-1]) | (ids[1:] != ids[:-1]))[: len(keys)]
+        keys, ids = keys[new], ids[new]
+        begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[: len(keys)])
+        names = mix(np.add.reduceat(mix(ids.view(U)), begins)).view(np.int64) if len(begins) else keys
+        return pa.table({"key": np.repeat(names, np.diff(begins, append=len(keys))) if len(begins) else names, "id": ids})
+
+    return signed.select("ids", "keys").mapInArrow(deal, _PACKS).groupBy("part").applyInArrow(meet, "key bigint, id bigint").distinct()
 
-    return signed.select("ids", "keys").mapInArrow(unfold, "key bigint, id bigint")
+
+def _labelled(signed: DataFrame, linked: DataFrame, parts: int, short_lines: bool) -> DataFrame:
+    """holder, id, label of the lines that stand in several documents or are similar to another one.
+
+    The label of a line is its component, or else the line. All others have no company, and nothing to lose.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            holders, lists = np.asarray(batch.column(0)), [batch.column(k) for k in range(1, batch.num_columns)]
+            of = np.concatenate([np.repeat(holders, np.asarray(x.value_lengths())) for x in lists])
+            yield _packs(np.concatenate([np.asarray(x.flatten()) for x in lists]), of, parts)
+
+    def label(table: pa.Table, links: pa.Table) -> pa.Table:
+        ids, holders = _unpacked(table)
+        labels, joined = ids.copy(), np.zeros(len(ids), bool)
+        if len(links):
+            known, component = links["id"].to_numpy(), links["component"].to_numpy()
+            order = np.argsort(known)
+            at = order[np.minimum(np.searchsorted(known, ids, sorter=order), len(known) - 1)]
+            joined = known[at] == ids
+            labels[joined] = component[at[joined]]
+        joined[_with_company(ids, holders)] = True
+        return pa.table({"holder": holders[joined], "id": ids[joined], "label": labels[joined]})
+
+    packs = signed.select("holder", "ids", *["short"] * short_lines).mapInArrow(deal, _PACKS)
+    placed = linked.select(_part("id", parts).alias("part"), "id", "component")
+    return packs.groupBy("part").cogroup(placed.groupBy("part")).applyInArrow(label, "holder bigint, id bigint, label bigint")
 
 
 def _filter_of(values: DataFrame) -> np.ndarray:
@@ -253,14 +338,13 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def line_components(docs: DataFrame, signed: DataFrame | None = None) -> DataFrame:
     """id (line hash), component for every line that is similar to a different one."""
     signed = _signed_lines(docs) if signed is None else signed
-    shared = materialise(_entries(signed).groupBy("key").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most").select("key"), "shared-keys")
-    entries = materialise(_entries(signed, _filter_of(shared)).distinct().join(shared, "key"), "shared-entries")
+    entries = materialise(_entries(signed, _parts(signed)), "shared-entries")
     lines = _line_texts(docs, entries.select("id").distinct())
     bands = entries.groupBy("id").agg(F.collect_set("key").alias("keys"))  # at most BANDS
     lists = entries.join(lines.select("id", "size", "sketch").join(bands, "id"), "id")
     texts = lines.select("id", "text")
     linked = link_lists(lists, lambda x, y: within_reach(x, y, PERCENT), lambda pairs: _verified(pairs, texts))
-    discard(shared, entries, lines)
+    discard(entries, lines)
     return linked
 
 
@@ -304,10 +388,9 @@ def dedup_lines(docs: DataFrame, short_lines: bool = True) -> DataFrame:
     small_batches(docs.sparkSession)
     docs = docs.select(*[c for c in docs.columns if c not in ("n_lines", "n_removed")])
     signed = _signed_lines(docs)
-    seen = signed.select("holder", F.explode(F.concat("ids", "short") if short_lines else "ids").alias("id"))
     least = 1 if short_lines else MIN_CHARS
     linked = line_components(docs, signed)
-    labelled = materialise(seen.join(linked, "id", "left").select("holder", "id", F.coalesce("component", "id").alias("label")), "labelled")
+    labelled = materialise(_labelled(signed, linked, _parts(signed), short_lines), "labelled")
     discard(signed, linked)
     owners = labelled.groupBy("label").agg(F.min("holder").alias("owner"), F.max("holder").alias("other"), F.min("id").alias("one"), F.max("id").alias("another"))
     owners = owners.where("owner < other OR one < another").select("label", "owner")

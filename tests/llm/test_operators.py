@@ -465,6 +465,22 @@ def test_many_like_lines_meet_once(spark):
     assert {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(frame).collect()} == deduplicated(texts)
 
 
+def test_only_lines_with_company_become_rows(spark):
+    """Lines that share all of their bands are one list, not ten; a line of one document that is like no other is none."""
+    base = prose(40, 77)
+    texts = [(1, f"{base}\n{prose(12, 1)}\nshort"), (2, f"{base} \n{prose(12, 2)}"), (3, changed(base, 5)), (4, prose(12, 1)), (5, "SHORT\nlone")]
+    frame = spark.createDataFrame(texts, "doc_id BIGINT, text STRING").repartition(3)
+    signed = fuzzy_lines._signed_lines(frame)
+    entries = fuzzy_lines._entries(signed, 3).collect()
+    assert len(entries) == 2 and len({r["key"] for r in entries}) == 1
+    linked = fuzzy_lines.line_components(frame, signed)
+    labelled = fuzzy_lines._labelled(signed, linked, 3, True).collect()
+    assert sorted(r["holder"] for r in labelled) == [1, 1, 1, 2, 3, 4, 5]
+    assert len({r["label"] for r in labelled}) == 3
+    assert sorted(r["holder"] for r in fuzzy_lines._labelled(signed, linked, 3, False).collect()) == [1, 1, 2, 3, 4]
+    assert {r["doc_id"]: r["text"] for r in fuzzy_lines.dedup_lines(frame).collect()} == deduplicated(texts)
+
+
 # 9
 
 
